@@ -4,6 +4,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -39,7 +40,7 @@ def two_sided_p(t: float, freedom: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def correlation_p(rho: pd.Series, n: pd.Series) -> pd.Series:
     """p value of a rank correlation with n - 2 degrees of freedom."""
     def one(r: float, size: int) -> float | None:

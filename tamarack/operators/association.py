@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.student import correlation_p
 from tamarack.operators.ranks import VALUE_BUCKETS, average_ranks, exact_quantiles
+from tamarack.session import ship_package
 
 
 def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int = VALUE_BUCKETS) -> DataFrame:
@@ -14,6 +15,7 @@ def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int = VALUE_BUCK
 
     Rows are first counted per distinct (x, y), so ties cost nothing after the map side.
     """
+    ship_package(df.sparkSession)
     rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
     size = rows.count()
     pairs = rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))

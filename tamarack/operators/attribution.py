@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tamarack.operators.features import class_name
 from tamarack.operators.reshape import class_arrays_to_rows
-from tamarack.session import shared_folder, written
+from tamarack.session import shared_folder, ship_package, written
 
 PATH_SCHEMA = "tree int, leaf int, feature array<int>, low array<double>, high array<double>, share array<double>, value array<double>"
 BROADCAST_ENTRIES = 4_000_000  # path entries sent to the workers at once, about 128 MB
@@ -30,6 +30,7 @@ def leaf_paths(model, name: str = "forest") -> DataFrame:
     The node table is the one the saved model holds; trees are walked in parallel, one per group.
     """
     spark = SparkSession.active()
+    ship_package(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").select(
@@ -123,6 +124,7 @@ def with_attributions(
     Attributions add up over trees, so a forest too large to broadcast is worked off in groups of trees, each
     pass written before the next starts.
     """
+    ship_package(df.sparkSession)
     context = df.sparkSession.sparkContext
     trees = paths.agg(F.count_distinct("tree")).first()[0]
     chunks = _chunks(paths, entries)

@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.functions import vocab
-from tamarack.functions.text import ordinal, plain_feature
+from tamarack.functions.text import one_decimal_percent, ordinal, plain_feature, short_name, whole_percent
 from tamarack.operators.attribution import leaf_paths, top_feature, with_attributions
 from tamarack.operators.features import balanced_weight, class_index, fit_preprocessor, sorted_classes
 from tamarack.operators.filters import require_columns
 from tamarack.operators.models import random_forest, with_top_class
+from tamarack.sources.stages import is_complete
 
 
 @dataclass
@@ -40,8 +41,6 @@ class Bundle:
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle | None:
     """The saved bundle, or None when there is none."""
-    from tamarack.sources.stages import is_complete
-
     if not is_complete(spark, f"{path}/metadata"):
         return None
     row = spark.read.parquet(f"{path}/metadata").first()
@@ -94,6 +93,4 @@ def prediction_table(scored: DataFrame) -> DataFrame:
 
 
 def display_columns(name: Column, confidence: Column) -> dict[str, Column]:
-    from tamarack.functions.text import one_decimal_percent, short_name, whole_percent
-
     return {"short_name": short_name(name), "confidence_text": one_decimal_percent(confidence), "bar_width": whole_percent(confidence)}

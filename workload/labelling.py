@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tamarack.functions import payload, text
 from tamarack.functions.vocab import USABLE_TERMS
 from tamarack.operators import enrich, filters, keys, summaries
+from tamarack.operators.scoring import display_columns
 from workload.catalog import Tables, query
 
 PANEL = ["Brand#1", "Brand#2", "Brand#3", "Brand#5", "Brand#8", "Brand#13", "Brand#21"]
@@ -311,8 +312,6 @@ select case when length(name) > 60 then substr(name, 1, 60) || '...' else name e
 from n group by all
 """)
 def display_text(t: Tables) -> DataFrame:
-    from tamarack.operators.scoring import display_columns
-
     mark = F.concat(F.col("l_returnflag"), F.lit("="), F.col("l_linestatus"), F.lit(" "))
     name = F.concat(
         F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"), F.lit(" "),
@@ -324,10 +323,10 @@ def display_text(t: Tables) -> DataFrame:
 
 
 @query("""
-select feature, case when starts_with(feature, 'num__') then substr(feature, 6) else substr(feature, 32) end as plain, count(*) as n
+select feature, case when starts_with(feature, 'num__') then substr(feature, 6) else substr(feature, 30) end as plain, count(*) as n
 from (select case when p_size > 20 then 'num__' || p_type else 'cat__most_severe_consequence_' || p_brand end as feature from part)
 group by all
-""".replace("substr(feature, 32)", "substr(feature, 30)"))
+""")
 def feature_names(t: Tables) -> DataFrame:
     feature = F.when(F.col("p_size") > 20, F.concat(F.lit("num__"), F.col("p_type"))).otherwise(
         F.concat(F.lit("cat__most_severe_consequence_"), F.col("p_brand"))
