@@ -1,0 +1,175 @@
+"""Cross-validation, self-training, attributions and scoring on documents.
+
+Stand-ins: labelled documents are the gold set, the others the pool; the class combines quality and toxicity. The
+registered queries use few and shallow trees; the library's defaults are the published sizes.
+"""
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tamarack.operators.attribution import overall_importance, top_features
+from tamarack.operators.keys import unlabelled_pool
+from tamarack.operators.scoring import load_bundle, prediction_table, score
+from tamarack.operators.selftrain import frequency_scorer, self_train
+from tamarack.operators.summaries import coverage
+from tamarack.plans.experiment import (
+    Setting, attribution_table, compare_attributions, compare_models, compare_phases, final_bundle, train_iteratively,
+)
+from tamarack.session import shared_folder
+from workload.catalog import Tables, query
+
+NUMERIC = ("n_chars", "n_words", "n_lines", "digit_share")
+SETTING = Setting(
+    row_id="doc_id", label="label", numeric=NUMERIC, categorical="lang", folds=3, trees=12, depth=4, boost_rounds=3, boost_depth=3,
+    threshold=0.6, max_rounds=3,
+)
+CLASSES = ["clean", "poor", "toxic"]
+
+
+def document_features(documents: DataFrame) -> DataFrame:
+    """Numbers over whole texts; one source has no line counts, so there is something to fill."""
+    digits = F.length(F.regexp_replace("text", "[^0-9]", ""))
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return documents.select(
+        "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
+        F.when(F.col("source") != "src0", lines).cast("double").alias("n_lines"),
+        F.try_divide(digits, F.length("text")).alias("digit_share"),
+    )
+
+
+def gold_and_pool(t: Tables) -> tuple[DataFrame, DataFrame]:
+    rows = document_features(t.documents)
+    label = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").otherwise("clean")
+    gold = rows.join(t.labels.select("doc_id", label.alias("label")), "doc_id")
+    return gold, unlabelled_pool(rows, t.labels, ["doc_id"])
+
+
+def _self_training_sql(rounds: int, threshold: float) -> str:
+    """The loop written out round by round: class shares per language and per length band, averaged."""
+    share = {c: ", ".join(f"count(*) filter (label = '{k}') / count(*) as {c}_{k}" for k in CLASSES) for c in ("lang", "band")}
+    mean = {k: f"(coalesce(lang_{k}, 0) + coalesce(band_{k}, 0)) / 2" for k in CLASSES}
+    best = f"greatest({', '.join(mean.values())})"
+    pick = "case " + " ".join(f"when {mean[k]} = {best} then '{k}'" for k in CLASSES) + " end"
+    sql = """
+with docs as (select doc_id, lang, case when n_chars < 300 then 'short' when n_chars < 3000 then 'middle' else 'long' end as band from documents),
+labelled0 as (
+    select d.*, case when toxic = 1 then 'toxic' when quality = 0 then 'poor' else 'clean' end as label, 0 as round
+    from docs d join labels using (doc_id)),
+pool0 as (select * from docs where doc_id not in (select doc_id from labels))
+"""
+    for n in range(1, rounds + 1):
+        sql += f""",
+lang{n} as (select lang, {share['lang']} from labelled{n - 1} group by 1),
+band{n} as (select band, {share['band']} from labelled{n - 1} group by 1),
+scored{n} as (
+    select p.doc_id, p.lang, p.band, {pick} as label, {best} as confidence
+    from pool{n - 1} p left join lang{n} on lang{n}.lang = p.lang left join band{n} on band{n}.band = p.band),
+labelled{n} as (
+    select * from labelled{n - 1} union all
+    select doc_id, lang, band, label, {n} from scored{n} where confidence >= {threshold}),
+pool{n} as (select doc_id, lang, band from scored{n} where confidence < {threshold})
+"""
+    return sql
+
+
+ROUNDS, SHARE_THRESHOLD = 4, 0.76
+
+
+def _by_frequency(t: Tables):
+    band = F.when(F.col("n_chars") < 300, "short").when(F.col("n_chars") < 3000, "middle").otherwise("long")
+    gold, pool = (df.withColumn("band", band).select("doc_id", "lang", "band", *extra) for df, extra in zip(gold_and_pool(t), (["label"], [])))
+    scorer = frequency_scorer("label", CLASSES, [["lang"], ["band"]])
+    return self_train(gold, pool, "doc_id", "label", ["lang", "band"], scorer, SHARE_THRESHOLD, ROUNDS)
+
+
+@query(_self_training_sql(ROUNDS, SHARE_THRESHOLD) + f"select doc_id, label, case when round = 0 then 'gold' else 'pseudo' end as origin, round from labelled{ROUNDS}")
+def self_training_labels(t: Tables) -> DataFrame:
+    return _by_frequency(t).labelled.select("doc_id", "label", "origin", "round")
+
+
+@query(_self_training_sql(ROUNDS, SHARE_THRESHOLD) + f"""
+, taken as (select round, label, count(*) as n from labelled{ROUNDS} where round > 0 group by 1, 2)
+select cast(round as int) as iteration, cast(sum(n) as bigint) as n_pseudo_added,
+    cast((select count(*) from labelled0) + sum(sum(n)) over (order by round) as bigint) as n_total_labeled,
+    cast((select count(*) from pool0) - sum(sum(n)) over (order by round) as bigint) as n_remaining_unlabeled,
+    '{{' || string_agg('''' || label || ''': ' || n, ', ' order by n desc, label) || '}}' as pseudo_label_dist
+from taken group by round
+""")
+def self_training_log(t: Tables) -> DataFrame:
+    return _by_frequency(t).log
+
+
+@query("""
+select name as "column", present as n_present, total as n_total from (
+    select count(*) as total, count(*) filter (source <> 'src0') as lines, count(nullif(length(text), 0)) as digits from documents)
+cross join lateral (values ('n_chars', total), ('n_lines', lines), ('digit_share', digits)) as v(name, present)
+""")
+def feature_coverage(t: Tables) -> DataFrame:
+    return coverage(document_features(t.documents), ["n_chars", "n_lines", "digit_share"])
+
+
+@query()
+def model_comparison(t: Tables) -> DataFrame:
+    """Three classifiers, out-of-fold."""
+    gold, _ = gold_and_pool(t)
+    return compare_models(gold, SETTING)
+
+
+@query()
+def self_training_with_forest(t: Tables) -> DataFrame:
+    gold, pool = gold_and_pool(t)
+    return train_iteratively(gold, pool, SETTING).log
+
+
+@query()
+def phase_comparison(t: Tables) -> DataFrame:
+    """Supervised baseline against self-training, both tested on gold rows only."""
+    gold, pool = gold_and_pool(t)
+    return compare_phases(gold, pool, SETTING).comparison
+
+
+@query()
+def phase_confusion_matrix(t: Tables) -> DataFrame:
+    gold, pool = gold_and_pool(t)
+    return compare_phases(gold, pool, SETTING).confusion
+
+
+def _bundle(t: Tables):
+    gold, pool = gold_and_pool(t)
+    labelled = train_iteratively(gold, pool, SETTING).labelled
+    return labelled, final_bundle(labelled, SETTING, [*NUMERIC, "lang"], "origin")
+
+
+@query()
+def forest_attributions(t: Tables) -> DataFrame:
+    """Mean |attribution| per class and feature of the final forest."""
+    labelled, bundle = _bundle(t)
+    return attribution_table(labelled, bundle)
+
+
+@query()
+def forest_top_features(t: Tables) -> DataFrame:
+    labelled, bundle = _bundle(t)
+    return top_features(overall_importance(attribution_table(labelled, bundle)), 5)
+
+
+@query()
+def compare_phase_attributions(t: Tables) -> DataFrame:
+    """Feature ranking of the forest on gold rows against the forest on gold and pseudo-labelled rows."""
+    gold, _ = gold_and_pool(t)
+    labelled, second = _bundle(t)
+    first = final_bundle(gold, SETTING, [*NUMERIC, "lang"])
+    return compare_attributions(attribution_table(gold, first), attribution_table(labelled, second))
+
+
+@query()
+def score_documents(t: Tables) -> DataFrame:
+    """The final model saved, loaded and applied to every document."""
+    _, bundle = _bundle(t)
+    path = f"{shared_folder(t.spark)}/bundle-{uuid.uuid4().hex}"
+    bundle.save(path)
+    scored = score(document_features(t.documents), load_bundle(t.spark, path), prepare=lambda df: df)
+    return prediction_table(scored).select("doc_id", "Predicted Class", "Confidence", "Top Feature")
