@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALUE_BUCKETS = 256  # a power of two; raise it with the number of distinct values
+FEW_ROWS = 1_000_000  # rows that may be ordered in one task
 HASH_DIGITS = 3  # 16 ** 3 buckets per class; raise it with the number of rows
 
 
@@ -38,9 +39,12 @@ def _bucket_of(value: Column, bounds: list[float]) -> Column:
     return F.aggregate(F.array(*steps), F.lit(0), advance)
 
 
-def _distinct_values(df: DataFrame, by: list[str], value: str, buckets: int) -> DataFrame:
-    """(by..., value, n, bucket) over distinct non-null values. The bucket bounds are fixed numbers in the plan."""
-    rows = df.select(*by, F.col(value).cast("double").alias("value")).filter("value is not null and not isnan(value)")
+def _numbers(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    return df.select(*by, F.col(value).cast("double").alias("value")).filter("value is not null and not isnan(value)")
+
+
+def _distinct_values(rows: DataFrame, by: list[str], buckets: int) -> DataFrame:
+    """(by..., value, n, bucket) over distinct values. The bucket bounds are fixed numbers in the plan."""
     shares = [i / buckets for i in range(1, buckets)]
     bounds = rows.approxQuantile("value", shares, 0.5 / buckets) or [0.0] * len(shares)
     counts = rows.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
@@ -52,15 +56,24 @@ def _distinct_values(df: DataFrame, by: list[str], value: str, buckets: int) ->
 def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int = VALUE_BUCKETS) -> DataFrame:
     """(by..., value, n, avg_rank): the mean of the ranks that tied values share."""
     by = by or []
-    counts = _distinct_values(df, by, value, buckets)
+    counts = _distinct_values(_numbers(df, by, value), by, buckets)
     placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
     return placed.select(*by, "value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("avg_rank"))
 
 
-def exact_quantiles(df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int = VALUE_BUCKETS) -> DataFrame:
-    """(by..., q array): linearly interpolated quantiles of the non-null values, exact at any size."""
+def exact_quantiles(
+    df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int = VALUE_BUCKETS, few: int = FEW_ROWS
+) -> DataFrame:
+    """(by..., q array): linearly interpolated quantiles of the non-null values, exact at any size.
+
+    The built-in percentile keeps every distinct value of a group in one buffer, so it is used only when a count
+    has shown that all the rows would fit.
+    """
     by = by or []
-    counts = _distinct_values(df, by, value, buckets)
+    rows = _numbers(df, by, value)
+    if rows.count() <= few:
+        return rows.groupBy(*by).agg(F.percentile("value", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
+    counts = _distinct_values(rows, by, buckets)
     placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
     sizes = counts.groupBy(*by, F.lit(0).alias("_one")).agg(F.sum("n").alias("_size"))
     rows = placed.withColumn("_one", F.lit(0)).join(sizes, [*by, "_one"])
@@ -79,11 +92,11 @@ def exact_quantiles(df: DataFrame, value: str, shares: list[float], by: list[str
     return rows.groupBy(*by, "_one").agg(*ends).select(*by, F.array(*results).alias("q"))
 
 
-def exact_medians(df: DataFrame, columns: list[str], buckets: int = VALUE_BUCKETS) -> DataFrame:
+def exact_medians(df: DataFrame, columns: list[str], buckets: int = VALUE_BUCKETS, few: int = FEW_ROWS) -> DataFrame:
     """(column, median) of several numeric columns; a column without values is left out."""
     narrow = df.select([F.col(column).cast("double").alias(column) for column in columns])
     long = narrow.unpivot([], columns, "column", "value")
-    return exact_quantiles(long, "value", [0.5], ["column"], buckets).select("column", F.get("q", 0).alias("median"))
+    return exact_quantiles(long, "value", [0.5], ["column"], buckets, few).select("column", F.get("q", 0).alias("median"))
 
 
 def stratified_folds(df: DataFrame, row_id: str, label: str, folds: int = 5, seed: int = 42, digits: int = HASH_DIGITS) -> DataFrame:
