@@ -24,7 +24,7 @@ def variants(spark: SparkSession, path: str, panel: list[str] = WIDE_PANEL, asse
     rows = table.select([F.col(f"`{name}`") for name in present]).filter(
         in_panel(F.col("GeneSymbol"), panel) & (F.col("Assembly") == assembly)
     )
-    return rows.repartition() if path.endswith(".gz") else rows
+    return rows.hint("rebalance") if path.endswith(".gz") else rows
 
 
 def gene_column(columns: list[str]) -> str:
