@@ -27,8 +27,9 @@ def first_frequency(colocated: Column, preferred: str = "gnomade", fallback: str
     no_maps = F.array().cast("array<map<string, double>>")
     maps = F.flatten(F.transform(colocated, lambda entry: F.coalesce(F.map_values(entry["frequencies"]), no_maps)))
     holders = F.filter(maps, lambda m: F.map_contains_key(m, preferred) | F.map_contains_key(m, fallback))
-    found = F.get(holders, 0)
-    return F.when(F.map_contains_key(found, preferred), found[preferred]).otherwise(found[fallback])
+    # Inside a transform the map is worked out once, however often the expression names it.
+    values = F.transform(holders, lambda m: F.when(F.map_contains_key(m, preferred), m[preferred]).otherwise(m[fallback]))
+    return F.get(values, 0)
 
 
 def first_number(raw: Column) -> Column:

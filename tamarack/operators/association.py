@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.student import correlation_p
-from tamarack.operators.ranks import VALUE_BUCKETS, average_ranks, exact_quantiles
+from tamarack.operators.ranks import average_ranks, exact_quantiles
 from tamarack.session import ship_package
 
 
-def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int = VALUE_BUCKETS) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int | None = None) -> DataFrame:
     """(score, n, rho, p) over the rows where both columns have a value; fewer than three rows give nulls.
 
     Rows are first counted per distinct (x, y), so ties cost nothing after the map side.
@@ -39,7 +39,7 @@ def correlations(df: DataFrame, ordinal: str, scores: dict[str, str]) -> DataFra
     return reduce(DataFrame.unionByName, [spearman(df, ordinal, column, name) for name, column in scores.items()])
 
 
-def box_summary(df: DataFrame, value: str, by: str, buckets: int = VALUE_BUCKETS) -> DataFrame:
+def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None) -> DataFrame:
     """(by, n, lowest, q1, median, q3, highest, whisker_low, whisker_high) per class.
 
     Whiskers are the outermost values within 1.5 interquartile ranges of the box.

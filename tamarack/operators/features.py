@@ -23,6 +23,17 @@ class Preprocessor:
         return self.model.transform(df)
 
 
+VOCABULARY = 100_000  # categories or classes a model can be asked to keep on the driver
+
+
+def vocabulary(values: DataFrame) -> list:
+    """The rows of a small table of distinct values; too many of them is an error, never a cut."""
+    rows = values.limit(VOCABULARY + 1).collect()
+    if len(rows) > VOCABULARY:
+        raise ValueError(f"more than {VOCABULARY} distinct values in {values.columns[0]}: not a category")
+    return rows
+
+
 def number(column: str) -> Column:
     """Numeric column with NaN read as missing."""
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
@@ -50,7 +61,7 @@ def _quoted(text: str) -> str:
 def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: str) -> Preprocessor:
     statistics = numeric_statistics(df, numeric)
     # One row per category: both the encoder's vocabulary and, first in line, the most frequent value.
-    counts = value_counts(df.select(F.col(categorical).alias("value")), ["value"]).collect()
+    counts = vocabulary(value_counts(df.select(F.col(categorical).alias("value")), ["value"]))
     mode = counts[0]["value"] if counts else ""
     categories = sorted({row["value"] for row in counts} | {mode})
 
@@ -73,7 +84,7 @@ def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: str) -> Pre
 
 def sorted_classes(df: DataFrame, label: str) -> list[str]:
     """The label vocabulary in sorted order; its positions are the class indices everywhere."""
-    return sorted(row[0] for row in df.select(label).dropna().distinct().collect())
+    return sorted(row[0] for row in vocabulary(df.select(label).dropna().distinct()))
 
 
 def class_index(label: str, classes: list[str]) -> Column:

@@ -6,6 +6,8 @@ back to the rows. A bin of width B holds at most B positions and, after clipping
 B * (B + 1) / 2 distinct intervals, so no bin can grow with the data.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +19,20 @@ def distinct_positions(df: DataFrame, chrom: str, position: str) -> DataFrame:
 def measured_bin_width(track: DataFrame, start: str, end: str, least: int = 64) -> int:
     """Smallest power of two above the mean interval length: binning then at most triples the track."""
     mean = track.filter(F.col(end) > F.col(start)).agg(F.avg(F.col(end) - F.col(start))).first()[0]
-    width = least
-    while mean is not None and width < mean:
-        width *= 2
-    return width
+    return _power_of_two(max(least, mean or 0))
+
+
+def _power_of_two(width: float) -> int:
+    return 1 << max(0, math.ceil(math.log2(width)))
+
+
+def _bin(position: Column, width: int) -> Column:
+    return F.shiftright(position, width.bit_length() - 1)
 
 
 def _binned(track: DataFrame, start: Column, end: Column, width: int, payload: list[Column], order: list[Column]) -> DataFrame:
     """One row per (chrom, bin, clipped range), holding the first payload in ``order``."""
-    first_bin, last_bin = F.floor(start / width), F.floor((end - 1) / width)
+    first_bin, last_bin = _bin(start, width), _bin(end - 1, width)
     bins = track.filter(end > start).select(
         "chrom", start.alias("_start"), end.alias("_end"), F.struct(*order, *payload).alias("_hit"),
         F.explode(F.sequence(first_bin, last_bin)).alias("_bin"),
@@ -41,16 +48,17 @@ def first_hit(
     """(chrom, position, payload...) for each 1-based position inside a 0-based half-open interval.
 
     Where intervals overlap, the first in ``order`` (then by start) wins. Positions must be distinct; those
-    outside every interval are left out, as the join back to the rows is a left join.
+    outside every interval are left out, as the join back to the rows is a left join. ``width`` is rounded up to a
+    power of two.
     """
-    width = width or measured_bin_width(track, start, end)
+    width = _power_of_two(width) if width else measured_bin_width(track, start, end)
     bins = _binned(
         track, F.col(start), F.col(end), width,
         payload=[F.col(column).alias(f"_p_{column}") for column in payload],
         order=[F.col(column).alias(f"_o_{column}") for column in [*order, start, end]],
     )
     points = positions.select(F.col(chrom).alias("chrom"), F.col(position).alias("_position")).withColumn(
-        "_bin", F.floor((F.col("_position") - 1) / width)
+        "_bin", _bin(F.col("_position") - 1, width)
     )
     inside = (F.col("_low") < F.col("_position")) & (F.col("_position") <= F.col("_high"))
     # Grouping by a superset of the join keys needs no shuffle of its own.

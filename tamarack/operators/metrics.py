@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import snake_label
+from tamarack.operators.summaries import listed
 
 
 def confusion_counts(predictions: DataFrame, by: list[str], actual: str = "actual", predicted: str = "predicted") -> DataFrame:
@@ -65,8 +66,7 @@ def macro_f1(counts: DataFrame, by: list[str]) -> DataFrame:
 def confusion_matrix(counts: DataFrame, classes: list[str]) -> DataFrame:
     """One row per true class and one column per predicted class, zero-filled."""
     spread = counts.filter(F.col("actual").isin(classes)).groupBy("actual").pivot("predicted", classes).agg(F.sum("n"))
-    listed = counts.sparkSession.createDataFrame([(c,) for c in classes], "actual string")
-    return listed.join(spread, "actual", "left").fillna(0, classes)
+    return listed(counts.sparkSession, classes, "actual").join(spread, "actual", "left").fillna(0, classes)
 
 
 def cv_summary(predictions: DataFrame, model: str, fold: str, classes: list[str]) -> DataFrame:

@@ -5,13 +5,25 @@ bucket by the total of the buckets before it. Only the bucket totals, at most on
 ordered in one place.
 """
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-VALUE_BUCKETS = 256  # a power of two; raise it with the number of distinct values
 FEW_ROWS = 1_000_000  # rows that may be ordered in one task
-HASH_DIGITS = 3  # 16 ** 3 buckets per class; raise it with the number of rows
+SAMPLED_PER_BUCKET = 200
+
+
+def _value_buckets(rows: int) -> int:
+    """A power of two that keeps a bucket to about ``FEW_ROWS``. The bounds sit in the plan, hence the upper end;
+    beyond it buckets grow, and their tasks spill."""
+    return min(max(64, 1 << math.ceil(math.log2(max(rows, 1) / FEW_ROWS + 1))), 16_384)
+
+
+def _hash_digits(rows: int) -> int:
+    """Hexadecimal digits that keep a bucket to about ``FEW_ROWS``."""
+    return max(2, math.ceil(math.log(max(rows, 1) / FEW_ROWS + 1, 16)))
 
 
 def _weight_before(df: DataFrame, by: list[str], bucket: str, order: list[Column], weight: Column, name: str) -> DataFrame:
@@ -43,26 +55,30 @@ def _numbers(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.select(*by, F.col(value).cast("double").alias("value")).filter("value is not null and not isnan(value)")
 
 
-def _distinct_values(rows: DataFrame, by: list[str], buckets: int) -> DataFrame:
+def _distinct_values(rows: DataFrame, by: list[str], size: int, buckets: int | None) -> DataFrame:
     """(by..., value, n, bucket) over distinct values. The bucket bounds are fixed numbers in the plan."""
+    buckets = buckets or _value_buckets(size)
+    # The bounds only spread the work, like those of a range partitioner, so a sample is enough to choose them.
+    share = min(1.0, SAMPLED_PER_BUCKET * buckets / max(size, 1))
     shares = [i / buckets for i in range(1, buckets)]
-    bounds = rows.approxQuantile("value", shares, 0.5 / buckets) or [0.0] * len(shares)
+    bounds = rows.sample(share, seed=1).approxQuantile("value", shares, 0.5 / buckets) or [0.0] * len(shares)
     counts = rows.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
     # Never null, and said so: otherwise a not-null test on the search is pushed down to every raw row, and the
     # two uses of the counts no longer share their shuffle.
     return counts.withColumn("bucket", F.coalesce(_bucket_of(F.col("value"), bounds), F.lit(0)))
 
 
-def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int = VALUE_BUCKETS) -> DataFrame:
+def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """(by..., value, n, avg_rank): the mean of the ranks that tied values share."""
     by = by or []
-    counts = _distinct_values(_numbers(df, by, value), by, buckets)
+    rows = _numbers(df, by, value)
+    counts = _distinct_values(rows, by, rows.count(), buckets)
     placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
     return placed.select(*by, "value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("avg_rank"))
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int = VALUE_BUCKETS, few: int = FEW_ROWS
+    df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int | None = None, few: int = FEW_ROWS
 ) -> DataFrame:
     """(by..., q array): linearly interpolated quantiles of the non-null values, exact at any size.
 
@@ -71,9 +87,10 @@ def exact_quantiles(
     """
     by = by or []
     rows = _numbers(df, by, value)
-    if rows.count() <= few:
+    size = rows.count()
+    if size <= few:
         return rows.groupBy(*by).agg(F.percentile("value", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
-    counts = _distinct_values(rows, by, buckets)
+    counts = _distinct_values(rows, by, size, buckets)
     placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
     sizes = counts.groupBy(*by, F.lit(0).alias("_one")).agg(F.sum("n").alias("_size"))
     rows = placed.withColumn("_one", F.lit(0)).join(sizes, [*by, "_one"])
@@ -92,19 +109,20 @@ def exact_quantiles(
     return rows.groupBy(*by, "_one").agg(*ends).select(*by, F.array(*results).alias("q"))
 
 
-def exact_medians(df: DataFrame, columns: list[str], buckets: int = VALUE_BUCKETS, few: int = FEW_ROWS) -> DataFrame:
+def exact_medians(df: DataFrame, columns: list[str], buckets: int | None = None, few: int = FEW_ROWS) -> DataFrame:
     """(column, median) of several numeric columns; a column without values is left out."""
     narrow = df.select([F.col(column).cast("double").alias(column) for column in columns])
     long = narrow.unpivot([], columns, "column", "value")
     return exact_quantiles(long, "value", [0.5], ["column"], buckets, few).select("column", F.get("q", 0).alias("median"))
 
 
-def stratified_folds(df: DataFrame, row_id: str, label: str, folds: int = 5, seed: int = 42, digits: int = HASH_DIGITS) -> DataFrame:
+def stratified_folds(df: DataFrame, row_id: str, label: str, folds: int = 5, seed: int = 42, digits: int | None = None) -> DataFrame:
     """Adds ``fold`` (0 .. folds - 1): each class is dealt out in turn, in the order of a seeded hash of the row id.
 
     The leading digits of the hash are the buckets, so even one class that holds most rows spreads evenly.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}-"), F.col(row_id).cast("string")))
+    digits = digits or _hash_digits(df.count())
     hashed = df.filter(F.col(label).isNotNull()).withColumn("_digest", digest).withColumn(
         "_bucket", F.substring("_digest", 1, digits)
     )

@@ -1,6 +1,6 @@
 """Counts, coverage and per-class summaries."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -32,11 +32,15 @@ def terms_seen(df: DataFrame, by: list[str], term: str) -> DataFrame:
     return df.select(*by, term).distinct()
 
 
+def listed(spark: SparkSession, values: list[str], name: str) -> DataFrame:
+    """A given short list as a one-column table."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(value) for value in values])).alias(name))
+
+
 def counts_for_classes(df: DataFrame, predicted: str, classes: list[str], name: str = "n") -> DataFrame:
     """Count of each listed class, 0 for the absent ones."""
     counted = df.filter(F.col(predicted).isin(classes)).groupBy(predicted).agg(F.count(F.lit(1)).alias(name))
-    listed = df.sparkSession.createDataFrame([(c,) for c in classes], f"{predicted} string")
-    return listed.join(counted, predicted, "left").fillna(0, [name])
+    return listed(df.sparkSession, classes, predicted).join(counted, predicted, "left").fillna(0, [name])
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

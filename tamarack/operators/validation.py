@@ -1,8 +1,10 @@
 """Stratified cross-validation with everything fitted inside the fold."""
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +19,18 @@ Models = Callable[[int], dict[str, Estimator]]
 
 def out_of_fold_predictions(
     gold: DataFrame, row_id: str, label: str, numeric: list[str], categorical: str, classes: list[str], models: Models,
-    folds: int = FOLDS, seed: int = SEED, extra: Callable[[DataFrame], DataFrame] | None = None,
+    folds: int = FOLDS, seed: int = SEED, extra: Callable[[DataFrame], DataFrame] | None = None, parallelism: int = 3,
 ) -> DataFrame:
     """(model, fold, row_id, actual, predicted), each gold row once per model.
 
     Test folds hold gold rows only. ``extra`` maps the gold training rows of a fold to further training rows.
+    Up to ``parallelism`` folds are fitted at the same time, each with its training rows cached meanwhile.
     The table is written once; every metric and the confusion matrix read it.
     """
     columns = [row_id, label, *numeric, categorical]
     assigned = written(stratified_folds(gold.select(*columns), row_id, label, folds, seed), "folds")
-    results = []
-    for fold in range(folds):
+
+    def one_fold(fold: int) -> list[DataFrame]:
         train, test = assigned.filter(F.col("fold") != fold).select(*columns), assigned.filter(F.col("fold") == fold)
         if extra is not None:
             train = train.unionByName(extra(train).select(*columns))
@@ -35,11 +38,16 @@ def out_of_fold_predictions(
         weighted = train.withColumn("_weight", balanced_weight(train, label)).withColumn("_class", class_index(label, classes))
         ready = preprocessor.transform(weighted).select("features", "_class", "_weight").persist()
         prepared_test = preprocessor.transform(test)
-        for name, estimator in models(ready.count()).items():
-            scored = estimator.fit(ready).transform(prepared_test)
-            results.append(scored.select(
+        fitted = {name: estimator.fit(ready) for name, estimator in models(ready.count()).items()}
+        ready.unpersist()
+        return [
+            model.transform(prepared_test).select(
                 F.lit(name).alias("model"), "fold", row_id, F.col(label).alias("actual"),
                 class_name(F.col("prediction"), classes).alias("predicted"),
-            ))
-        ready.unpersist()
+            )
+            for name, model in fitted.items()
+        ]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        results = [part for parts in pool.map(inheritable_thread_target(one_fold), range(folds)) for part in parts]
     return written(reduce(DataFrame.unionByName, results), "out-of-fold")

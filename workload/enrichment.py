@@ -4,16 +4,20 @@ Stand-ins: a customer is a chromosome and a day a position; orders make the scor
 shipped line items the points. The tracks overlap, so "first hit" is put to the test.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions import payload
 from tamarack.operators import enrich, grid, intervals
+from tamarack.session import shared_folder, written
+from tamarack.sources import payloads
 from workload.catalog import Tables, query
 
 
 def _annotations(t: Tables) -> DataFrame:
-    """One JSON payload per event. Some have no transcripts, some no frequencies, some both kinds of frequency."""
+    """One JSON payload per event, landed as text and read with its schema. Some have no transcripts, some no frequencies, some both kinds of frequency."""
     kind, value = F.col("event_type"), F.col("value").cast("string")
     transcripts = F.when(kind == "click", F.lit("[]")).when(kind == "view", F.lit("null")).otherwise(
         F.concat(F.lit('[{"impact": "'), F.upper(kind), F.lit('"}, {"impact": "OTHER"}]'))
@@ -27,9 +31,11 @@ def _annotations(t: Tables) -> DataFrame:
     colocated = F.when(kind == "error", F.lit("null")).otherwise(found)
     json = F.concat(
         F.lit('{"input": "7 '), F.col("user_id").cast("string"), F.lit(' . A T . . .", "most_severe_consequence": "'), kind,
-        F.lit('_variant", "transcript_consequences": '), transcripts, F.lit(', "colocated_variants": '), colocated, F.lit("}"),
+        F.lit('_variant", "src_ord": '), F.col("event_id").cast("string"), F.lit(', "transcript_consequences": '), transcripts, F.lit(', "colocated_variants": '), colocated, F.lit("}"),
     )
-    return t.events.select("event_id", F.from_json(json, payload.ANNOTATION_SCHEMA).alias("p")).select("p.*", F.col("event_id").alias("src_ord"))
+    path = f"{shared_folder(t.spark)}/annotations-{uuid.uuid4().hex}"
+    t.events.select(json.alias("value")).write.text(path)
+    return payloads.annotation_payloads(t.spark, path)
 
 
 ANNOTATION_SQL = """
@@ -239,7 +245,7 @@ def _cells(t: Tables) -> DataFrame:
     header = used.join(years.withColumn("col_idx", F.col("year") - 1990), "col_idx").select(
         "gene", "col_idx", F.inline(heads)
     ).select("gene", "row_idx", "col_idx", "value")
-    return names.unionByName(values).unionByName(marks).unionByName(header)
+    return written(names.unionByName(values).unionByName(marks).unionByName(header), "cells")
 
 
 @query(f"""
