@@ -26,14 +26,26 @@ def _hash_digits(rows: int) -> int:
     return max(2, math.ceil(math.log(max(rows, 1) / FEW_ROWS + 1, 16)))
 
 
+def _bucket_shifts(df: DataFrame, by: list[str], bucket: str, weight: Column) -> DataFrame:
+    """(by..., bucket, _total, _shift, _size): weight of the bucket, of the buckets before it, and of the group."""
+    totals = df.groupBy(*by, bucket).agg(F.sum(weight).alias("_total"))
+    group = Window.partitionBy(*by, F.lit(0))
+    earlier = group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns({
+        "_shift": F.coalesce(F.sum("_total").over(earlier), F.lit(0)), "_size": F.sum("_total").over(group),
+    })
+
+
+def _inside_before(by: list[str], bucket: str, order: list[Column], weight: Column) -> Column:
+    """Weight of the rows before this one in its bucket."""
+    inside = Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(weight).over(inside), F.lit(0))
+
+
 def _weight_before(df: DataFrame, by: list[str], bucket: str, order: list[Column], weight: Column, name: str) -> DataFrame:
     """Adds the total weight of the rows that come before each row of its group. ``by`` must not be null."""
-    earlier = (Window.unboundedPreceding, -1)
-    totals = df.groupBy(*by, bucket).agg(F.sum(weight).alias("_total"))
-    over_buckets = Window.partitionBy(*by, F.lit(0)).orderBy(bucket).rowsBetween(*earlier)
-    shifts = totals.select(*by, bucket, F.coalesce(F.sum("_total").over(over_buckets), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(*earlier)
-    placed = df.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    shifts = _bucket_shifts(df, by, bucket, weight).select(*by, bucket, "_shift")
+    placed = df.withColumn("_inside", _inside_before(by, bucket, order, weight))
     return placed.join(shifts, [*by, bucket]).withColumn(name, F.col("_shift") + F.col("_inside")).drop("_shift", "_inside")
 
 
@@ -71,8 +83,7 @@ def _distinct_values(rows: DataFrame, by: list[str], size: int, buckets: int | N
 def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """(by..., value, n, avg_rank): the mean of the ranks that tied values share."""
     by = by or []
-    rows = _numbers(df, by, value)
-    counts = _distinct_values(rows, by, rows.count(), buckets)
+    counts = _distinct_values(_numbers(df, by, value), by, df.count(), buckets)
     placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
     return placed.select(*by, "value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("avg_rank"))
 
@@ -87,26 +98,34 @@ def exact_quantiles(
     """
     by = by or []
     rows = _numbers(df, by, value)
-    size = rows.count()
+    size = df.count()  # an upper bound; of a stored table the footers give it
     if size <= few:
         return rows.groupBy(*by).agg(F.percentile("value", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
     counts = _distinct_values(rows, by, size, buckets)
-    placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
-    sizes = counts.groupBy(*by, F.lit(0).alias("_one")).agg(F.sum("n").alias("_size"))
-    rows = placed.withColumn("_one", F.lit(0)).join(sizes, [*by, "_one"])
+
+    def places(size: Column) -> list[tuple[Column, Column]]:
+        exact = [(size - 1) * F.lit(float(share)) for share in shares]
+        return [(F.floor(place), F.ceil(place)) for place in exact]
+
+    # Only the few buckets that hold a wanted place are ordered.
+    wanted = F.array(*[end for pair in places(F.col("_size")) for end in pair])
+    chosen = _bucket_shifts(counts, by, "bucket", F.col("n")).filter(
+        F.exists(wanted, lambda place: (F.col("_shift") <= place) & (place < F.col("_shift") + F.col("_total")))
+    )
+    placed = counts.join(chosen.drop("_total"), [*by, "bucket"]).withColumn(
+        "below", F.col("_shift") + _inside_before(by, "bucket", [F.col("value")], F.col("n"))
+    )
 
     def at(place: Column) -> Column:
         holds = (F.col("below") <= place) & (place < F.col("below") + F.col("n"))
         return F.max(F.when(holds, F.col("value")))
 
     ends, results = [], []
-    for i, share in enumerate(shares):
-        place = (F.col("_size") - 1) * F.lit(float(share))
-        ends += [at(F.floor(place)).alias(f"_low{i}"), at(F.ceil(place)).alias(f"_high{i}")]
+    for i, (share, (low, high)) in enumerate(zip(shares, places(F.col("_size")))):
         between = (F.max("_size") - 1) * F.lit(float(share))
-        ends.append((between - F.floor(between)).alias(f"_part{i}"))
+        ends += [at(low).alias(f"_low{i}"), at(high).alias(f"_high{i}"), (between - F.floor(between)).alias(f"_part{i}")]
         results.append(F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}"))
-    return rows.groupBy(*by, "_one").agg(*ends).select(*by, F.array(*results).alias("q"))
+    return placed.groupBy(*by, F.lit(0).alias("_one")).agg(*ends).select(*by, F.array(*results).alias("q"))
 
 
 def exact_medians(df: DataFrame, columns: list[str], buckets: int | None = None, few: int = FEW_ROWS) -> DataFrame:

@@ -49,5 +49,5 @@ def out_of_fold_predictions(
         ]
 
     with ThreadPoolExecutor(parallelism) as pool:
-        results = [part for parts in pool.map(inheritable_thread_target(one_fold), range(folds)) for part in parts]
+        results = [part for parts in pool.map(inheritable_thread_target(gold.sparkSession)(one_fold), range(folds)) for part in parts]
     return written(reduce(DataFrame.unionByName, results), "out-of-fold")
