@@ -68,5 +68,6 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     return df
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, order: list[str] | None = None) -> DataFrame:
+    """A few rows to look at; the same ones each time if an order is given."""
+    return (df.orderBy(*order) if order else df).limit(rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions import payload, text
 from tamarack.functions.vocab import USABLE_TERMS
-from tamarack.operators import enrich, filters, keys, summaries
+from tamarack.operators import enrich, features, filters, keys, summaries
 from tamarack.operators.scoring import display_columns
 from workload.catalog import Tables, query
 
@@ -390,3 +390,18 @@ def union_and_split_back(t: Tables) -> DataFrame:
     )
     gold_rows, pool_rows = filters.split(together, F.col("origin") == "gold")
     return summaries.value_counts(gold_rows.unionByName(pool_rows), ["origin", "term"])
+
+
+@query("select o_orderkey, o_orderpriority from orders order by o_orderpriority desc, o_orderkey limit 10")
+def preview(t: Tables) -> DataFrame:
+    return filters.preview(t.orders.select("o_orderkey", "o_orderpriority"), 10, [F.desc("o_orderpriority"), "o_orderkey"])
+
+
+@query("""
+select p_partkey, cast(dense_rank() over (order by p_type) - 1 as double) as label_index, p_type as decoded from part
+""")
+def label_encoding(t: Tables) -> DataFrame:
+    """Class indices follow the sorted class names, and lead back to them."""
+    classes = features.sorted_classes(t.part, "p_type")
+    encoded = t.part.select("p_partkey", features.class_index("p_type", classes).alias("label_index"))
+    return encoded.withColumn("decoded", features.class_name(F.col("label_index"), classes))

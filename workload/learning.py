@@ -6,10 +6,12 @@ registered queries use few and shallow trees; the library's defaults are the pub
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.operators.attribution import overall_importance, top_features
+from tamarack.operators.features import fit_preprocessor
 from tamarack.operators.keys import unlabelled_pool
 from tamarack.operators.scoring import load_bundle, prediction_table, score
 from tamarack.operators.selftrain import frequency_scorer, self_train
@@ -111,6 +113,22 @@ def feature_coverage(t: Tables) -> DataFrame:
     return coverage(document_features(t.documents), ["n_chars", "n_lines", "digit_share"])
 
 
+@query("""
+with docs as (select doc_id, n_chars::double as n_chars, nullif(lang, 'de') as lang, doc_id in (select doc_id from labels) as gold from documents),
+fitted as (select avg(n_chars) as mu, stddev_pop(n_chars) as sd from docs where gold),
+mode as (select lang as most from docs where gold and lang is not null group by 1 order by count(*) desc, 1 limit 1)
+select doc_id, round((n_chars - mu) / sd, 6) as n_chars, filled = 'en' as en, filled = 'es' as es, filled = 'fr' as fr
+from (select *, coalesce(lang, most) as filled from docs, mode), fitted
+""")
+def preprocessed_documents(t: Tables) -> DataFrame:
+    """Fitted on labelled documents, applied to all; one language is unknown everywhere and takes the most frequent one."""
+    documents = t.documents.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"), F.nullif("lang", F.lit("de")).alias("lang"))
+    fitted = fit_preprocessor(documents.join(t.labels, "doc_id", "left_semi"), ["n_chars"], "lang")
+    values = vector_to_array("features")
+    flags = [F.get(values, i + 1).cast("boolean").alias(name.removeprefix("cat__lang_")) for i, name in enumerate(fitted.feature_names[1:])]
+    return fitted.transform(documents).select("doc_id", F.round(F.get(values, 0), 6).alias("n_chars"), *flags)
+
+
 @query()
 def model_comparison(t: Tables) -> DataFrame:
     """Three classifiers, out-of-fold."""
