@@ -32,7 +32,7 @@ CLASSES = ["clean", "poor", "toxic"]
 
 def document_features(documents: DataFrame) -> DataFrame:
     """Numbers over whole texts; one source has no line counts, so there is something to fill."""
-    digits = F.length(F.regexp_replace("text", "[^0-9]", ""))
+    digits = F.length("text") - F.length(F.translate("text", "0123456789", ""))
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return documents.select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
