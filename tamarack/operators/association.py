@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.student import correlation_p
@@ -39,10 +39,11 @@ def correlations(df: DataFrame, ordinal: str, scores: dict[str, str]) -> DataFra
     return reduce(DataFrame.unionByName, [spearman(df, ordinal, column, name) for name, column in scores.items()])
 
 
-def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None) -> DataFrame:
+def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None, at_least: int = 3) -> DataFrame:
     """(by, n, lowest, q1, median, q3, highest, whisker_low, whisker_high) per class.
 
-    Whiskers are the outermost values within 1.5 interquartile ranges of the box.
+    Whiskers are the outermost values within 1.5 interquartile ranges of the box. With fewer than ``at_least``
+    values over all classes there is no summary.
     """
     rows = df.filter(F.col(value).isNotNull() & F.col(by).isNotNull())
     quarters = exact_quantiles(rows, value, [0.0, 0.25, 0.5, 0.75, 1.0], [by], buckets)
@@ -55,4 +56,6 @@ def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None)
         F.count(F.lit(1)).alias("n"), F.min(F.when(inside, number)).alias("whisker_low"),
         F.max(F.when(inside, number)).alias("whisker_high"),
     )
-    return reduced.select(by, "n", *names, "whisker_low", "whisker_high")
+    enough = F.sum("n").over(Window.partitionBy(F.lit(0))) >= at_least  # one row per class
+    kept = reduced.withColumn("_enough", enough).filter("_enough")
+    return kept.select(by, "n", *names, "whisker_low", "whisker_high")

@@ -43,7 +43,7 @@ def test_medians_leave_out_empty_columns(spark, few):
     assert {r.column: r["median"] for r in ranks.exact_medians(rows, ["a", "b"], few=few).collect()} == {"a": 3.0}
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(sizes=st.lists(st.integers(1, 60), min_size=1, max_size=4), folds=st.integers(2, 6), digits=st.integers(1, 3))
 def test_folds_are_a_balanced_partition(spark, sizes, folds, digits):
     rows = [(i, f"c{c}") for c, size in enumerate(sizes) for i in range(c * 1000, c * 1000 + size)]
