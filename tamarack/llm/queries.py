@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, exactdedup, mixing, urlfilter
+from tamarack.llm import chat, exactdedup, linededup, mixing, packing, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +28,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer() -> packing.ByteLevel:
+    return packing.ByteLevel(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def escaped_sql(text: str) -> str:
     for first, rests in chat.Template().patterns().items():
         mark = "\\[" if first == "[" else first
@@ -171,3 +176,23 @@ from ruled r left join scores using (host)
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = urlfilter.filtered_urls(table(spark, folder, "pages"))
     return judged.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), tokenizer())
+
+
+@query(r"""
+with lines as (
+  select nth, doc_id, unnest(l) as line, generate_subscripts(l, 1) as pos
+  from (select row_number() over () as nth, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)
+), keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+frequent as (select key from keyed where key <> '' group by key having count(distinct nth) >= 10)
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(f.key) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (f.key is null), '')) as kept_sha256
+from keyed left join frequent f using (key) group by nth
+""")
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    clean = linededup.deduped_lines(table(spark, folder, "documents"))
+    return clean.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
