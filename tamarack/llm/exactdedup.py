@@ -17,11 +17,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.llm.joins import attach
 from tamarack.llm.scratch import Scratch
 
 SALTS = 16
-#: A text with more than 1/HOT of all rows is hot; there are fewer than HOT of them at any size.
-HOT = 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,22 +43,16 @@ def text_groups(rows: DataFrame) -> DataFrame:
 def exact_dedup(documents: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, for every row.
 
-    Only groups of several rows are written and joined. Rows of the few hot groups (fewer than ``HOT`` at any size)
-    learn their winner by broadcast, and go to the other join under a key of their own, so no task gets a hot group.
+    Only groups of several rows are written and joined.
     """
     scratch = Scratch(documents.sparkSession, "exact-dedup")
     rows = documents.select("doc_id", normalised(F.col("text")).alias("text")).withColumn("digest", digest(F.col("text")))
     per_digest = text_groups(rows).groupBy("digest").agg(F.count("*").alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"))
     several = scratch.write(per_digest.where("texts > 1 or group_size > 1"), "groups")
-    hot = several.where(F.col("texts") == 1).where(F.col("group_size") * HOT > documents.count()).select(F.col("digest").alias("hot_digest"), F.col("keep_id").alias("hot_keep"), F.col("group_size").alias("hot_size"))
-    marked = rows.select("doc_id", "digest", sha256(F.col("text")).alias("text_sha256")).join(F.broadcast(hot), F.col("digest") == F.col("hot_digest"), "left")
-    # A hot row needs no second join; a key of its own spreads these rows.
-    own = F.concat_ws(":", F.lit("hot"), F.col("doc_id"))
-    keyed = marked.withColumn("key", F.when(F.col("hot_digest").isNull(), F.col("digest")).otherwise(own))
-    cold = several.where("texts = 1").select(F.col("digest").alias("key"), F.col("keep_id").alias("cold_keep"), F.col("group_size").alias("cold_size"))
-    settled = keyed.join(cold, "key", "left").select(
-        "doc_id", F.coalesce("hot_keep", "cold_keep", F.when(F.coalesce("hot_size", "cold_size").isNull(), F.col("doc_id"))).alias("keep_id"),
-        F.coalesce("hot_size", "cold_size", F.lit(1)).alias("group_size"), "text_sha256", "digest",
+    marked = rows.select("doc_id", "digest", sha256(F.col("text")).alias("text_sha256"))
+    settled = attach(marked, several.drop("texts"), "digest", "group_size", documents.count(), "doc_id").select(
+        "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"), "text_sha256", "digest",
     )
     clashing = several.where("texts > 1").select("digest")
     if not clashing.isEmpty():  # equal digests of different texts: these rows are told apart by their texts

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tamarack.llm.scratch import Scratch
 from tamarack.llm.textops import mixed64
-from tamarack.session import ship_package
+from tamarack.llm.workers import prepare
 
 DOCUMENTS_PER_BLOCK = 2048
 KEYS_PER_SHARD = 1 << 17
@@ -189,7 +189,7 @@ def frequent_hashes(hashes: DataFrame, index: DataFrame, shards: int, threshold:
 def deduped_lines(documents: DataFrame, threshold: int = 10) -> DataFrame:
     """The table, its texts without the lines found in ``threshold`` documents, with ``_n_lines`` and ``_n_dropped``."""
     spark = documents.sparkSession
-    ship_package(spark)
+    prepare(spark)
     scratch = Scratch(spark, "line-dedup")
     blocks = in_blocks(documents)
     hashes = scratch.write(line_hashes(blocks), "hashes")

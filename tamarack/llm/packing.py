@@ -13,6 +13,7 @@ own; an empty table gives an empty one; other columns are ignored.
 import json
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.llm.scratch import Scratch
-from tamarack.session import ship_package
+from tamarack.llm.workers import prepare
 
 CAPACITY = 2048
 END = 0
@@ -38,6 +39,7 @@ class ByteLevel:
     path: str
     pattern: str
 
+    @lru_cache  # once per worker
     def load(self):
         import tiktoken
 
@@ -61,7 +63,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def cut_pieces(documents: DataFrame, tokenizer: ByteLevel, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32[, ids], and the piece's task and number among those of its length there."""
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"] + ["ids"] * with_ids
 

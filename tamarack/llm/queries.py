@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, exactdedup, linededup, mixing, packing, urlfilter
+from tamarack.llm import chat, exactdedup, linededup, mixing, ngramjoin, packing, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -196,3 +196,8 @@ from keyed left join frequent f using (key) group by nth
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     clean = linededup.deduped_lines(table(spark, folder, "documents"))
     return clean.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngramjoin.jaccard_join(table(spark, folder, "documents")).drop("address")
