@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, exactdedup, linededup, mixing, ngramjoin, packing, urlfilter
+from tamarack.llm import chat, exactdedup, linededup, mixing, ngramjoin, packing, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,8 +57,7 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     # A conversation whose texts hold control strings, to show that they come back.
     odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROLS).alias("text"))
-    turns = chat.rendered_turns(given.unionByName(odd))
-    return chat.read_back(turns, chat.prefix_targets(turns))
+    return chat.read_back(chat.rendered_turns(given.unionByName(odd)))
 
 
 @query("""
@@ -201,3 +200,13 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngramjoin.jaccard_join(table(spark, folder, "documents")).drop("address")
+
+
+@query()
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    return toxicity.scored(documents, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        F.col("_neighbours").alias("neighbours"), F.col("_cosines").alias("cosines"),
+    )
