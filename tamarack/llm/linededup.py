@@ -187,10 +187,12 @@ def frequent_hashes(hashes: DataFrame, index: DataFrame, shards: int, threshold:
 
 
 def deduped_lines(documents: DataFrame, threshold: int = 10) -> DataFrame:
-    """The table, its texts without the lines found in ``threshold`` documents, with ``_n_lines`` and ``_n_dropped``."""
+    """The table, its texts without the lines found in ``threshold`` documents, with ``_n_lines`` and ``_n_dropped``
+    (which replace columns of these names)."""
     spark = documents.sparkSession
     prepare(spark)
     scratch = Scratch(spark, "line-dedup")
+    documents = documents.drop("_n_lines", "_n_dropped")
     blocks = in_blocks(documents)
     hashes = scratch.write(line_hashes(blocks), "hashes")
     index, shards = line_index(hashes, scratch, threshold)

@@ -83,8 +83,8 @@ def leaf_budgets(held: DataFrame, mix: Mix) -> DataFrame:
 
 
 def measured(documents: DataFrame, domain: Column) -> DataFrame:
-    """What the choice of a row depends on; names start with an underscore, so no column of the table clashes."""
-    return documents.select(
+    """The table with what the choice of a row depends on, which replaces columns of the same names."""
+    return documents.drop("_domain", "_tokens", "_text").select(
         "*", domain.alias("_domain"), tokens(F.col("text")).alias("_tokens"), F.md5(F.coalesce("text", F.lit(""))).alias("_text"),
     )
 
@@ -120,17 +120,19 @@ def prefix_ends(documents: DataFrame, domain: Column, mix: Mix, scratch: Scratch
 
 
 def mixed(documents: DataFrame, domain: Column, mix: Mix) -> DataFrame:
-    """The table with ``_domain``, ``_tokens`` and ``_copies``: in how many epochs of its leaf the row is taken.
+    """The table with ``_domain``, ``_tokens`` and ``_copies`` (replacing columns of these names, ``_epochs``, ``_end``
+    and ``_text``): in how many epochs of its leaf the row is taken.
 
     A prefix is the shortest run of rows that holds the leaf's budget. No row is shuffled for the last step.
     """
     scratch = Scratch(documents.sparkSession, "mixing")
     ends = prefix_ends(documents, domain, mix, scratch)
     scratch.drop("measured", "budgets")
-    rows = measured(documents, domain).join(F.broadcast(ends), ["_domain", "lang", "source"], "left")
+    rows = measured(documents.drop("_epochs", "_end", "_copies"), domain).join(F.broadcast(ends), ["_domain", "lang", "source"], "left")
     here = F.struct(place(mix.seed).alias("_place"), "_tokens", "_text")
     copies = F.coalesce("_epochs", F.lit(0)) + F.coalesce((here <= F.col("_end")).cast("long"), F.lit(0))
-    return rows.select(*[documents[c] for c in documents.columns], "_domain", "_tokens", copies.alias("_copies"))
+    added = ("_domain", "_tokens", "_copies")
+    return rows.select(*[c for c in documents.columns if c not in (*added, "_epochs", "_end", "_text")], "_domain", "_tokens", copies.alias("_copies"))
 
 
 def in_epochs(rows: DataFrame) -> DataFrame:

@@ -252,5 +252,5 @@ def jaccard_join(documents: DataFrame, how: Join = Join()) -> DataFrame:
 
 def one_per_class(documents: DataFrame, how: Join = Join()) -> DataFrame:
     """The table without the rows whose class has a smaller doc_id."""
-    gone = jaccard_join(documents, how).where("not kept").select(F.col("address").alias("_gone")).distinct()
-    return documents.join(gone, F.xxhash64("doc_id", "text") == F.col("_gone"), "left_anti")
+    gone = jaccard_join(documents, how).where("not kept").select("address").distinct()
+    return documents.join(gone, F.xxhash64(documents["doc_id"], documents["text"]) == gone["address"], "left_anti")

@@ -158,7 +158,9 @@ def fit(documents: DataFrame, ratings: DataFrame, how: Setting = Setting()) -> M
 
 
 def graded(documents: DataFrame, model: Model, select_from: int = 1, least: float = 0.5) -> DataFrame:
-    """The table with ``_grade`` (expected), ``_tail`` (probability of ``select_from`` and better) and ``_kept``."""
+    """The table with ``_grade`` (expected), ``_tail`` (probability of ``select_from`` and better) and ``_kept``,
+    replacing columns of these names."""
+    documents = documents.drop("_grade", "_tail", "_kept")
     names = documents.columns
     shared = documents.sparkSession.sparkContext.broadcast(model)  # 3 MB, by its Setting
 

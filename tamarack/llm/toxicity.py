@@ -282,7 +282,8 @@ def fit(documents: DataFrame, labels: DataFrame, how: Setting = Setting()) -> Mo
 
 
 def scored(documents: DataFrame, model: Model | None) -> DataFrame:
-    """The table with ``_score``, ``_neighbours`` and ``_cosines``: one pass, nothing shuffled."""
+    """The table with ``_score``, ``_neighbours`` and ``_cosines``, replacing columns of these names: one pass, no shuffle."""
+    documents = documents.drop("_score", "_neighbours", "_cosines")
     names = documents.columns
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by its Setting
 

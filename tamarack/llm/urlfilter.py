@@ -61,7 +61,8 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def judged_urls(pages: DataFrame, rules=RULES) -> DataFrame:
-    parts = pages.select("*", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path"))
+    """The pages with ``_host``, ``_path``, ``_rule`` and ``_verdict`` (null without a rule), replacing columns of these names."""
+    parts = pages.drop("_host", "_path", "_rule", "_verdict", "_salt", "_bad", "_bad_salt").select("*", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path"))
     name, verdict = longest_rule(F.col("_host"), F.col("_path"), rules)
     return parts.select("*", name.alias("_rule"), verdict.alias("_verdict"))
 
