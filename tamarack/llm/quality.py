@@ -44,7 +44,7 @@ def features(texts: list[str | None], how: Setting) -> list[tuple[np.ndarray, np
     words = Words(texts)
     word_ends = np.searchsorted(words.doc, np.arange(1, len(texts) + 1))
     again = np.zeros(len(words.hash), np.int32)
-    again[1:] = 1 + ((words.hash[1:] == words.hash[:-1]) & (words.doc[1:] == words.doc[:-1]))
+    again[1:] = (words.doc[1:] == words.doc[:-1]) * (1 + (words.hash[1:] == words.hash[:-1]))  # 0 for a text's first word
     slots, ends, total = [np.zeros(0, np.int32)], [], 0
     for text in texts:
         raw = np.frombuffer((text or "").encode(), np.uint8)
