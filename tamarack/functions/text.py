@@ -6,6 +6,14 @@ from pyspark.sql import functions as F
 from tamarack.functions.vocab import NULL_TOKENS
 
 
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends: tabs, line breaks and no-break spaces too."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def null_tokens_to_null(value: Column) -> Column:
     return F.when(~value.isin(NULL_TOKENS), value)
 
@@ -28,7 +36,7 @@ def without_chr(chrom: Column) -> Column:
 
 def chrom_name(chrom: Column) -> Column:
     """Trimmed name with one ``chr`` prefix; the mitochondrial spellings become ``chrM``."""
-    text = F.trim(chrom.cast("string"))
+    text = stripped(chrom.cast("string"))
     return (
         F.when(F.upper(text).isin("MT", "M"), F.lit("chrM"))
         .when(text.startswith("chr"), text)

@@ -48,3 +48,4 @@ FOLDS = 5
 SEED = 42
 TREES = 300
 LOGISTIC_ITERATIONS = 2000
+PHASES = ["Phase1_Supervised_Baseline", "Phase2_SemiSupervised_Honest"]

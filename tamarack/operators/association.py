@@ -52,7 +52,8 @@ def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None,
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     number = F.col(value).cast("double")
     inside = (number >= F.col("q1") - reach) & (number <= F.col("q3") + reach)
-    reduced = rows.join(boxes, by).groupBy(by, *names).agg(
+    # One row per class: broadcast, so that the rows are never dealt by a few class values.
+    reduced = rows.join(F.broadcast(boxes), by).groupBy(by, *names).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.when(inside, number)).alias("whisker_low"),
         F.max(F.when(inside, number)).alias("whisker_high"),
     )

@@ -21,7 +21,6 @@ from tamarack.operators.reshape import class_arrays_to_rows
 from tamarack.session import shared_folder, ship_package, written
 
 PATH_SCHEMA = "tree int, leaf int, feature array<int>, low array<double>, high array<double>, share array<double>, value array<double>"
-BROADCAST_ENTRIES = 4_000_000  # path entries sent to the workers at once, about 128 MB
 
 
 def leaf_paths(model, name: str = "forest") -> DataFrame:
@@ -103,50 +102,26 @@ def shapley(x: np.ndarray, leaves: dict[str, np.ndarray], block: int = 256) -> n
     return phi.transpose(0, 2, 1)
 
 
-def _chunks(paths: DataFrame, entries: int) -> list[DataFrame]:
-    """Whole trees, grouped so that no group holds more than ``entries`` path entries (a larger tree stands alone)."""
-    sizes = paths.groupBy("tree").agg(F.sum(F.size("feature")).alias("n")).orderBy("tree").collect()
-    groups, room = [], 0
-    for row in sizes:
-        if not groups or row["n"] > room:
-            groups.append([])
-            room = entries
-        groups[-1].append(row["tree"])
-        room -= row["n"]
-    return [paths.filter(F.col("tree").isin(group)) for group in groups]
-
-
-def with_attributions(
-    df: DataFrame, paths: DataFrame, features: str = "features", name: str = "phi", entries: int = BROADCAST_ENTRIES
-) -> DataFrame:
+def with_attributions(df: DataFrame, paths: DataFrame, features: str = "features", name: str = "phi") -> DataFrame:
     """Adds a class-major array of attributions. Only the feature vector crosses to the workers.
 
-    Attributions add up over trees, so a forest too large to broadcast is worked off in groups of trees, each
-    pass written before the next starts.
+    The leaf paths are broadcast, as the forest itself is to score a row: their size is the model's. They are
+    grouped by length, so none is padded. Lazy, without a shuffle, for models of any size.
     """
     ship_package(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    trees = paths.agg(F.count_distinct("tree")).first()[0]
-    chunks = _chunks(paths, entries)
-    for i, chunk in enumerate(chunks):
-        shared = context.broadcast(_padded(chunk.select("feature", "low", "high", "share", "value").toPandas()))
-
-        @F.pandas_udf("array<double>")
-        def explain(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            leaves = shared.value
-            for batch in vectors:
-                phi = np.concatenate(
-                    [shapley(np.stack(batch.iloc[s:s + 128].tolist()), leaves) for s in range(0, len(batch), 128)]
-                ) / trees
-                yield pd.Series(list(phi.reshape(len(batch), -1)))
-
-        values = explain(vector_to_array(features))
-        if i == 0:
-            df = df.withColumn(name, values)
-        else:
-            df = written(df, "attributions").withColumn("_more", values)
-            df = df.withColumn(name, F.zip_with(name, "_more", lambda a, b: a + b)).drop("_more")
-    return df
+    leaves = paths.select("tree", "feature", "low", "high", "share", "value").toPandas()
+    trees = leaves["tree"].nunique()
+    groups = [_padded(group) for _, group in leaves.groupby(leaves["feature"].str.len())]
+    shared = df.sparkSession.sparkContext.broadcast(groups)
+
+    @F.pandas_udf("array<double>")
+    def explain(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in vectors:
+            parts = [np.stack(batch.iloc[s:s + 128].tolist()) for s in range(0, len(batch), 128)]
+            phi = np.concatenate([sum(shapley(x, group) for group in shared.value) for x in parts]) / trees
+            yield pd.Series(list(phi.reshape(len(batch), -1)))
+
+    return df.withColumn(name, explain(vector_to_array(features)))
 
 
 def base_values(paths: DataFrame) -> DataFrame:

@@ -3,12 +3,12 @@
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.operators.ranks import exact_medians
-from tamarack.operators.summaries import value_counts
+from tamarack.operators.summaries import most_frequent
 
 
 @dataclass
@@ -23,17 +23,6 @@ class Preprocessor:
         return self.model.transform(df)
 
 
-VOCABULARY = 100_000  # categories or classes a model can be asked to keep on the driver
-
-
-def vocabulary(values: DataFrame) -> list:
-    """The rows of a small table of distinct values; too many of them is an error, never a cut."""
-    rows = values.limit(VOCABULARY + 1).collect()
-    if len(rows) > VOCABULARY:
-        raise ValueError(f"more than {VOCABULARY} distinct values in {values.columns[0]}: not a category")
-    return rows
-
-
 def number(column: str) -> Column:
     """Numeric column with NaN read as missing."""
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
@@ -60,10 +49,8 @@ def _quoted(text: str) -> str:
 
 def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: str) -> Preprocessor:
     statistics = numeric_statistics(df, numeric)
-    # One row per category: both the encoder's vocabulary and, first in line, the most frequent value.
-    counts = vocabulary(value_counts(df.select(F.col(categorical).alias("value")), ["value"]))
-    mode = counts[0]["value"] if counts else ""
-    categories = sorted({row["value"] for row in counts} | {mode})
+    most = most_frequent(df, categorical).first()
+    mode = most[0] if most and most[0] is not None else ""
 
     scaled_columns = [f"`num__{c}`" for c in numeric]
     parts = [
@@ -72,23 +59,27 @@ def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: str) -> Pre
     ]
     parts.append(f"coalesce(`{categorical}`, {_quoted(mode)}) AS `_filled`")
     fill = SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
-    index = StringIndexerModel.from_labels(categories, "_filled", "_indexed", handleInvalid="keep")
+    # A model has a place for every category of its training rows; the indexer keeps them in order.
+    indexer = StringIndexer(inputCol="_filled", outputCol="_indexed", handleInvalid="keep", stringOrderType="alphabetAsc")
+    filled = fill.transform(df)
+    index = indexer.fit(filled) if most else StringIndexerModel.from_labels([mode], "_filled", "_indexed", handleInvalid="keep")
     encode = OneHotEncoder(inputCols=["_indexed"], outputCols=["_encoded"], dropLast=True)
     numbers = [c.strip("`") for c in scaled_columns]
     assemble = VectorAssembler(inputCols=[*numbers, "_encoded"], outputCol="features")
     indexed = index.transform(fill.transform(df.limit(0)))
     stages = [fill, index, encode.fit(indexed), assemble]
     model = PipelineModel(stages)
-    return Preprocessor(model, [*numbers, *[f"cat__{categorical}_{value}" for value in categories]])
+    return Preprocessor(model, [*numbers, *[f"cat__{categorical}_{value}" for value in index.labels]])
 
 
 def sorted_classes(df: DataFrame, label: str) -> list[str]:
     """The label vocabulary in sorted order; its positions are the class indices everywhere."""
-    return sorted(row[0] for row in vocabulary(df.select(label).dropna().distinct()))
+    return sorted(row[0] for row in df.select(label).dropna().distinct().collect())  # as many as a model has classes
 
 
 def class_index(label: str, classes: list[str]) -> Column:
-    return (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("double")
+    places = F.create_map(*[part for i, c in enumerate(classes) for part in (F.lit(c), F.lit(float(i)))])
+    return F.try_element_at(places, F.col(label))
 
 
 def class_name(index: Column, classes: list[str]) -> Column:

@@ -41,9 +41,9 @@ def split(df: DataFrame, keep: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def without_rare_classes(df: DataFrame, label: str, at_least: int) -> DataFrame:
-    """Keeps the classes with ``at_least`` rows."""
+    """Keeps the classes with ``at_least`` rows. One row per class is broadcast; the rows stay where they are."""
     frequent = df.groupBy(label).count().filter(F.col("count") >= at_least).select(label)
-    return df.join(frequent, label, "left_semi")
+    return df.join(F.broadcast(frequent), label, "left_semi")
 
 
 def without_class(df: DataFrame, label: str, term: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.functions.text import stripped
+
 
 def header_rows(cells: DataFrame) -> DataFrame:
     """(gene, rsid_row, header_row): the first "... allele" row without "effect" below an "rsid" row, and the last
     "rsid" row above it. Grids without both are left out."""
-    text = F.lower(F.trim("value"))
+    text = F.lower(stripped(F.col("value")))
     marks = cells.filter("col_idx = 0").select(
         "gene", "row_idx", (text == "rsid").alias("is_rsid"), (text.endswith("allele") & ~text.contains("effect")).alias("is_allele")
     ).filter("is_rsid or is_allele")
@@ -32,9 +34,9 @@ def named_rows(cells: DataFrame, headers: DataFrame) -> DataFrame:
     needs equi joins only, never an ordering of a whole grid.
     """
     names = (
-        cells.filter((F.col("col_idx") == 0) & (F.trim("value") != ""))
+        cells.filter((F.col("col_idx") == 0) & (stripped(F.col("value")) != ""))
         .join(headers, "gene").filter("row_idx > header_row")
-        .select("gene", "header_row", "row_idx", F.trim("value").alias("allele_name"))
+        .select("gene", "header_row", "row_idx", stripped(F.col("value")).alias("allele_name"))
     )
     successors = names.select("gene", (F.col("row_idx") - 1).alias("row_idx"))
     ends = names.join(successors, ["gene", "row_idx"], "left_anti").groupBy("gene").agg(F.min("row_idx").alias("last_row"))

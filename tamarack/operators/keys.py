@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamarack.functions.text import stripped
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row per key in ``order``.
@@ -37,7 +39,7 @@ def attach_labels(alleles: DataFrame, labels: DataFrame, keys: list[str]) -> Dat
     """Left join: duplicate labels fan out, unmatched alleles stay with nulls. Names are trimmed on both sides."""
     def trimmed(df: DataFrame) -> DataFrame:
         types = dict(df.dtypes)
-        return df.withColumns({key: F.trim(F.col(key)) for key in keys if types[key] == "string"})
+        return df.withColumns({key: stripped(F.col(key)) for key in keys if types[key] == "string"})
 
     return trimmed(alleles).join(trimmed(labels), keys, "left")
 

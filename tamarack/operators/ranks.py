@@ -11,19 +11,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FEW_ROWS = 1_000_000  # rows that may be ordered in one task
+ROWS_PER_BUCKET = 1_000_000
 SAMPLED_PER_BUCKET = 200
 
 
 def _value_buckets(rows: int) -> int:
-    """A power of two that keeps a bucket to about ``FEW_ROWS``. The bounds sit in the plan, hence the upper end;
-    beyond it buckets grow, and their tasks spill."""
-    return min(max(64, 1 << math.ceil(math.log2(max(rows, 1) / FEW_ROWS + 1))), 16_384)
+    """A power of two that keeps a bucket to about ``ROWS_PER_BUCKET``, at any size."""
+    return max(64, 1 << math.ceil(math.log2(max(rows, 1) / ROWS_PER_BUCKET + 1)))
 
 
 def _hash_digits(rows: int) -> int:
-    """Hexadecimal digits that keep a bucket to about ``FEW_ROWS``."""
-    return max(2, math.ceil(math.log(max(rows, 1) / FEW_ROWS + 1, 16)))
+    """Hexadecimal digits that keep a bucket to about ``ROWS_PER_BUCKET``."""
+    return max(2, math.ceil(math.log(max(rows, 1) / ROWS_PER_BUCKET + 1, 16)))
 
 
 def _bucket_shifts(df: DataFrame, by: list[str], bucket: str, weight: Column) -> DataFrame:
@@ -75,9 +74,9 @@ def _distinct_values(rows: DataFrame, by: list[str], size: int, buckets: int | N
     shares = [i / buckets for i in range(1, buckets)]
     bounds = rows.sample(share, seed=1).approxQuantile("value", shares, 0.5 / buckets) or [0.0] * len(shares)
     counts = rows.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
-    # Never null, and said so: otherwise a not-null test on the search is pushed down to every raw row, and the
-    # two uses of the counts no longer share their shuffle.
-    return counts.withColumn("bucket", F.coalesce(_bucket_of(F.col("value"), bounds), F.lit(0)))
+    # Aggregated once more by the same keys, which shuffles nothing: so the bucket is a result, not an expression of
+    # the value, which the optimizer would push down to every raw row or look for where the value is gone.
+    return counts.groupBy(*by, "value").agg(F.max("n").alias("n"), F.max(_bucket_of(F.col("value"), bounds)).alias("bucket")).withColumn("bucket", F.coalesce("bucket", F.lit(0)))
 
 
 def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
@@ -89,18 +88,15 @@ def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, bucket
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int | None = None, few: int = FEW_ROWS
+    df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int | None = None
 ) -> DataFrame:
     """(by..., q array): linearly interpolated quantiles of the non-null values, exact at any size.
 
-    The built-in percentile keeps every distinct value of a group in one buffer, so it is used only when a count
-    has shown that all the rows would fit.
+    The built-in percentile would keep every distinct value of a group in one buffer.
     """
     by = by or []
     rows = _numbers(df, by, value)
     size = df.count()  # an upper bound; of a stored table the footers give it
-    if size <= few:
-        return rows.groupBy(*by).agg(F.percentile("value", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
     counts = _distinct_values(rows, by, size, buckets)
 
     def places(size: Column) -> list[tuple[Column, Column]]:
@@ -128,11 +124,11 @@ def exact_quantiles(
     return placed.groupBy(*by, F.lit(0).alias("_one")).agg(*ends).select(*by, F.array(*results).alias("q"))
 
 
-def exact_medians(df: DataFrame, columns: list[str], buckets: int | None = None, few: int = FEW_ROWS) -> DataFrame:
+def exact_medians(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """(column, median) of several numeric columns; a column without values is left out."""
     narrow = df.select([F.col(column).cast("double").alias(column) for column in columns])
     long = narrow.unpivot([], columns, "column", "value")
-    return exact_quantiles(long, "value", [0.5], ["column"], buckets, few).select("column", F.get("q", 0).alias("median"))
+    return exact_quantiles(long, "value", [0.5], ["column"], buckets).select("column", F.get("q", 0).alias("median"))
 
 
 def stratified_folds(df: DataFrame, row_id: str, label: str, folds: int = 5, seed: int = 42, digits: int | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ class SelfTraining:
     labelled: DataFrame  # gold and pseudo rows; ``origin`` tells them apart, ``round`` is 0 for gold
     remaining: DataFrame
     log: DataFrame
+    ended: str  # why the rounds ended: "none confident", "pool empty" or "last round"
 
     @property
     def pseudo(self) -> DataFrame:
@@ -37,7 +38,7 @@ def self_train(
     labelled = written(
         gold.select(row_id, *features, label, F.lit("gold").alias("origin"), F.lit(0).alias("round")), "gold"
     )
-    remaining, total, log = pool.select(row_id, *features), labelled.count(), []
+    remaining, total, log, ended = pool.select(row_id, *features), labelled.count(), [], "last round"
     for number in range(1, max_rounds + 1):
         score = scorer(labelled)
         taken = F.coalesce(F.col("_confidence") >= threshold, F.lit(False))
@@ -48,6 +49,7 @@ def self_train(
         counts = scored.groupBy("_taken", label).count().collect()
         added = {row[label]: row["count"] for row in counts if row["_taken"]}
         if not added:
+            ended = "none confident" if counts else "pool empty"
             break
         total += sum(added.values())
         left = sum(row["count"] for row in counts if not row["_taken"])
@@ -58,8 +60,9 @@ def self_train(
         )
         remaining = scored.filter("not _taken").select(row_id, *features)
         if left == 0:
+            ended = "pool empty"
             break
-    return SelfTraining(labelled, remaining, gold.sparkSession.createDataFrame(log, LOG_SCHEMA))
+    return SelfTraining(labelled, remaining, gold.sparkSession.createDataFrame(log, LOG_SCHEMA), ended)
 
 
 def forest_scorer(
@@ -89,7 +92,7 @@ def frequency_scorer(label: str, classes: list[str], cell_sets: list[list[str]])
 
         def score(rows: DataFrame) -> DataFrame:
             for cells, table in zip(cell_sets, tables):
-                rows = rows.join(table, cells, "left")
+                rows = rows.join(F.broadcast(table), cells, "left")  # one row per cell of a model
             total = nothing
             for i in range(len(tables)):
                 total = F.zip_with(total, F.coalesce(F.col(f"_shares{i}"), nothing), lambda a, b: a + b)

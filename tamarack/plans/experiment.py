@@ -16,6 +16,7 @@ from tamarack.operators.models import model_set, random_forest
 from tamarack.operators.scoring import Bundle, explain, fit_bundle, with_impact_ordinal
 from tamarack.operators.selftrain import SelfTraining, forest_scorer, self_train
 from tamarack.operators.validation import out_of_fold_predictions
+from tamarack.sources.stages import write_table
 
 
 @dataclass
@@ -55,12 +56,16 @@ def _predictions(gold: DataFrame, setting: Setting, classes: list[str], models,
     )
 
 
-def compare_models(gold: DataFrame, setting: Setting) -> DataFrame:
-    """One row per classifier."""
-    classes = sorted_classes(gold, setting.label)
+def model_predictions(gold: DataFrame, setting: Setting) -> DataFrame:
+    """Every gold row once per classifier, predicted by the models of the other folds."""
     def models(n: int):
         return model_set(n, setting.trees, setting.depth, setting.boost_rounds, setting.boost_depth, setting.seed)
-    return cv_summary(_predictions(gold, setting, classes, models), "model", "fold", classes)
+    return _predictions(gold, setting, sorted_classes(gold, setting.label), models)
+
+
+def compare_models(gold: DataFrame, setting: Setting) -> DataFrame:
+    """One row per classifier."""
+    return cv_summary(model_predictions(gold, setting), "model", "fold", sorted_classes(gold, setting.label))
 
 
 def train_iteratively(gold: DataFrame, pool: DataFrame, setting: Setting) -> SelfTraining:
@@ -76,6 +81,7 @@ class Phases:
     comparison: DataFrame
     confusion: DataFrame
     training: SelfTraining
+    predictions: DataFrame  # out of fold, of both phases
 
 
 def compare_phases(gold: DataFrame, pool: DataFrame, setting: Setting, nested: bool = False) -> Phases:
@@ -96,15 +102,16 @@ def compare_phases(gold: DataFrame, pool: DataFrame, setting: Setting, nested: b
     def extra(train: DataFrame) -> DataFrame:
         return train_iteratively(train, pool, setting).pseudo.select(*columns) if nested else pseudo.select(*columns)
 
-    baseline = _predictions(gold, setting, classes, forest("Phase1_Supervised_Baseline"))
-    honest = _predictions(gold, setting, classes, forest("Phase2_SemiSupervised_Honest"), extra)
+    baseline = _predictions(gold, setting, classes, forest(vocab.PHASES[0]))
+    honest = _predictions(gold, setting, classes, forest(vocab.PHASES[1]), extra)
     n_gold, n_pseudo = gold.count(), pseudo.count()
-    both = cv_summary(baseline.unionByName(honest), "model", "fold", classes).withColumnRenamed("model", "tag")
+    predictions = baseline.unionByName(honest)
+    both = cv_summary(predictions, "model", "fold", classes).withColumnRenamed("model", "tag")
     comparison = both.withColumns({
         "n_gold_labeled": F.lit(n_gold).cast("bigint"),
         "n_pseudo_labeled": F.when(F.col("tag").startswith("Phase2"), F.lit(n_pseudo)).otherwise(F.lit(0)).cast("bigint"),
     })
-    return Phases(comparison, confusion_matrix(confusion_counts(honest, []), classes), training)
+    return Phases(comparison, confusion_matrix(confusion_counts(honest, []), classes), training, predictions)
 
 
 def final_bundle(labelled: DataFrame, setting: Setting, required: list[str], origin: str | None = None) -> Bundle:
@@ -121,6 +128,29 @@ def compare_attributions(first: DataFrame, second: DataFrame) -> DataFrame:
     return compare_importance(overall_importance(first), overall_importance(second))
 
 
+def write_experiment(out: str, gold: DataFrame, pool: DataFrame, setting: Setting) -> None:
+    """Writes the results under ``out``: models and phases compared, the rounds of self-training and why they ended, and
+    the attributions of the forest on gold rows and of the final one."""
+    write_table(compare_models(gold, setting), f"{out}/model_comparison", "csv")
+    phases = compare_phases(gold, pool, setting)
+    write_table(phases.comparison, f"{out}/phase_comparison", "csv")
+    write_table(phases.training.log.withColumn("ended", F.lit(phases.training.ended)), f"{out}/iteration_log", "csv")
+    rows = (gold, phases.training.labelled)
+    bundles = (final_bundle(gold, setting, setting.features), final_bundle(rows[1], setting, setting.features, "origin"))
+    tables = [attribution_table(r, b).withColumn("phase", F.lit(p)) for r, b, p in zip(rows, bundles, vocab.PHASES)]
+    write_table(tables[0].drop("phase"), f"{out}/attributions", "csv")
+    write_table(tables[0].unionByName(tables[1]), f"{out}/phase_attributions", "csv")
+    bundles[1].save(f"{out}/bundle")
+
+
+def write_outside_scores(out: str, gold: DataFrame) -> None:
+    """The gold rows with their outside scores, the correlations and the boxes."""
+    table, boxes = outside_scores(gold)
+    write_table(gold, f"{out}/outside_scores")
+    write_table(table, f"{out}/correlations", "csv")
+    write_table(boxes, f"{out}/boxes", "csv")
+
+
 def outside_scores(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rank correlations, box summary per score and class) of gold rows that carry the outside scores."""
     rows = without_class(gold, "function_term", vocab.RARE_TERM).withColumn(

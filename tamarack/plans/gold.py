@@ -11,7 +11,7 @@ from tamarack.operators import enrich, intervals, keys
 from tamarack.operators.filters import any_missing, in_panel, not_reference, payload_guard
 from tamarack.operators.grid import allele_variants
 from tamarack.operators.summaries import coverage, label_availability, terms_seen, value_counts
-from tamarack.sources.stages import reuse_or_build, write_side_table, write_table
+from tamarack.sources.stages import fingerprint, is_complete, reuse_or_build, write_side_table, write_table
 
 
 def function_labels(payloads: DataFrame, accessions: dict[str, str] = vocab.GENE_ACCESSIONS) -> tuple[DataFrame, DataFrame]:
@@ -74,21 +74,26 @@ def build_gold(
     strict: bool = False,
 ) -> DataFrame:
     """The whole build, each stage written once under ``out`` and reused when it is already complete."""
-    panel_rows = reuse_or_build(spark, f"{out}/variants", lambda: variants)
-    labels, rejected = function_labels(payloads)
-    labels = reuse_or_build(spark, f"{out}/function_labels", lambda: labels)
+    # A stage is made again when its own inputs changed or a stage that it reads was made from others.
+    of_variants, of_labels = fingerprint(variants), fingerprint(payloads)
+    of_cross = fingerprint(of_labels, cells)
+    of_gold = fingerprint(of_variants, of_cross, strict)
+    of_full = fingerprint(of_gold, landed.annotations, landed.near_track, landed.blocks, landed.far_track)
+    panel_rows = reuse_or_build(spark, f"{out}/variants", lambda: variants, of_variants)
+    made, rejected = function_labels(payloads)
+    labels = reuse_or_build(spark, f"{out}/function_labels", lambda: made, of_labels)
     write_side_table(rejected, f"{out}/rejected_payloads")
     write_table(label_availability(labels, ["gene"], "usable_label"), f"{out}/label_availability")
     write_table(terms_seen(labels, ["gene"], "function_term"), f"{out}/terms_seen")
 
-    cross = reuse_or_build(spark, f"{out}/crosswalk", lambda: crosswalk(cells, labels))
+    cross = reuse_or_build(spark, f"{out}/crosswalk", lambda: crosswalk(cells, labels), of_cross)
     write_table(keys.conflicting_keys(cross, ["gene", "rsid"], "function_term"), f"{out}/ambiguous_keys")
 
-    gold = reuse_or_build(spark, f"{out}/gold", lambda: gold_set(cross, panel_rows, strict=strict))
+    gold = reuse_or_build(spark, f"{out}/gold", lambda: gold_set(cross, panel_rows, strict=strict), of_gold)
     write_table(value_counts(gold, ["GeneSymbol", "function_term"]), f"{out}/gold_counts")
 
     result = enriched(gold, landed)
-    full = reuse_or_build(spark, f"{out}/gold_enriched", lambda: result.rows)
+    full = reuse_or_build(spark, f"{out}/gold_enriched", lambda: result.rows, of_full)
     write_side_table(result.missing_alleles, f"{out}/missing_alleles")
     write_side_table(full.filter(any_missing("phylop100way", "gerp_score")), f"{out}/missing_scores")
     measured = ["most_severe_consequence", "gnomad_af", "phylop100way", "hg19_start", "gerp_score"]
@@ -97,8 +102,13 @@ def build_gold(
 
 
 def build_pool(spark: SparkSession, out: str, variants: DataFrame, gold: DataFrame, landed: Landed) -> DataFrame:
-    """Panel rows without a gold label, enriched like the gold set."""
-    pool = keys.unlabelled_pool(variants, gold, ["VariationID"]).withColumn("rsid_norm", rsid(F.col("`RS# (dbSNP)`")))
+    """Panel rows without a gold label, enriched like the gold set.
+
+    ``gold`` is the labelled set, or what the build returned; labelled rows that the enrichment set aside are found in
+    the build's own table under ``out``.
+    """
+    labelled = spark.read.parquet(f"{out}/gold") if is_complete(spark, f"{out}/gold") else gold
+    pool = keys.unlabelled_pool(variants, labelled, ["VariationID"]).withColumn("rsid_norm", rsid(F.col("`RS# (dbSNP)`")))
     result = enriched(pool, landed)
     write_side_table(result.missing_alleles, f"{out}/pool_missing_alleles")
-    return reuse_or_build(spark, f"{out}/pool_enriched", lambda: result.rows)
+    return reuse_or_build(spark, f"{out}/pool_enriched", lambda: result.rows, fingerprint(variants, labelled, landed.annotations, landed.near_track, landed.blocks, landed.far_track))

@@ -1,8 +1,10 @@
 """Tables between stages: write once, reuse when complete, side tables for rejected rows."""
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -24,14 +26,42 @@ def write_table(df: DataFrame, path: str, kind: str = "parquet", partition_by: l
 
 
 def write_side_table(df: DataFrame, path: str) -> bool:
-    """Writes the rejected rows, only if there are any."""
-    if df.isEmpty():
-        return False
+    """Writes the rejected rows, only if there are any; an earlier run's table does not stay."""
     write_table(df, path)
-    return True
+    if not df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
+        return True
+    delete(df.sparkSession, path)
+    return False
 
 
-def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    if not is_complete(spark, path):
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def fingerprint(*inputs: object) -> str:
+    """Of arguments as they print, and of tables by their plan and the names, sizes and times of their files."""
+    parts = []
+    for given in inputs:
+        if not isinstance(given, DataFrame):
+            parts.append(repr(given))
+            continue
+        spark = given.sparkSession
+        parts.append(given._jdf.queryExecution().analyzed().canonicalized().toString())
+        for name in sorted(given.inputFiles()):
+            file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            status = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(file)
+            parts.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], mark: str = "") -> DataFrame:
+    """The stage as it was written, if it is complete and was made from inputs of the same ``mark``."""
+    marked = f"{path}.mark"
+    fresh = is_complete(spark, path) and is_complete(spark, marked) and spark.read.text(marked).first()[0] == mark if mark else is_complete(spark, path)
+    if not fresh:
+        delete(spark, marked)
         write_table(build(), path)
+        if mark:
+            spark.range(1).select(F.lit(mark)).coalesce(1).write.mode("overwrite").text(marked)
     return spark.read.parquet(path)

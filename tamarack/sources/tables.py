@@ -54,5 +54,7 @@ SCORING_SCHEMA = (
 
 
 def scoring_input(spark: SparkSession, path: str) -> DataFrame:
-    """The documented scoring columns; a missing number stays null. See ``filters.require_columns``."""
-    return typed_csv(spark, path, SCORING_SCHEMA)
+    """All uploaded columns, the documented ones typed; a missing number stays null. See ``filters.require_columns``."""
+    raw = read_text_table(spark, path, ",")
+    types = {field.name: field.dataType for field in spark.createDataFrame([], SCORING_SCHEMA).schema}
+    return raw.select([F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in raw.columns])

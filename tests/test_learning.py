@@ -152,13 +152,6 @@ def test_attributions(gold, bundle):
         np.testing.assert_allclose(np.array(row.phi).reshape(shape), subset_shapley(row.x, leaves) / trees, atol=1e-9)
 
 
-def test_attributions_in_groups_of_trees(gold, bundle):
-    transformed = bundle.pipeline.transform(gold).select("VariationID", "features")
-    whole = {r.VariationID: r.phi for r in attribution.with_attributions(transformed, bundle.paths).collect()}
-    parts = {r.VariationID: r.phi for r in attribution.with_attributions(transformed, bundle.paths, entries=60).collect()}
-    assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], atol=1e-12) for k in whole)
-
-
 def test_importance_tables(gold, bundle):
     table = experiment.attribution_table(gold, bundle)
     assert table.count() == len(bundle.classes) * len(bundle.feature_names)
@@ -200,12 +193,26 @@ def test_uploads_are_scored_as_they_arrive(spark, bundle, tmp_path):
     fresh.write.option("header", True).csv(str(tmp_path / "uploads"))
     for _ in range(2):  # the second run finds nothing new
         score_uploads(spark, str(tmp_path / "uploads"), str(tmp_path / "out"), str(tmp_path / "ckpt"), bundle).awaitTermination(120)
-    streamed = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    streamed = spark.read.option("header", True).option("recursiveFileLookup", True).csv(str(tmp_path / "out"))
     batch = scoring.prediction_table(scoring.score(fresh, bundle))
     pair = [F.col("Name"), F.col("`Predicted Class`"), F.col("`Top Feature`")]
     assert sorted(map(tuple, streamed.select(pair).collect())) == sorted(map(tuple, batch.select(pair).collect()))
 
 
+def test_uploads_in_another_order_with_more_columns(spark, bundle, tmp_path):
+    names = ["gerp_score", "vep_impact", "sample", "Name", "most_severe_consequence", "GeneSymbol", "phylop100way", "gnomad_af"]
+    lines = [["4.5", "HIGH", "s1", "one", "stop_gained", "G1", "3.1", "NA"], ["", "NA", "s2", "two", "missense_variant", "G2", "0.1", "0.25"]]
+    (tmp_path / "uploads").mkdir()
+    (tmp_path / "uploads" / "up.csv").write_text("\n".join(",".join(x) for x in [names, *lines]) + "\n")
+    score_uploads(spark, str(tmp_path / "uploads"), str(tmp_path / "out"), str(tmp_path / "ckpt"), bundle).awaitTermination(120)
+    got = spark.read.option("header", True).csv(str(tmp_path / "out" / "up.csv"))
+    assert got.columns == [*names, "Predicted Class", "Confidence", "Top Feature"]
+    known = spark.createDataFrame([("one", "G1", "stop_gained", "HIGH", None, 3.1, 4.5), ("two", "G2", "missense_variant", None, 0.25, 0.1, None)], "Name string, GeneSymbol string, most_severe_consequence string, vep_impact string, gnomad_af double, phylop100way double, gerp_score double")
+    expected = {r.Name: (r["Predicted Class"], r["Top Feature"]) for r in scoring.prediction_table(scoring.score(known, bundle)).collect()}
+    assert {r.Name: (r["Predicted Class"], r["Top Feature"]) for r in got.collect()} == expected
+    assert {r.Name: (r.sample, r.gnomad_af, r.vep_impact) for r in got.collect()} == {"one": ("s1", None, "HIGH"), "two": ("s2", "0.25", None)}
+
+
 def test_outside_scores(spark):
     draw = random.Random(6)
     terms = ["No function", "Decreased function", "Normal function", "Increased function"]

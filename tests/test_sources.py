@@ -35,8 +35,11 @@ def test_stages(spark, tmp_path):
     assert not stages.is_complete(spark, path)
     first = stages.reuse_or_build(spark, path, lambda: spark.range(3))
     assert stages.reuse_or_build(spark, path, lambda: 1 / 0).count() == first.count() == 3
+    assert stages.reuse_or_build(spark, path, lambda: spark.range(5), "other inputs").count() == 5
+    assert stages.reuse_or_build(spark, path, lambda: 1 / 0, "other inputs").count() == 5
     assert not stages.write_side_table(spark.range(0), str(tmp_path / "none")) and not (tmp_path / "none").exists()
     assert stages.write_side_table(spark.range(1), str(tmp_path / "some"))
+    assert not stages.write_side_table(spark.range(0), str(tmp_path / "some")) and not (tmp_path / "some").exists()
     by = spark.range(6).withColumn("gene", F.when(F.col("id") < 4, "a").otherwise("b"))
     stages.write_table(by, str(tmp_path / "by"), partition_by=["gene"])
     assert spark.read.parquet(str(tmp_path / "by")).groupBy("gene").count().count() == 2

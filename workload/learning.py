@@ -1,7 +1,7 @@
 """Cross-validation, self-training, attributions and scoring on documents.
 
 Stand-ins: labelled documents are the gold set, the others the pool; the class combines quality and toxicity. The
-registered queries use few and shallow trees; the library's defaults are the published sizes.
+registered queries use few and shallow trees, with the published folds, rounds and threshold.
 """
 
 import uuid
@@ -10,22 +10,24 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.operators.attribution import overall_importance, top_features
+from tamarack.operators.attribution import base_values, overall_importance, top_features
 from tamarack.operators.features import fit_preprocessor
 from tamarack.operators.keys import unlabelled_pool
-from tamarack.operators.scoring import load_bundle, prediction_table, score
+from tamarack.operators.scoring import explain, load_bundle, prediction_table, score
 from tamarack.operators.selftrain import frequency_scorer, self_train
 from tamarack.operators.summaries import coverage
 from tamarack.plans.experiment import (
-    Setting, attribution_table, compare_attributions, compare_models, compare_phases, final_bundle, train_iteratively,
+    Setting, attribution_table, compare_attributions, compare_models, compare_phases, final_bundle, model_predictions,
+    train_iteratively, write_experiment,
 )
 from tamarack.session import shared_folder
+from tamarack.sources.stages import write_table
+from tamarack.sources.tables import scoring_input
 from workload.catalog import Tables, query
 
 NUMERIC = ("n_chars", "n_words", "n_lines", "digit_share")
 SETTING = Setting(
-    row_id="doc_id", label="label", numeric=NUMERIC, categorical="lang", folds=3, trees=12, depth=4, boost_rounds=3, boost_depth=3,
-    threshold=0.6, max_rounds=3,
+    row_id="doc_id", label="label", numeric=NUMERIC, categorical="lang", trees=12, depth=6, boost_rounds=3, boost_depth=3,
 )
 CLASSES = ["clean", "poor", "toxic"]
 
@@ -139,7 +141,8 @@ def model_comparison(t: Tables) -> DataFrame:
 @query()
 def self_training_with_forest(t: Tables) -> DataFrame:
     gold, pool = gold_and_pool(t)
-    return train_iteratively(gold, pool, SETTING).log
+    training = train_iteratively(gold, pool, SETTING)
+    return training.log.withColumn("ended", F.lit(training.ended))
 
 
 @query()
@@ -191,3 +194,92 @@ def score_documents(t: Tables) -> DataFrame:
     bundle.save(path)
     scored = score(document_features(t.documents), load_bundle(t.spark, path), prepare=lambda df: df)
     return prediction_table(scored).select("doc_id", "Predicted Class", "Confidence", "Top Feature")
+
+
+# What holds whatever the forests draw: computed from the models' real output over all rows, and by SQL from the tables.
+
+GOLD_SQL = """
+with gold as (select doc_id, case when toxic = 1 then 'toxic' when quality = 0 then 'poor' else 'clean' end as label from labels join documents using (doc_id)),
+classes as (select label, count(*) as n, count(distinct doc_id) as ids from gold group by label)
+"""
+
+
+def _support(predictions: DataFrame, name: str) -> DataFrame:
+    return predictions.groupBy(F.col("model").alias(name), "label").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids"))
+
+
+@query(GOLD_SQL + "select model, label, n, ids from classes cross join (values ('LogisticRegression'), ('RandomForest'), ('BoostedTrees')) m(model)")
+def model_support(t: Tables) -> DataFrame:
+    """Every gold row is predicted once by each classifier."""
+    gold, _ = gold_and_pool(t)
+    predictions = model_predictions(gold, SETTING)
+    return _support(predictions.select("model", "doc_id", F.col("actual").alias("label")), "model")
+
+
+@query(GOLD_SQL + "select tag, label, n, ids from classes cross join (values ('Phase1_Supervised_Baseline'), ('Phase2_SemiSupervised_Honest')) p(tag)")
+def phase_support(t: Tables) -> DataFrame:
+    """Both phases are tested on every gold row and on no other."""
+    gold, pool = gold_and_pool(t)
+    predictions = compare_phases(gold, pool, SETTING).predictions
+    return _support(predictions.select("model", "doc_id", F.col("actual").alias("label")), "tag")
+
+
+@query("""
+with gold as (select doc_id from labels join documents using (doc_id)), pool as (select doc_id from documents where doc_id not in (select doc_id from labels))
+select (select count(*) from gold) as n_gold, (select count(*) from gold) + (select count(*) from pool) as n_all, true as every_round_adds_up, true as confident, true as from_pool
+""")
+def self_training_conserves_rows(t: Tables) -> DataFrame:
+    """No round loses or doubles a row, takes one below the threshold or one that is not of the pool."""
+    gold, pool = gold_and_pool(t)
+    training = train_iteratively(gold, pool, SETTING)
+    ids = training.labelled.groupBy().agg(F.count("*").alias("n_labelled"), F.count_if(F.col("origin") == "gold").alias("n_gold"), F.count_distinct("doc_id").alias("ids"))
+    left = training.remaining.agg(F.count("*").alias("n_left"))
+    log = training.log.agg(F.sum("n_pseudo_added").alias("added"), F.min(F.col("n_total_labeled") + F.col("n_remaining_unlabeled")).alias("least"), F.max(F.col("n_total_labeled") + F.col("n_remaining_unlabeled")).alias("most"))
+    strange = training.pseudo.join(pool.select("doc_id"), "doc_id", "left_anti").agg(F.count("*").alias("strange"))
+    one = ids.join(F.broadcast(left)).join(F.broadcast(log)).join(F.broadcast(strange))  # one row each
+    everything = F.col("n_labelled") + F.col("n_left")
+    return one.select(
+        "n_gold", everything.alias("n_all"), (F.coalesce(F.col("least") == everything, F.lit(True)) & F.coalesce(F.col("most") == everything, F.lit(True))).alias("every_round_adds_up"),
+        (F.col("n_labelled") - F.col("n_gold") == F.coalesce("added", F.lit(0))).alias("confident"), ((F.col("strange") == 0) & (F.col("ids") == F.col("n_labelled"))).alias("from_pool"),
+    )
+
+
+@query("select doc_id, 3 as n_classes, true as adds_up from documents")
+def attributions_add_up(t: Tables) -> DataFrame:
+    """Base value and attributions make the forest's probability, for every document and class."""
+    _, bundle = _bundle(t)
+    bases = [r["base"] for r in base_values(bundle.paths).orderBy("class_index").collect()]  # one row per class
+    width = len(bundle.feature_names)
+    explained = explain(document_features(t.documents), bundle).withColumn("p", vector_to_array("probability"))
+    sums = [F.aggregate(F.slice("phi", i * width + 1, width), F.lit(base), lambda a, b: a + b) for i, base in enumerate(bases)]
+    off = F.greatest(*[F.abs(total - F.get("p", i)) for i, total in enumerate(sums)])
+    return explained.select("doc_id", F.size("p").alias("n_classes"), (off < 1e-9).alias("adds_up"))
+
+
+@query(GOLD_SQL + """, sizes as (select (select count(*) from classes) as k, 4 + (select count(distinct lang) from documents join gold using (doc_id)) as f)
+select 'model_comparison' as name, 3 as n, true as whole from sizes union all select 'phase_comparison', 2, true from sizes union all
+select 'attributions', k * f, true from sizes union all select 'phase_attributions', 2 * k * f, true from sizes
+""")
+def experiment_outputs(t: Tables) -> DataFrame:
+    """The written results, read back."""
+    gold, pool = gold_and_pool(t)
+    out = f"{shared_folder(t.spark)}/experiment-{uuid.uuid4().hex}"
+    write_experiment(out, gold, pool, SETTING)
+    keys = {"model_comparison": ["model"], "phase_comparison": ["tag"], "attributions": ["class", "feature"], "phase_attributions": ["phase", "class", "feature"]}
+    counts = [
+        t.spark.read.csv(f"{out}/{name}", header=True).agg(F.lit(name).alias("name"), F.count("*").alias("n"), (F.count_distinct(*key) == F.count("*")).alias("whole"))
+        for name, key in keys.items()
+    ]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
+
+
+@query("select cast(doc_id as varchar) as doc_id, source, true as known_class, true as sure from documents")
+def score_upload(t: Tables) -> DataFrame:
+    """A table as it is uploaded, with columns the model does not know, scored and written with the published columns."""
+    _, bundle = _bundle(t)
+    folder = f"{shared_folder(t.spark)}/upload-{uuid.uuid4().hex}"
+    write_table(document_features(t.documents), f"{folder}/in", "csv")
+    scored = prediction_table(score(scoring_input(t.spark, f"{folder}/in"), bundle, prepare=lambda df: df))
+    write_table(scored, f"{folder}/out", "csv")
+    back = t.spark.read.csv(f"{folder}/out", header=True)
+    return back.select("doc_id", "source", F.col("Predicted Class").isin(CLASSES).alias("known_class"), F.col("Confidence").cast("double").between(1 / 3 - 1e-9, 1.0).alias("sure"))
