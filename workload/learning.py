@@ -247,7 +247,7 @@ def self_training_conserves_rows(t: Tables) -> DataFrame:
 @query("select doc_id, 3 as n_classes, true as adds_up from documents")
 def attributions_add_up(t: Tables) -> DataFrame:
     """Base value and attributions make the forest's probability, for every document and class."""
-    _, bundle = _bundle(t)
+    bundle = final_bundle(gold_and_pool(t)[0], SETTING, [*NUMERIC, "lang"])
     bases = [r["base"] for r in base_values(bundle.paths).orderBy("class_index").collect()]  # one row per class
     width = len(bundle.feature_names)
     explained = explain(document_features(t.documents), bundle).withColumn("p", vector_to_array("probability"))
@@ -276,7 +276,7 @@ def experiment_outputs(t: Tables) -> DataFrame:
 @query("select cast(doc_id as varchar) as doc_id, source, true as known_class, true as sure from documents")
 def score_upload(t: Tables) -> DataFrame:
     """A table as it is uploaded, with columns the model does not know, scored and written with the published columns."""
-    _, bundle = _bundle(t)
+    bundle = final_bundle(gold_and_pool(t)[0], SETTING, [*NUMERIC, "lang"])
     folder = f"{shared_folder(t.spark)}/upload-{uuid.uuid4().hex}"
     write_table(document_features(t.documents), f"{folder}/in", "csv")
     scored = prediction_table(score(scoring_input(t.spark, f"{folder}/in"), bundle, prepare=lambda df: df))
