@@ -1,42 +1,65 @@
 """Rank correlation and per-class score distributions."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.student import correlation_p
-from tamarack.operators.ranks import average_ranks, exact_quantiles
-from tamarack.session import ship_package
+from tamarack.operators.ranks import exact_quantiles, pair_ranks
+from tamarack.session import written
 
+#: A value in more than 1/HOT of the pairs is hot; there are fewer than HOT of them at any size.
+HOT = 2000
 
-def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int | None = None) -> DataFrame:
-    """(score, n, rho, p) over the rows where both columns have a value; fewer than three rows give nulls.
 
-    Rows are first counted per distinct (x, y), so ties cost nothing after the map side.
+def _with_rank(pairs: DataFrame, ranks: DataFrame, by: list[str], column: str, size: int) -> DataFrame:
+    """``pairs`` with the centred rank of ``column`` as ``d<column>``.
+
+    The ranks of hot values, as ordinals have, are broadcast; their rows go to the shuffled join under numbers of
+    their own, so that they spread.
     """
-    ship_package(df.sparkSession)
-    rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    size = rows.count()
-    pairs = rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
-    rank_x = average_ranks(rows, "x", buckets=buckets).select(F.col("value").alias("x"), F.col("avg_rank").alias("rx"))
-    rank_y = average_ranks(rows, "y", buckets=buckets).select(F.col("value").alias("y"), F.col("avg_rank").alias("ry"))
-    # Average ranks always have the mean (size + 1) / 2; centring first keeps the sums exact enough at any size.
-    centre = (size + 1) / 2
-    dx, dy, w = F.col("rx") - centre, F.col("ry") - centre, F.col("w")
-    sums = pairs.join(rank_x, "x").join(rank_y, "y").agg(
-        F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")
+    # Average ranks always have the mean (n + 1) / 2; centring first keeps the sums exact enough at any size.
+    centred = F.col("avg_rank") - (F.col("_size") + 1) / 2
+    keys = [*by, column]
+    own = ranks.filter(F.col("axis") == column).select(*by, F.col("value").alias(column), centred.alias("_rank"), (F.col("k") * HOT > size).alias("_hot"))
+    marked = pairs.join(F.broadcast(own.filter("_hot").select(*keys, F.col("_rank").alias("_known"))), keys, "left")
+    spread = F.when(F.col("_known").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("x", "y"), F.lit(1 << 30)))
+    cold = own.filter("not _hot").select(*keys, "_rank", F.lit(0).cast("long").alias("_number"))
+    met = marked.withColumn("_number", spread).join(cold, [*keys, "_number"], "left")
+    return met.select(*pairs.columns, F.coalesce("_known", "_rank").alias(f"d{column}"))
+
+
+def correlations_by(df: DataFrame, by: list[str], x: str, y: str, buckets: int | None = None) -> DataFrame:
+    """(by..., n, rho, p) over the rows of each group where both columns have a value; fewer than three give nulls.
+
+    Rows are scanned once and counted per distinct (x, y), so ties cost nothing after the map side; ranks and sums are
+    made from the written counts. ``by`` must not be null.
+    """
+    rows = df.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna(subset=["x", "y"])
+    pairs = written(rows.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("w")), "pairs")
+    size = pairs.count()
+    ranks = written(pair_ranks(pairs, by, ["x", "y"], size, buckets), "ranks")
+    ranked = _with_rank(_with_rank(pairs, ranks, by, "x", size), ranks, by, "y", size)
+    dx, dy, w = F.col("dx"), F.col("dy"), F.col("w")
+    sums = ranked.groupBy(*by).agg(
+        F.sum("w").alias("n"), F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")
     )
     rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
-    kept = rho if size >= 3 else F.lit(None).cast("double")
-    return sums.select(F.lit(name).alias("score"), F.lit(size).cast("bigint").alias("n"), kept.alias("rho")).withColumn(
-        "p", correlation_p("rho", "n")
-    )
+    kept = sums.select(*by, "n", F.when(F.col("n") >= 3, rho).alias("rho"))
+    return kept.withColumn("p", correlation_p(F.col("rho"), F.col("n")))
+
 
+def correlations(df: DataFrame, ordinal: str, scores: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """(score, n, rho, p), one row per score, from one scan; a score without values has n = 0."""
+    given = F.array(*[F.struct(F.lit(name).alias("score"), F.col(column).cast("double").alias("x")) for name, column in scores.items()])
+    long = df.select(F.col(ordinal).cast("double").alias("y"), F.inline(given))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, scores))).alias("score"))
+    found = names.join(F.broadcast(correlations_by(long, ["score"], "x", "y", buckets)), "score", "left")  # a row per score
+    return found.withColumn("n", F.coalesce("n", F.lit(0)))
 
-def correlations(df: DataFrame, ordinal: str, scores: dict[str, str]) -> DataFrame:
-    """One row per score, as long rows."""
-    return reduce(DataFrame.unionByName, [spearman(df, ordinal, column, name) for name, column in scores.items()])
+
+def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int | None = None) -> DataFrame:
+    """(score, n, rho, p) of one pair of columns."""
+    return correlations(df, y, {name: x}, buckets)
 
 
 def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None, at_least: int = 3) -> DataFrame:

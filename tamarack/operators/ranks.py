@@ -42,8 +42,11 @@ def _inside_before(by: list[str], bucket: str, order: list[Column], weight: Colu
 
 
 def _weight_before(df: DataFrame, by: list[str], bucket: str, order: list[Column], weight: Column, name: str) -> DataFrame:
-    """Adds the total weight of the rows that come before each row of its group. ``by`` must not be null."""
-    shifts = _bucket_shifts(df, by, bucket, weight).select(*by, bucket, "_shift")
+    """Adds the total weight of the rows that come before each row of its group, and ``_size``, the group's weight.
+
+    ``by`` must not be null.
+    """
+    shifts = _bucket_shifts(df, by, bucket, weight).select(*by, bucket, "_shift", "_size")
     placed = df.withColumn("_inside", _inside_before(by, bucket, order, weight))
     return placed.join(shifts, [*by, bucket]).withColumn(name, F.col("_shift") + F.col("_inside")).drop("_shift", "_inside")
 
@@ -66,25 +69,60 @@ def _numbers(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.select(*by, F.col(value).cast("double").alias("value")).filter("value is not null and not isnan(value)")
 
 
-def _distinct_values(rows: DataFrame, by: list[str], size: int, buckets: int | None) -> DataFrame:
-    """(by..., value, n, bucket) over distinct values. The bucket bounds are fixed numbers in the plan."""
+def _value_bounds(rows: DataFrame, columns: list[str], size: int, buckets: int | None) -> list[list[float]]:
+    """Bounds that cut each column into buckets of about the same size.
+
+    They only spread the work, like those of a range partitioner, so a sample is enough to choose them.
+    """
     buckets = buckets or _value_buckets(size)
-    # The bounds only spread the work, like those of a range partitioner, so a sample is enough to choose them.
     share = min(1.0, SAMPLED_PER_BUCKET * buckets / max(size, 1))
     shares = [i / buckets for i in range(1, buckets)]
-    bounds = rows.sample(share, seed=1).approxQuantile("value", shares, 0.5 / buckets) or [0.0] * len(shares)
-    counts = rows.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+    found = rows.sample(share, seed=1).approxQuantile(columns, shares, 0.5 / buckets)
+    return [bounds or [0.0] * len(shares) for bounds in found]
+
+
+def _bucketed(counts: DataFrame, by: list[str], bounds: list[float] | dict[str, list[float]]) -> DataFrame:
+    """Adds the bucket to a table of one row per (by..., value). The bounds, one list or one per axis, are fixed numbers."""
     # Aggregated once more by the same keys, which shuffles nothing: so the bucket is a result, not an expression of
     # the value, which the optimizer would push down to every raw row or look for where the value is gone.
-    return counts.groupBy(*by, "value").agg(F.max("n").alias("n"), F.max(_bucket_of(F.col("value"), bounds)).alias("bucket")).withColumn("bucket", F.coalesce("bucket", F.lit(0)))
+    others = [F.max(c).alias(c) for c in counts.columns if c not in (*by, "value")]
+    value = F.col("value")
+    if isinstance(bounds, dict):
+        bucket = F.coalesce(*[F.when(F.col("axis") == axis, _bucket_of(value, limits)) for axis, limits in bounds.items()])
+    else:
+        bucket = _bucket_of(value, bounds)
+    found = counts.groupBy(*by, "value").agg(*others, F.max(bucket).alias("bucket"))
+    return found.withColumn("bucket", F.coalesce("bucket", F.lit(0)))
+
+
+def _distinct_values(rows: DataFrame, by: list[str], size: int, buckets: int | None) -> DataFrame:
+    """(by..., value, n, bucket) over distinct values."""
+    bounds = _value_bounds(rows, ["value"], size, buckets)[0]
+    return _bucketed(rows.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n")), by, bounds)
+
+
+def _ranked(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Adds avg_rank, the mean of the ranks that ``n`` tied values share, and ``_size`` to bucketed counts."""
+    placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
+    return placed.withColumn("avg_rank", F.col("below") + (F.col("n") + 1) / 2).drop("below", "bucket")
 
 
 def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """(by..., value, n, avg_rank): the mean of the ranks that tied values share."""
     by = by or []
-    counts = _distinct_values(_numbers(df, by, value), by, df.count(), buckets)
-    placed = _weight_before(counts, by, "bucket", [F.col("value")], F.col("n"), "below")
-    return placed.select(*by, "value", "n", (F.col("below") + (F.col("n") + 1) / 2).alias("avg_rank"))
+    return _ranked(_distinct_values(_numbers(df, by, value), by, df.count(), buckets), by).select(*by, "value", "n", "avg_rank")
+
+
+def pair_ranks(pairs: DataFrame, by: list[str], columns: list[str], size: int, buckets: int | None = None) -> DataFrame:
+    """(by..., axis, value, n, k, avg_rank, _size): the ranks of each of ``columns``, which ``axis`` names.
+
+    ``pairs`` holds ``size`` distinct rows that count ``w`` each; ``k`` of them hold the value, and ``_size`` is the
+    group's weight.
+    """
+    bounds = dict(zip(columns, _value_bounds(pairs, columns, size, buckets)))
+    axes = F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).alias("value")) for c in columns])
+    counts = pairs.select(*by, "w", F.inline(axes)).groupBy(*by, "axis", "value").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("k"))
+    return _ranked(_bucketed(counts, [*by, "axis"], bounds), [*by, "axis"])
 
 
 def exact_quantiles(
@@ -142,4 +180,4 @@ def stratified_folds(df: DataFrame, row_id: str, label: str, folds: int = 5, see
         "_bucket", F.substring("_digest", 1, digits)
     )
     placed = _weight_before(hashed, [label], "_bucket", [F.col("_digest"), F.col(row_id)], F.lit(1), "_place")
-    return placed.withColumn("fold", (F.col("_place") % folds).cast("int")).drop("_digest", "_bucket", "_place")
+    return placed.withColumn("fold", (F.col("_place") % folds).cast("int")).drop("_digest", "_bucket", "_place", "_size")

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -5,8 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tamarack.functions.student import correlation_p
 from tamarack.operators import association, ranks
-from tamarack.functions.student import two_sided_p
 
 
 def skewed(seed=1, n=600):
@@ -78,11 +80,43 @@ def test_spearman_of_few_or_constant_rows(spark):
     assert (flat.n, flat.rho, flat.p) == (5, None, None)
 
 
-def test_student_p_values():
-    for t, freedom, p in [(2.228138851965, 10, 0.05), (12.706204736, 1, 0.05), (2.575829303549, 1e9, 0.01), (0.0, 5, 1.0)]:
-        assert abs(two_sided_p(t, freedom) - p) < 1e-6
-    rho, n = 0.758, 10
-    assert abs(two_sided_p(rho * ((n - 2) / (1 - rho * rho)) ** 0.5, n - 2) - 0.0111) < 1e-3
+def p_values(spark, given):
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(given)], "i int, rho double, n bigint")
+    return [r.p for r in rows.select("i", correlation_p(F.col("rho"), F.col("n")).alias("p")).orderBy("i").collect()]
+
+
+def test_p_values_of_few_rows(spark):
+    rhos = [-0.999, -0.5, 0.0, 1e-9, 0.3, 0.9, 0.999999]
+    for n, exact in [(3, lambda r: 1 - 2 / math.pi * math.asin(abs(r))), (4, lambda r: 1 - abs(r))]:
+        for found, r in zip(p_values(spark, [(r, n) for r in rhos]), rhos):
+            assert abs(found / exact(r) - 1) < 1e-9
+    assert p_values(spark, [(1.0, 9), (-1.0, 9), (0.5, 2), (None, 9)]) == [0.0, 0.0, None, None]
+    assert abs(p_values(spark, [(0.758, 10)])[0] - 0.0111) < 1e-3
+
+
+def test_p_values_reach_the_normal_limit(spark):
+    for t in (0.01, 1.96, 2.575829303549, 8.0, 30.0):
+        for n in (10**9, 10**13, 10**15, 10**16, 10**18):
+            found = p_values(spark, [(t / math.sqrt(n - 2 + t * t), n)])[0]
+            assert abs(found / math.erfc(t / math.sqrt(2)) - 1) < 1e-9 + t**4 / n
+
+
+def test_correlations_of_groups_with_ties(spark):
+    draw = np.random.default_rng(5)
+    frame = pd.DataFrame({"g": draw.integers(0, 4, 2000), "x": draw.integers(0, 3, 2000), "y": draw.normal(size=2000).round(1)})
+    frame.loc[frame.g < 2, "x"] = 1 + frame.x % 2
+    found = association.correlations_by(spark.createDataFrame(frame), ["g"], "x", "y", buckets=8).collect()
+    assert len(found) == 4
+    for row in found:
+        part = frame[frame.g == row.g]
+        assert row.n == len(part) and abs(row.rho - part.x.rank().corr(part.y.rank())) < 1e-12
+
+
+def test_correlations_list_scores_without_values(spark):
+    rows = spark.createDataFrame([(float(i), float(-i), None) for i in range(5)], "y double, a double, b double")
+    found = {r.score: r[1:] for r in association.correlations(rows, "y", {"a": "a", "b": "b"}).collect()}
+    assert found["b"] == (0, None, None) and len(found) == 2
+    assert found["a"][0] == 5 and found["a"][1:] == pytest.approx((-1.0, 0.0), abs=1e-9)
 
 
 def test_box_whiskers(spark):

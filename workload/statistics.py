@@ -48,8 +48,9 @@ def box_by_class(t: Tables) -> DataFrame:
 
 
 @query("""
-select l_extendedprice as value, count(*) as n, rank() over (order by l_extendedprice) + 0.0 as avg_rank from lineitem group by 1
-""".replace("rank() over (order by l_extendedprice) + 0.0", "sum(count(*)) over (order by l_extendedprice) - (count(*) - 1) / 2.0"))
+select l_extendedprice as value, count(*) as n, sum(count(*)) over (order by l_extendedprice) - (count(*) - 1) / 2.0 as avg_rank
+from lineitem group by 1
+""")
 def average_ranks(t: Tables) -> DataFrame:
     return ranks.average_ranks(t.lineitem, "l_extendedprice")
 
@@ -82,10 +83,29 @@ def outside_score_correlations(t: Tables) -> DataFrame:
 
 @query()
 def correlation_p_values(t: Tables) -> DataFrame:
-    """No SQL: DuckDB has no Student distribution."""
+    """No SQL: DuckDB has no Student distribution. See ``correlation_p_of_few``."""
     return association.spearman(t.lineitem, "l_quantity", "l_extendedprice", "l_quantity")
 
 
+@query("""
+with ranked as (
+    select l_orderkey, count(*) over (partition by l_orderkey) as n,
+        rank() over (partition by l_orderkey order by l_quantity) + (count(*) over (partition by l_orderkey, l_quantity) - 1) / 2.0 as rx,
+        rank() over (partition by l_orderkey order by l_extendedprice) + (count(*) over (partition by l_orderkey, l_extendedprice) - 1) / 2.0 as ry
+    from lineitem),
+rho as (
+    select l_orderkey, n, case when n >= 3 and min(rx) < max(rx) and min(ry) < max(ry) then corr(rx, ry) end as rho
+    from ranked group by l_orderkey, n)
+select l_orderkey, n, round(rho, 8) as rho, case when rho is null then null
+    when n = 4 then round(greatest(1 - abs(rho), 0), 6) when n = 3 then round(1 - 2 * asin(least(round(abs(rho), 12), 1)) / pi(), 6) end as p
+from rho
+""")
+def correlation_p_of_few(t: Tables) -> DataFrame:
+    """Of three rows and of four the p value has a closed form. One group per order."""
+    found = association.correlations_by(t.lineitem, ["l_orderkey"], "l_quantity", "l_extendedprice")
+    return found.select("l_orderkey", "n", F.round("rho", 8).alias("rho"), F.when(F.col("n").between(3, 4), F.round("p", 6)).alias("p"))
+
+
 @query("select p_type as value, count(*) as n from part group by 1 order by 2 desc, 1 limit 1")
 def most_frequent(t: Tables) -> DataFrame:
     return summaries.most_frequent(t.part.withColumnRenamed("p_type", "value"), "value")
