@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tamarack.functions.text import chrom_name
 from tamarack.operators import intervals
@@ -35,6 +36,36 @@ def test_overlapping_track_against_brute_force(spark, width):
         assert row.score == (min(hits)[2] if hits else None)
 
 
+@pytest.mark.parametrize("width", [None, 1, 16])
+def test_intervals_of_all_lengths_against_brute_force(spark, width):
+    """From one position to a whole chromosome, starting at any place of the tree of bins."""
+    draw = random.Random(8)
+    track = [("c", s := draw.randrange(1 << 20), s + 1 + draw.randrange(1 << draw.randrange(20)), float(i)) for i in range(120)]
+    track += [("c", 0, 1 << 20, -1.0), ("d", 4096, 8192, 1.0), ("d", 4095, 8193, 2.0), ("d", 64, 4096, 3.0)]
+    points = [("c", draw.randrange(1, 1 << 20)) for _ in range(300)] + [("d", p) for e in (64, 4095, 4096, 8192, 8193) for p in (e, e + 1)]
+    points += [("c", e + d) for _, s, e, _ in track[:30] for d in (0, 1)]
+    hits = intervals.scores_at(
+        spark.createDataFrame(sorted(set(points)), "chrom string, position bigint"), spark.createDataFrame(track, TRACK), "score", width
+    ).collect()
+    found = {(r.chrom, r.position): r.score for r in hits}
+    assert len(found) == len(hits)
+    for c, p in points:
+        over = [(s, e, v) for k, s, e, v in track if k == c and s <= p - 1 < e]
+        assert found.get((c, p)) == (min(over)[2] if over else None)
+
+
+def test_a_long_block_spreads_over_bins(spark):
+    """One block over a whole chromosome neither widens the bins nor becomes many rows."""
+    track = spark.createDataFrame([("c", 0, 100_000_000, 1.0)], TRACK)
+    width, top = intervals.measured_bins(track, "start0", "end0")
+    assert width <= intervals.WIDEST
+    binned = intervals._binned(track, F.col("start0"), F.col("end0"), width, top, [F.col("value")], [F.col("start0")])
+    assert binned.count() <= 2 * intervals.FAN * (top + 1)
+    points = spark.range(1, 1_000_001).select(F.lit("c").alias("chrom"), (F.col("id") * 97).alias("position"))
+    assert points.select(intervals._bin(F.col("position"), width)).distinct().count() > 50_000
+    assert intervals.scores_at(points, track, "score").agg(F.count("score"), F.sum("score")).first()[:] == (1_000_000, 1_000_000.0)
+
+
 def test_liftover(spark):
     blocks = spark.createDataFrame([
         ("1", 101, 200, "A", 1001, 1100, 1, 2), ("1", 151, 250, "B", 5001, 5100, -1, 1), ("1", 300, 300, "C", 7, 7, 1, 3),
