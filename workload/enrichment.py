@@ -4,14 +4,12 @@ Stand-ins: a customer is a chromosome and a day a position; orders make the scor
 shipped line items the points. The tracks overlap, so "first hit" is put to the test.
 """
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions import payload
 from tamarack.operators import enrich, grid, intervals
-from tamarack.session import shared_folder, written
+from tamarack.session import written
 from tamarack.sources import payloads
 from workload.catalog import Tables, query
 
@@ -33,9 +31,7 @@ def _annotations(t: Tables) -> DataFrame:
         F.lit('{"input": "7 '), F.col("user_id").cast("string"), F.lit(' . A T . . .", "most_severe_consequence": "'), kind,
         F.lit('_variant", "src_ord": '), F.col("event_id").cast("string"), F.lit(', "transcript_consequences": '), transcripts, F.lit(', "colocated_variants": '), colocated, F.lit("}"),
     )
-    path = f"{shared_folder(t.spark)}/annotations-{uuid.uuid4().hex}"
-    t.events.select(json.alias("value")).write.text(path)
-    return payloads.annotation_payloads(t.spark, path)
+    return payloads.annotation_payloads(t.spark, t.land(t.events.select(json.alias("value")), "annotations"))
 
 
 ANNOTATION_SQL = """
@@ -149,7 +145,9 @@ select p.chrom::varchar as chrom, count(*) as n, count(near_score) as n_hit, cas
 from points p left join near_hit using (chrom, position) group by 1
 """)
 def score_lookup(t: Tables) -> DataFrame:
-    scored = intervals.with_scores(_points(t), _near_track(t), "chrom", "position", "near_score")
+    """The track is read back from text."""
+    track = payloads.score_track(t.spark, t.land(_near_track(t), "near.bedgraph", "csv", sep="\t"))
+    scored = intervals.with_scores(_points(t), track, "chrom", "position", "near_score")
     return scored.groupBy("chrom").agg(
         F.count(F.lit(1)).alias("n"), F.count("near_score").alias("n_hit"),
         F.sum(F.col("near_score").cast("decimal(18,2)")).cast("double").alias("total"),
@@ -161,7 +159,9 @@ select p.chrom::varchar as chrom, to_chrom, count(*) as n, cast(sum(to_start) as
 from points p left join lift using (chrom, position) group by 1, 2
 """)
 def liftover(t: Tables) -> DataFrame:
-    mapped = intervals.with_liftover(_points(t), _blocks(t), "chrom", "position", "to")
+    """The map is read back from text."""
+    blocks = payloads.assembly_map(t.spark, t.land(_blocks(t), "map.tsv", "csv", sep="\t"))
+    mapped = intervals.with_liftover(_points(t), blocks, "chrom", "position", "to")
     return mapped.groupBy("chrom", "to_chrom").agg(
         F.count(F.lit(1)).alias("n"), F.sum("to_start").alias("starts"), F.sum("to_end").alias("ends")
     )
@@ -191,7 +191,7 @@ select p_partkey, 'chr' || p_size || ':g.' || p_partkey || 'A>' || p_type[1] as
 from part
 """)
 def external_scores(t: Tables) -> DataFrame:
-    """Scores come as numbers, lists, an empty list, or not at all; some only at the top level."""
+    """Scores come as numbers, lists, an empty list, or not at all; some only at the top level. Read back from JSON lines."""
     key = F.concat(
         F.lit("chr"), F.col("p_size").cast("string"), F.lit(":g."), F.col("p_partkey").cast("string"), F.lit("A>"), F.substring("p_type", 1, 1)
     )
@@ -201,10 +201,10 @@ def external_scores(t: Tables) -> DataFrame:
         F.col("p_type") == "ECONOMY", F.lit("null")
     ).otherwise(F.concat(F.lit('{"phred": '), (F.col("p_retailprice") + 1).cast("string"), F.lit("}")))
     json = F.concat(
-        F.lit('{"dbnsfp": {"revel": '), revel, F.lit(', "cadd": '), nested, F.lit('}, "cadd": {"phred": '),
+        F.lit('{"query": "'), key, F.lit('", "dbnsfp": {"revel": '), revel, F.lit(', "cadd": '), nested, F.lit('}, "cadd": {"phred": '),
         (F.col("p_size") + F.lit(0.5)).cast("string"), F.lit("}}"),
     )
-    landed = t.part.filter("p_size <= 40").select(key.alias("query"), json.alias("json"))
+    landed = payloads.score_payloads(t.spark, t.land(t.part.filter("p_size <= 40").select(json.alias("value")), "scores"))
     rows = t.part.select(
         "p_partkey", F.col("p_size").cast("string").alias("Chromosome"), F.col("p_partkey").cast("string").alias("Start"),
         F.lit("A").alias("ReferenceAlleleVCF"), F.substring("p_type", 1, 1).alias("AlternateAlleleVCF"),

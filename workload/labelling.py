@@ -6,10 +6,11 @@ Stand-ins: a customer is a gene, the order year a variant, the order priority a
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.functions import payload, text
+from tamarack.functions import text
 from tamarack.functions.vocab import USABLE_TERMS
 from tamarack.operators import enrich, features, filters, keys, summaries
 from tamarack.operators.scoring import display_columns
+from tamarack.sources import payloads, tables
 from workload.catalog import Tables, query
 
 PANEL = ["Brand#1", "Brand#2", "Brand#3", "Brand#5", "Brand#8", "Brand#13", "Brand#21"]
@@ -48,8 +49,36 @@ def substring_panel(t: Tables) -> DataFrame:
     return summaries.value_counts(named.filter(filters.mentions_any(F.col("p_name"), ["ring", "bolt"])), ["p_brand"])
 
 
+@query(f"""
+select p_brand as "GeneSymbol", case when p_type <> 'SMALL' then p_name end as "Name", p_retailprice::varchar as "Start",
+    p_partkey::varchar as "VariationID", 'GRCh38' as "Assembly"
+from part where p_brand in ({PANEL_SQL}) and p_size % 2 = 0
+""")
+def text_variant_scan(t: Tables) -> DataFrame:
+    """Compressed text with null tokens, unknown columns and rows of another assembly; known columns come back as text."""
+    rows = t.part.select(
+        F.col("p_size").alias("Other"), F.col("p_partkey").alias("VariationID"), F.col("p_brand").alias("GeneSymbol"),
+        F.when(F.col("p_type") == "SMALL", F.lit("NA")).otherwise(F.col("p_name")).alias("Name"),
+        F.when(F.col("p_size") % 2 == 0, F.lit("GRCh38")).otherwise(F.lit("GRCh37")).alias("Assembly"),
+        F.col("p_retailprice").alias("Start"),
+    )
+    path = t.land(rows, "variants.txt.gz", "csv", sep="\t", header=True, compression="gzip", escape='"')
+    return tables.variants(t.spark, path, PANEL, "GRCh38")
+
+
+@query("""
+select p_partkey::varchar as "Id", p_name as "Related Genes" from part
+where p_name <> 'red bolt' and (contains(p_name, 'ring') or contains(p_name, 'bolt'))
+""")
+def text_bulk_scan(t: Tables) -> DataFrame:
+    """A text table whose gene column is found by its name."""
+    rows = t.part.select(F.col("p_partkey").alias("Id"), F.when(F.col("p_name") != "red bolt", F.col("p_name")).alias("Related Genes"))
+    path = t.land(rows, "bulk.tsv", "csv", sep="\t", header=True, escape='"')
+    return tables.bulk_table(t.spark, path, ["ring", "bolt"])
+
+
 def _label_payloads(t: Tables) -> DataFrame:
-    """A landed-style JSON payload per customer; a negative balance names an accession of another segment."""
+    """A landed JSON payload per customer, read back from JSON lines; a negative balance names an accession of another segment."""
     accession = F.when(F.col("c_acctbal") < 0, F.lit("HOUSEHOLD")).otherwise(F.col("c_mktsegment"))
     term = F.when(F.col("c_acctbal") > 5000, F.lit('"Normal function"')).when(
         F.col("c_acctbal") > 1000, F.lit('"Uncertain function"')
@@ -60,7 +89,7 @@ def _label_payloads(t: Tables) -> DataFrame:
         F.lit(', "pharmVarId": "'), F.col("c_nationkey").cast("string"),
         F.lit('"}, {"name": "*1", "functionTerm": "No function", "ampTier": "Tier 1"}]}}'),
     )
-    return t.customer.select(F.from_json(json, payload.LABEL_SCHEMA).alias("p")).select("p.*")
+    return payloads.label_payloads(t.spark, t.land(t.customer.select(json.alias("value")), "labels"))
 
 
 @query("""
