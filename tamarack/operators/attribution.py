@@ -102,11 +102,28 @@ def shapley(x: np.ndarray, leaves: dict[str, np.ndarray], block: int = 256) -> n
     return phi.transpose(0, 2, 1)
 
 
+def cuts_of(groups: list[dict[str, np.ndarray]], features: int) -> list[np.ndarray]:
+    """Per feature, all thresholds that a path compares it with, in order."""
+    found = []
+    for f in range(features):
+        ends = [group[side][(group["feature"] == f) & np.isfinite(group[side])] for group in groups for side in ("low", "high")]
+        found.append(np.unique(np.concatenate(ends)) if ends else np.zeros(0))
+    return found
+
+
+def distinct_cells(x: np.ndarray, cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each cell between thresholds, and the cell of each row; rows of a cell take the same paths."""
+    cells = np.column_stack([np.where(np.isnan(x[:, f]), -1, np.searchsorted(cuts[f], x[:, f])) for f in range(x.shape[1])])
+    _, first, cell = np.unique(cells, axis=0, return_index=True, return_inverse=True)
+    return first, cell.reshape(-1)
+
+
 def with_attributions(df: DataFrame, paths: DataFrame, features: str = "features", name: str = "phi") -> DataFrame:
     """Adds a class-major array of attributions. Only the feature vector crosses to the workers.
 
     The leaf paths are broadcast, as the forest itself is to score a row: their size is the model's. They are
-    grouped by length, so none is padded. Lazy, without a shuffle, for models of any size.
+    grouped by length, so none is padded. Of rows that lie between the same thresholds a batch works out one. Lazy,
+    without a shuffle, for models of any size.
     """
     ship_package(df.sparkSession)
     leaves = paths.select("tree", "feature", "low", "high", "share", "value").toPandas()
@@ -116,10 +133,17 @@ def with_attributions(df: DataFrame, paths: DataFrame, features: str = "features
 
     @F.pandas_udf("array<double>")
     def explain(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        groups, cuts = shared.value, None
         for batch in vectors:
-            parts = [np.stack(batch.iloc[s:s + 128].tolist()) for s in range(0, len(batch), 128)]
-            phi = np.concatenate([sum(shapley(x, group) for group in shared.value) for x in parts]) / trees
-            yield pd.Series(list(phi.reshape(len(batch), -1)))
+            if not len(batch):
+                yield pd.Series([], dtype=object)
+                continue
+            x = np.stack(batch.tolist())
+            cuts = cuts_of(groups, x.shape[1]) if cuts is None else cuts
+            first, cell = distinct_cells(x, cuts)
+            parts = [x[first[s:s + 128]] for s in range(0, len(first), 128)]
+            phi = np.concatenate([sum(shapley(part, group) for group in groups) for part in parts]) / trees
+            yield pd.Series(list(phi.reshape(len(first), -1)[cell]))
 
     return df.withColumn(name, explain(vector_to_array(features)))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tamarack.functions.vocab import FOLDS, SEED
 from tamarack.operators.features import balanced_weight, class_index, class_name, fit_preprocessor
 from tamarack.operators.ranks import stratified_folds
-from tamarack.session import written
+from tamarack.session import discard, written
 
 Models = Callable[[int], dict[str, Estimator]]
 
@@ -50,4 +50,6 @@ def out_of_fold_predictions(
 
     with ThreadPoolExecutor(parallelism) as pool:
         results = [part for parts in pool.map(inheritable_thread_target(gold.sparkSession)(one_fold), range(folds)) for part in parts]
-    return written(reduce(DataFrame.unionByName, results), "out-of-fold")
+    predictions = written(reduce(DataFrame.unionByName, results), "out-of-fold")
+    discard(assigned)
+    return predictions

@@ -49,6 +49,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _shipped: set[str] = set()
 
 

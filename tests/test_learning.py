@@ -222,3 +222,17 @@ def test_outside_scores(spark):
     assert found["REVEL"].rho < -0.8 and found["REVEL"].p < 1e-6 and found["CADD"].rho is None and found["CADD"].n <= 2
     # Too few values of the other score for a box.
     assert {(r.score, r.function_term) for r in boxes.collect()} == {("REVEL", term) for term in terms[:3]}
+
+
+def test_rows_of_a_cell_share_their_attributions():
+    draw = np.random.default_rng(9)
+    leaves = {
+        "feature": np.array([[0, 1], [1, 2], [0, 2]]), "low": np.array([[-np.inf, 0.5], [-np.inf, 0.2], [0.3, -np.inf]]),
+        "high": np.array([[0.3, np.inf], [0.5, np.inf], [np.inf, 0.2]]), "share": np.array([[0.4, 0.5], [0.5, 0.3], [0.6, 0.7]]),
+        "value": np.array([[0.1, 0.9], [0.8, 0.2], [0.5, 0.5]]),
+    }
+    x = draw.random((500, 3)).round(1)
+    x[:5, 1] = np.nan
+    first, cell = attribution.distinct_cells(x, attribution.cuts_of([leaves], 3))
+    assert len(first) < 20
+    np.testing.assert_allclose(attribution.shapley(x[first], leaves)[cell], attribution.shapley(x, leaves), atol=1e-12)
