@@ -3,7 +3,8 @@
 1. Vectors are brought to length 1; equal ones are one *node* from here on.
 2. Coarse lists: each half of a vector has a codebook, and a list is a pair of its centroids, so lists can follow the
    number of vectors while the codebooks, fitted on a bounded sample, stay small. Every vector is in one list and
-   visits the ``probes`` nearest ones.
+   visits the nearest ones. How many follows from the data: a sample of vectors is compared with all rows, and the
+   visits are as many as find ``recall`` of their links nearest the threshold, and of partners made at the threshold.
 3. Within a list, residual codes per subspace and lookup tables per visitor give asymmetric distances. A member is
    compared exactly unless distance and its own quantisation error prove it too far: no link is lost here.
 4. Exact cosines in double precision decide. A pair counts for both sides also if only one visits the other's list. A
@@ -14,11 +15,11 @@ most frequent one link with nothing; repeated rows and equal vectors are links a
 empty one; other columns are ignored.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.llm.graph import components
@@ -30,13 +31,16 @@ from tamarack.llm.workers import prepare
 @dataclass(frozen=True)
 class Setting:
     threshold: float = 0.9
-    per_list: int = 64  # vectors wanted per list
+    per_list: int = 256  # vectors wanted per list
     most_centroids: int = 4096  # of each half
     sample_per_centroid: int = 64  # the sample is centroids x this, 262,144 at most
     codewords: int = 64
     subspace: int = 8  # dimensions of one
-    nearest: int = 6  # centroids of each half that are combined
-    probes: int = 12
+    nearest: int = 6  # centroids of each half that are combined, at least
+    probes: int = 12  # lists that are visited, at least
+    recall: float = 0.98  # of links at the threshold, by which further visits are added
+    queries: int = 512  # vectors on which that is measured, against all rows
+    partners: int = 8  # of each, those nearest the threshold
     block: int = 1024
     seed: int = 11
 
@@ -87,18 +91,41 @@ class Quantiser:
 
     def lists(self, x: np.ndarray) -> np.ndarray:
         """Numbers of the nearest lists of each row, the nearest first: its own."""
-        near, far, at = [], [], 0
-        for half in self.halves:
-            d = distances(x[:, at:at + half.shape[1]], half)
-            at += half.shape[1]
-            best = np.argsort(d, axis=1, kind="stable")[:, :self.how.nearest]
+        return np.concatenate([self._lists(x[i:i + 1024]) for i in range(0, len(x), 1024)])
+
+    def _lists(self, x: np.ndarray) -> np.ndarray:
+        near, far = [], []
+        for d in self.to_halves(x):
+            best = np.argsort(d, axis=1, kind="stable")[:, :max(self.how.nearest, self.how.probes)]
             near.append(best)
             far.append(np.take_along_axis(d, best, axis=1))
         if len(near) == 1:
             return near[0][:, :self.how.probes]
-        together = (far[0][:, :, None] + far[1][:, None, :]).reshape(len(x), -1)
-        number = (near[0][:, :, None] * len(self.halves[1]) + near[1][:, None, :]).reshape(len(x), -1)
-        return np.take_along_axis(number, np.argsort(together, axis=1, kind="stable")[:, :self.how.probes], axis=1)
+        # The list of the i-th and the j-th centroid has (i + 1) (j + 1) - 1 others that are no farther.
+        i, j = np.indices((near[0].shape[1], near[1].shape[1])).reshape(2, -1)
+        some = ((i + 1) * (j + 1) <= self.how.probes) | (np.maximum(i, j) < self.how.nearest)
+        i, j = i[some], j[some]
+        order = np.argsort(far[0][:, i] + far[1][:, j], axis=1, kind="stable")[:, :self.how.probes]
+        return np.take_along_axis(near[0][:, i] * len(self.halves[1]) + near[1][:, j], order, axis=1)
+
+    def to_halves(self, x: np.ndarray) -> list[np.ndarray]:
+        """Distances of each row's halves to the centroids of theirs."""
+        at, out = 0, []
+        for half in self.halves:
+            out.append(distances(x[:, at:at + half.shape[1]], half))
+            at += half.shape[1]
+        return out
+
+    def visits_needed(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many lists each row of x has to visit to reach the own list of the same row of y."""
+        out = np.ones(len(x), np.int64)
+        for k in range(len(x)):
+            far = [d[0] for d in self.to_halves(x[k:k + 1])]
+            own = [d[0].argmin() for d in self.to_halves(y[k:k + 1])]
+            goal = sum(d[c] for d, c in zip(far, own, strict=True)) - 1e-12
+            rest = goal - far[1] if len(far) > 1 else np.array([goal])
+            out[k] += np.searchsorted(np.sort(far[0]), rest).sum()
+        return out
 
     def coarse(self, lists: np.ndarray) -> np.ndarray:
         if len(self.halves) == 1:
@@ -150,20 +177,60 @@ def fitted(nodes: DataFrame, n: int, how: Setting) -> Quantiser | None:
     return Quantiser(books[:halves], books[halves:], how)
 
 
-def visits(nodes: DataFrame, shared, length: int) -> DataFrame:
-    """One row per node and list: node, copies, vector, lists (of the node), list, member (is it the node's own?)."""
+def probes_for(nodes: DataFrame, quantiser: Quantiser, length: int, how: Setting) -> int:
+    """Visits that find ``how.recall`` of the links at the threshold: of a sample's links, and of partners made for it."""
+    drawn = nodes.where(F.size("vector") == length).orderBy(F.desc("node")).limit(how.queries).select("node", "vector").collect()  # bounded by the Setting
+    names, x = np.array([r["node"] for r in drawn]), unit(np.array([r["vector"] for r in drawn], np.float64))
 
-    def made(batches):
+    def work(batches):
+        best = [[] for _ in names]  # cosine, node and vector of a query's links nearest the threshold
         for batch in batches:
             batch = batch.filter(pa.compute.equal(pa.compute.list_value_length(batch["vector"]), length))
             if not len(batch):
                 continue
+            y, own = unit(matrix(batch["vector"])), np.array(batch["node"].to_pylist())
+            close = x @ y.T
+            for q in np.flatnonzero(close.max(axis=1) >= how.threshold):
+                some = np.flatnonzero(close[q] >= how.threshold)
+                some = some[own[some] != names[q]]
+                some = some[np.argsort(close[q][some], kind="stable")[:how.partners]]
+                best[q] = sorted([*best[q], *((close[q][k], own[k], y[k]) for k in some)], key=lambda r: r[:2])[:how.partners]
+        found = [(q, *r) for q, rows in enumerate(best) for r in rows]
+        columns = [[r[c] for r in found] for c in range(4)]
+        kinds = [pa.int64(), pa.float64(), pa.string(), pa.list_(pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["query", "cosine", "node", "vector"])
+
+    links = nodes.select("node", "vector").mapInArrow(work, "query long, cosine double, node string, vector array<double>")
+    first = Window.partitionBy("query").orderBy("cosine", "node")
+    links = links.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= how.partners).select("query", "vector").collect()  # partners of each query
+    away = np.random.default_rng(how.seed).normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    long = np.linalg.norm(away, axis=1) > 1e-9  # vectors of one component have no such partner
+    made = how.threshold * x[long] + np.sqrt(1 - how.threshold**2) * unit(away[long]) if long.any() else x[:0]
+    pairs = [(x[long], made)]
+    if links:
+        pairs.append((x[[r["query"] for r in links]], np.array([r["vector"] for r in links], np.float64)))
+    needed = [np.minimum(quantiser.visits_needed(a, b), quantiser.visits_needed(b, a)) for a, b in pairs if len(a)]
+    return max([how.probes, *(int(np.quantile(n, how.recall, method="higher")) for n in needed)])
+
+
+def visits(nodes: DataFrame, shared, length: int) -> DataFrame:
+    """One row per node and list: node, copies, vector, lists (all of a member, else its own), list, member (is it the node's own?)."""
+
+    def pieces(batches):
+        step = max(65536 // shared.value.how.probes, 1)  # a row becomes as many as it visits lists
+        for batch in batches:
+            batch = batch.filter(pa.compute.equal(pa.compute.list_value_length(batch["vector"]), length))
+            yield from (batch.slice(i, step) for i in range(0, len(batch), step))
+
+    def made(batches):
+        for batch in pieces(batches):
             lists = shared.value.lists(unit(matrix(batch["vector"]))).astype(np.int64)
             each = np.repeat(np.arange(len(batch)), lists.shape[1])
             rows = batch.take(pa.array(each))
             member = np.tile(np.arange(lists.shape[1]) == 0, len(batch))
             yield pa.RecordBatch.from_arrays(
-                [rows["node"], rows["copies"], rows["vector"], pa.array(list(lists[each]), pa.list_(pa.int64())), pa.array(lists.ravel()), pa.array(member)],
+                [rows["node"], rows["copies"], rows["vector"], pa.array([v if own else v[:1] for v, own in zip(lists[each], member, strict=True)], pa.list_(pa.int64())), pa.array(lists.ravel()), pa.array(member)],
                 ["node", "copies", "vector", "lists", "list", "member"],
             )
 
@@ -178,7 +245,7 @@ def in_cells(rows: DataFrame, how: Setting) -> DataFrame:
     number = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     names = ["list", "node", "copies", "vector", "lists"]
-    visitors = known.select(*names, number("visitors").alias("there"), every("members").alias("here"), F.lit(True).alias("visits"))
+    visitors = known.select(*names[:-1], F.slice("lists", 1, 1).alias("lists"), number("visitors").alias("there"), every("members").alias("here"), F.lit(True).alias("visits"))
     members = known.where("member").select(*names, every("visitors").alias("there"), number("members").alias("here"), F.lit(False).alias("visits"))
     return visitors.unionByName(members)
 
@@ -236,8 +303,10 @@ def near_dedup(embeddings: DataFrame, how: Setting = Setting()) -> DataFrame:
     quantiser = fitted(nodes, nodes.count(), how)
     if quantiser is None:  # no vector can link
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    length = sum(h.shape[1] for h in quantiser.halves)
+    quantiser.how = replace(how, probes=probes_for(nodes, quantiser, length, how))
     shared = spark.sparkContext.broadcast(quantiser)  # bounded by the Setting
-    visiting = scratch.write(visits(nodes, shared, sum(h.shape[1] for h in quantiser.halves)), "visits")
+    visiting = scratch.write(visits(nodes, shared, length), "visits")
 
     def work(key, table):
         return linked(table, key[0].as_py(), shared.value, how)

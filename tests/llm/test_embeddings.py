@@ -48,6 +48,18 @@ def test_all_lists_visited_is_exact(spark):
     assert result(spark, rows, embeddings.Setting(per_list=8, block=16, nearest=10**6, probes=10**6)) == brute_force(rows)
 
 
+def test_recall_at_the_threshold_holds_with_many_lists(spark):
+    """Pairs planted just above the threshold, over about as many lists as vectors: 12 visits lose a tenth."""
+    draw = np.random.default_rng(5)
+    x, away = (embeddings.unit(draw.normal(size=(400, 64))) for _ in range(2))
+    away = embeddings.unit(away - (away * x).sum(1, keepdims=True) * x)
+    y = 0.801 * x + np.sqrt(1 - 0.801**2) * away
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    got = result(spark, rows, embeddings.Setting(threshold=0.8, per_list=1, sample_per_centroid=8))
+    assert sum(r[1] for r in got) >= 0.95 * 800
+    assert sum(r[3] for r in got) <= 400 + 0.05 * 400
+
+
 def test_hot_group_over_many_cells(spark):
     rows = groups(1, 150, 0.05) + [(1000 + i, v) for i, v in groups(30, 1, 0, seed=3)]
     assert result(spark, rows, embeddings.Setting(block=16)) == brute_force(rows)
