@@ -9,7 +9,7 @@ A prefix is found in two steps: totals per slice of the hash, then rows only wit
 leaf with a third of all rows is never ordered by one task. Only DataFrame functions are used.
 
 Rows: null or empty texts hold no tokens and go along where their place is before the prefix's end; leaves that the
-weights do not name (a null language or source, say) get no budget; repeated rows are rows of their own, ties of the
+weights do not name (a null language or source, say) get no budget, or that of the weight ``others``; repeated rows are rows of their own, ties of the
 hash are ordered by tokens and a digest of the text; an empty table gives an empty one; other columns pass.
 """
 
@@ -34,6 +34,7 @@ class Mix:
     share: float = 1.0  # of the tokens that the named leaves hold
     max_epochs: int = 4
     seed: int = 17
+    others: float | None = None  # weight of the domains, languages and sources of the rows that the tree does not name
 
 
 def tokens(text: Column) -> Column:
@@ -50,6 +51,24 @@ def named_leaves(spark: SparkSession, tree: Tree) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*leaves)))
 
 
+def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join with a table of leaves or nodes in which null is a value like any other."""
+    right = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return left.join(F.broadcast(right), same, how).drop(*[f"_of_{k}" for k in keys])
+
+
+def weighted(totals: DataFrame, mix: Mix) -> DataFrame:
+    """The leaves that rows hold, with the weights on their path: those of the tree, and others where they have a weight."""
+    leaves = named_leaves(totals.sparkSession, mix.tree)
+    if mix.others is None:
+        return matched(totals, leaves, list(LEVELS))
+    for i, level in enumerate(LEVELS):
+        named = leaves.select(*LEVELS[: i + 1], f"{level}_weight").distinct()
+        totals = matched(totals, named, list(LEVELS[: i + 1]), "left").fillna(float(mix.others), [f"{level}_weight"])
+    return totals
+
+
 def shared(parents: DataFrame, children: DataFrame, level: int) -> DataFrame:
     """Budgets of the children of each parent: by weight, capped by capacity, shortages spread over the siblings.
 
@@ -59,7 +78,7 @@ def shared(parents: DataFrame, children: DataFrame, level: int) -> DataFrame:
     above, name = ["root", *LEVELS[:level]], LEVELS[level]
     order = Window.partitionBy(*above).orderBy(F.col("capacity") / F.col("weight"), name)
     earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    held = children.where("capacity > 0").join(parents.select(*above, F.col("budget").alias("of_parent")), above)
+    held = children.where("capacity > 0").transform(matched, parents.select(*above, F.col("budget").alias("of_parent")), above)
     worth = (F.col("of_parent") - F.coalesce(F.sum("capacity").over(earlier), F.lit(0.0))) / F.sum("weight").over(later)
     ranked = held.withColumn("worth", worth)
     open_worth = F.when(F.col("capacity") > F.col("worth") * F.col("weight"), F.col("worth"))
@@ -79,7 +98,7 @@ def leaf_budgets(held: DataFrame, mix: Mix) -> DataFrame:
     budgets = leaves.groupBy("root").agg(F.least(F.sum("held") * mix.share, F.sum("capacity")).alias("budget"))
     for i in range(len(LEVELS)):
         budgets = shared(budgets, nodes[i], i)
-    return budgets.join(leaves.select(*LEVELS, "held"), list(LEVELS)).drop("root")
+    return matched(budgets, leaves.select(*LEVELS, "held"), list(LEVELS)).drop("root")
 
 
 def measured(documents: DataFrame, domain: Column) -> DataFrame:
@@ -95,28 +114,27 @@ def place(seed: int) -> Column:
 
 
 def prefix_ends(documents: DataFrame, domain: Column, mix: Mix, scratch: Scratch) -> DataFrame:
-    """One row per named leaf that gets a budget: whole epochs, and the last row of the prefix of one more epoch."""
+    """One row per leaf that gets a budget: whole epochs, and the last row of the prefix of one more epoch."""
     rows = scratch.write(measured(documents, domain).select("doc_id", "_domain", "lang", "source", "_tokens", "_text"), "measured")
-    leaves = named_leaves(documents.sparkSession, mix.tree)
     totals = rows.groupBy(F.col("_domain").alias("domain"), "lang", "source").agg(F.sum("_tokens").alias("held"))
-    budgets = leaf_budgets(totals.join(F.broadcast(leaves), list(LEVELS)), mix)
+    budgets = leaf_budgets(weighted(totals, mix), mix)
     # Whole tokens, so that rounding of the shares decides nothing.
     whole = F.floor(F.col("budget") + 1e-6)
     plan = scratch.write(budgets.where("held > 0").select(
         F.col("domain").alias("_domain"), "lang", "source", "held", whole.alias("budget"), F.floor(whole / F.col("held")).alias("_epochs"), (whole % F.col("held")).alias("_part"),
     ), "budgets")
     leaf = ["_domain", "lang", "source"]
-    # The plan has one row per named leaf at most: its size is the parameter's.
-    keyed = rows.join(F.broadcast(plan), leaf).withColumn("_place", place(mix.seed)).withColumn("_slice", F.substring("_place", 1, SLICE_DIGITS))
+    # The plan has one row per leaf: its size is the parameter's, or the number of the rows' leaves with ``others``.
+    keyed = matched(rows, plan, leaf).withColumn("_place", place(mix.seed)).withColumn("_slice", F.substring("_place", 1, SLICE_DIGITS))
     slices = keyed.groupBy(*leaf, "_slice").agg(F.sum("_tokens").alias("in_slice"), F.max("_part").alias("_part"))
     running = Window.partitionBy(*leaf).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     reached = slices.withColumn("before", F.coalesce(F.sum("in_slice").over(running), F.lit(0)))
     last = reached.where("before < _part and before + in_slice >= _part").groupBy(*leaf).agg(F.max(F.struct("_slice", "before")).alias("last")).select(*leaf, "last.*")
-    at_end = keyed.join(F.broadcast(last), [*leaf, "_slice"])
+    at_end = matched(keyed, last, [*leaf, "_slice"])
     in_slice = Window.partitionBy(*leaf).orderBy("_place", "_tokens", "_text").rowsBetween(Window.unboundedPreceding, -1)
     end = at_end.withColumn("ahead", F.col("before") + F.coalesce(F.sum("_tokens").over(in_slice), F.lit(0))).where("ahead < _part")
     ends = end.groupBy(*leaf).agg(F.max(F.struct("_place", "_tokens", "_text")).alias("_end"))
-    return scratch.write(plan.join(ends, leaf, "left").select(*leaf, "_epochs", "_end"), "ends")
+    return scratch.write(matched(plan, ends, leaf, "left").select(*leaf, "_epochs", "_end"), "ends")
 
 
 def mixed(documents: DataFrame, domain: Column, mix: Mix) -> DataFrame:
@@ -128,7 +146,7 @@ def mixed(documents: DataFrame, domain: Column, mix: Mix) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "mixing")
     ends = prefix_ends(documents, domain, mix, scratch)
     scratch.drop("measured", "budgets")
-    rows = measured(documents.drop("_epochs", "_end", "_copies"), domain).join(F.broadcast(ends), ["_domain", "lang", "source"], "left")
+    rows = measured(documents.drop("_epochs", "_end", "_copies"), domain).transform(matched, ends, ["_domain", "lang", "source"], "left")
     here = F.struct(place(mix.seed).alias("_place"), "_tokens", "_text")
     copies = F.coalesce("_epochs", F.lit(0)) + F.coalesce((here <= F.col("_end")).cast("long"), F.lit(0))
     added = ("_domain", "_tokens", "_copies")

@@ -79,13 +79,13 @@ TREE = {
     "forum": (3.0, {lang: (w, {s: 2.0 if s == "src10" else 1.0 for s in FORUM}) for lang, w in LANGUAGES.items()}),
 }
 MIX = mixing.Mix(TREE, share=1.0, max_epochs=4, seed=17)
-#: The pipeline's mix asks for more than a leaf usually holds, so it repeats rows and drops hardly any.
+#: The pipeline's mix asks for more than a leaf usually holds, so it repeats rows; README has what it drops.
 PIPELINE_LANGUAGES = {"en": 5.0, "de": 1.5, "fr": 1.5, "es": 1.0}
 PIPELINE_MIX = mixing.Mix({
     "crawl": (4.0, {lang: (w, {"src0": 1.0}) for lang, w in PIPELINE_LANGUAGES.items()}),
     "reference": (3.0, {lang: (w, dict.fromkeys(REFERENCE, 1.0)) for lang, w in PIPELINE_LANGUAGES.items()}),
     "forum": (3.0, {lang: (w, dict.fromkeys(FORUM, 1.0)) for lang, w in PIPELINE_LANGUAGES.items()}),
-}, share=1.25)
+}, share=1.25, others=1.0)
 
 
 def domain_of(source) -> F.Column:

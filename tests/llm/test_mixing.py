@@ -83,3 +83,13 @@ def test_no_python_in_the_plan(spark, sf):
     for df in (op3_mixing(spark, sf), chat.read_back(chat.rendered_turns(read(spark, sf, "conversations")))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_leaves_the_pipeline_does_not_name_stay(spark):
+    """Null and new languages and sources hold a leaf of their own."""
+    from corpus_pipeline import to_target_weights
+
+    rows = [(i, f"some words {i}", "en", "src0") for i in range(200)]
+    odd = [(1000 + i, "two words", lang, source) for i, (lang, source) in enumerate([(None, "src0"), ("pt", "src1"), ("en", "src99"), ("en", None), (None, None)])]
+    got = to_target_weights(spark, spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string"), "")
+    assert {r.doc_id for r in got.collect()} >= {r[0] for r in odd}
