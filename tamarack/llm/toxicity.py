@@ -1,11 +1,12 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, votes, calibration.
 
 1. Examples: a bounded sample of the labelled rows, the same number of each class, one of equal texts.
-2. Terms: words and word beginnings that tell the classes of the examples apart; their document frequencies are counted
-   over all documents.
-3. The index holds the examples in blocks: for each term its postings per block and their largest weight. A query sums
-   the largest weights into a bound per block and works blocks off from the highest bound on, until no bound exceeds
-   the last neighbour found; so its neighbours are exact.
+2. Terms: all words and word beginnings of the examples; their document frequencies are counted over all documents. A
+   term that tells the classes apart (chi squared) weighs more, and none weighs nothing.
+3. The index holds the examples in blocks: for each term its postings per block and their largest weight. Terms of many
+   examples are summed for all of them at once. A query adds the largest weights of its other terms into a bound per
+   block and works blocks off from the highest bound on, until no bound exceeds the last neighbour found; so its
+   neighbours are exact.
 4. Neighbours vote by similarity. A logistic curve, fitted on the examples' own votes (each without itself) and
    weighted to the classes' real shares, makes the vote a probability.
 
@@ -31,9 +32,9 @@ class Setting:
     """Sizes of the model; none depends on the data."""
 
     examples_per_class: int = 2000
-    terms: int = 8192
-    least_chi2: float = 12.0
-    least_examples: int = 4
+    half_chi2: float = 12.0  # of a term of half the largest class weight
+    least_weight: float = 0.02  # class weight of a term that tells nothing
+    common: float = 0.125  # share of the examples beyond which a term is summed for all of them
     prefixes: tuple[int, ...] = (3, 4, 5, 6)
     neighbours: int = 15
     block: int = 64
@@ -63,8 +64,10 @@ def terms_of(texts: list[str | None], prefixes: tuple[int, ...]) -> tuple[np.nda
 
 def counted(docs: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each (text, term) once, in order, and how often it is there."""
-    order = np.lexsort((terms, docs))
-    docs, terms = docs[order], terms[order]
+    kinds, numbers = np.unique(terms, return_inverse=True) if terms.dtype == np.uint64 else (None, terms)
+    width = int(numbers.max(initial=0)) + 1
+    docs, terms = np.divmod(np.sort(docs * width + numbers), width)
+    terms = terms if kinds is None else kinds[terms]
     first = np.ones(len(docs), bool)
     first[1:] = (docs[1:] != docs[:-1]) | (terms[1:] != terms[:-1])
     starts = np.flatnonzero(first)
@@ -76,11 +79,11 @@ class Vocabulary:
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = np.sort(hashes.view(np.uint64))
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[(self.hashes & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
     def numbers(self, docs: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        some = self.maybe[(terms & np.uint64((1 << 20) - 1)).astype(np.int64)]
+        some = self.maybe[(terms & np.uint64((1 << 22) - 1)).astype(np.int64)]
         docs, terms = docs[some], terms[some]
         at = np.minimum(np.searchsorted(self.hashes, terms), len(self.hashes) - 1)
         here = self.hashes[at] == terms
@@ -90,24 +93,13 @@ class Vocabulary:
         return counted(*self.numbers(*terms_of(texts, prefixes)))
 
 
-def informative_terms(examples: DataFrame, how: Setting) -> np.ndarray:
-    """The ``how.terms`` terms that most differ between the classes (chi squared over the examples)."""
-
-    def spread(batches):
-        for batch in batches:
-            docs, terms, _ = counted(*terms_of(batch["text"].to_pylist(), how.prefixes))
-            toxic = batch["toxic"].to_numpy()[docs]
-            yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(toxic, pa.int32())], ["term", "toxic"])
-
-    sizes = dict(examples.groupBy("toxic").count().collect())
-    if len(sizes) < 2:
-        return np.zeros(0, np.int64)
-    n1, n0 = float(sizes[1]), float(sizes[0])
-    a, b = F.col("a"), F.col("b")
-    chi2 = (n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)) / ((a + b) * (n1 + n0 - a - b) * n1 * n0)
-    per_term = examples.mapInArrow(spread, "term long, toxic int").groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-    best = per_term.where((a + b >= how.least_examples) & (a + b < n1 + n0)).withColumn("chi2", chi2).where(F.col("chi2") >= how.least_chi2)
-    return np.array([r["term"] for r in best.orderBy(F.desc("chi2"), "term").limit(how.terms).collect()], np.int64)
+def class_weights(owner: np.ndarray, terms: np.ndarray, toxic: np.ndarray, size: int, how: Setting) -> np.ndarray:
+    """A weight above 0 for every term, the more it differs between the classes of the examples."""
+    n1, n0 = toxic.sum(), (1 - toxic).sum()
+    a, n = np.bincount(terms, toxic[owner], size), np.bincount(terms, minlength=size)
+    b = n - a
+    chi2 = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(n * (n1 + n0 - n) * n1 * n0, 1)
+    return how.least_weight + chi2 / (chi2 + how.half_chi2)
 
 
 def document_frequencies(documents: DataFrame, vocabulary: Vocabulary, how: Setting) -> tuple[np.ndarray, int]:
@@ -136,6 +128,14 @@ class Index:
     """Block-max inverted index of example vectors (example, term, weight), each of length 1."""
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, how: Setting):
+        self.examples, self.size = int(example.max(initial=-1)) + 1, how.block
+        self.blocks = -(-self.examples // how.block)
+        many = np.bincount(term, minlength=terms) > how.common * self.examples
+        self.row = np.where(many, np.cumsum(many) - 1, -1)  # of a common term among its like
+        often = many[term]
+        self.often = (self.row[term[often]], example[often], weight[often])
+        self.dense = None
+        example, term, weight = example[~often], term[~often], weight[~often]
         order = np.lexsort((example, term))
         self.example, self.weight, term = example[order], weight[order], term[order]
         block = self.example // how.block
@@ -146,15 +146,29 @@ class Index:
         self.block = block[self.starts]
         self.most = np.maximum.reduceat(self.weight, self.starts) if len(term) else self.weight
         self.of_term = np.searchsorted(term[self.starts], np.arange(terms + 1))
-        self.blocks, self.size = int(block.max(initial=-1)) + 1, how.block
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def __getstate__(self):
+        return self.__dict__ | {"dense": None}  # each worker makes its own
+
+    def common_scores(self, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+        """What the common terms add to the cosine of each of ``n`` texts with each example."""
+        if self.dense is None:
+            self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, self.examples))
+            self.dense[self.often[0], self.often[1]] = self.often[2]
+        some = self.row[terms] >= 0
+        query = np.zeros((n, len(self.dense)))
+        query[docs[some], self.row[terms[some]]] = weights[some]
+        return query @ self.dense
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` most similar examples and their cosines; fewer if fewer share a term."""
+        if common is None:
+            common = self.common_scores(np.zeros(len(terms), np.int64), terms, weights, 1)[0]
         runs, counts = self._runs(terms)
-        if not len(runs):
-            return np.zeros(0, np.int64), np.zeros(0)
         query = np.repeat(weights, counts)
-        bounds = np.bincount(self.block[runs], query * self.most[runs], self.blocks) * (1 + 1e-12)
+        edges = np.arange(0, self.examples, self.size)
+        bounds = np.maximum.reduceat(common, edges) if len(edges) else np.zeros(0)
+        bounds = (bounds + np.bincount(self.block[runs], query * self.most[runs], self.blocks)) * (1 + 1e-12)
         ranked = np.argsort(-bounds, kind="stable")
         ranked = ranked[bounds[ranked] > 0]
         found, scores, last, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 4
@@ -162,8 +176,9 @@ class Index:
             chosen = np.zeros(self.blocks, bool)
             chosen[ranked[at:at + step]] = True
             now = chosen[self.block[runs]]
-            example, score = self._scored(runs[now], query[now])
-            keep = (example != without) & (score > 0)
+            example = np.flatnonzero(np.repeat(chosen, self.size)[:self.examples])
+            score = np.minimum(common[example] + self._scored(runs[now], query[now])[example], 1.0)
+            keep = (example != without) & (score > 0) & (score >= last)
             found, scores = np.concatenate([found, example[keep]]), np.concatenate([scores, score[keep]])
             best = np.lexsort((found, -scores))[:k]
             found, scores = found[best], scores[best]
@@ -175,11 +190,10 @@ class Index:
         starts, counts = self.of_term[terms], self.of_term[terms + 1] - self.of_term[terms]
         return _ranges(starts, counts), counts
 
-    def _scored(self, runs: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _scored(self, runs: np.ndarray, query: np.ndarray) -> np.ndarray:
         counts = self.ends[runs] - self.starts[runs]
         at = _ranges(self.starts[runs], counts)
-        example, own = np.unique(self.example[at], return_inverse=True)
-        return example, np.minimum(np.bincount(own, np.repeat(query, counts) * self.weight[at], len(example)), 1.0)
+        return np.bincount(self.example[at], np.repeat(query, counts) * self.weight[at], self.examples)
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -220,7 +234,7 @@ def fitted_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[floa
 @dataclass
 class Model:
     vocabulary: Vocabulary
-    idf: np.ndarray
+    idf: np.ndarray  # by the class weights
     index: Index
     ids: np.ndarray
     toxic: np.ndarray
@@ -236,7 +250,10 @@ class Model:
         votes, near, cosines = np.zeros(len(texts)), [], []
         for i in range(len(texts)):
             own = slice(ends[i], ends[i + 1])
-            found, cosine = self.index.nearest(terms[own], weights[own], self.how.neighbours)
+            if i % 128 == 0:
+                some = slice(ends[i], ends[min(i + 128, len(texts))])
+                common = self.index.common_scores(docs[some] - i, terms[some], weights[some], 128)
+            found, cosine = self.index.nearest(terms[own], weights[own], self.how.neighbours, common=common[i % 128])
             votes[i] = vote(self.toxic[found], cosine)
             near.append(self.ids[found])
             cosines.append(cosine)
@@ -244,7 +261,7 @@ class Model:
 
 
 def fit(documents: DataFrame, labels: DataFrame, how: Setting = Setting()) -> Model | None:
-    """None where the labels do not hold both classes, or no term tells them apart."""
+    """None where the examples do not hold both classes, or no term."""
     spark = prepare(documents.sparkSession)
     scratch = Scratch(spark, "toxicity")
     wanted = example_ids(labels, how.examples_per_class).withColumnRenamed("doc_id", "_id")
@@ -252,31 +269,39 @@ def fit(documents: DataFrame, labels: DataFrame, how: Setting = Setting()) -> Mo
     sampled = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
     once = sampled.groupBy(F.xxhash64("text").alias("same")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r")).select("r.*")
     examples = scratch.write(once, "examples")
-    hashes = informative_terms(examples, how)
-    if not len(hashes):
-        return None
-    vocabulary = Vocabulary(hashes)
-    seen, total = document_frequencies(documents, vocabulary, how)
-    idf = np.log((total + 1) / (seen + 1)) + 1e-9
 
     def entries(batches):
         for batch in batches:
-            docs, terms, counts = vocabulary.counts(batch["text"].to_pylist(), how.prefixes)
+            docs, terms, counts = counted(*terms_of(batch["text"].to_pylist(), how.prefixes))
             ends = np.searchsorted(docs, np.arange(len(batch) + 1))
-            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (terms, counts)]
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (terms.view(np.int64), counts)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], *lists], ["doc_id", "toxic", "terms", "counts"])
 
-    rows = examples.mapInArrow(entries, "doc_id long, toxic int, terms array<long>, counts array<long>").collect()  # the sample, in its terms
-    rows.sort(key=lambda r: (r["toxic"], r["doc_id"]))
-    ids, toxic = np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows], np.float64)
-    owner = np.repeat(np.arange(len(rows)), [len(r["terms"]) for r in rows])
-    terms, counts = (np.array([v for r in rows for v in r[c]], np.int64) for c in ("terms", "counts"))
+    rows = examples.mapInArrow(entries, "doc_id long, toxic int, terms array<long>, counts array<long>").toArrow()  # the sample, in its terms
+    rows = rows.sort_by([("toxic", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+    ids, toxic = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy().astype(np.float64)
+    owner = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(rows["terms"]).to_numpy())
+    terms, counts = (pa.compute.list_flatten(rows[c]).to_numpy() for c in ("terms", "counts"))
+    if len(np.unique(toxic)) < 2 or not len(terms):
+        return None
+    vocabulary = Vocabulary(np.unique(terms))
+    seen, total = document_frequencies(documents, vocabulary, how)
+    order = np.argsort(owner * len(seen) + np.searchsorted(vocabulary.hashes, terms.view(np.uint64)))
+    owner, terms, counts = owner[order], np.searchsorted(vocabulary.hashes, terms.view(np.uint64))[order], counts[order]
+    idf = (np.log((total + 1) / (seen + 1)) + 1e-9) * class_weights(owner, terms, toxic, len(seen), how)
     weights = vectors(owner, terms, counts, idf)
     index = Index(owner, terms, weights, len(vocabulary.hashes), how)
-    ends = np.searchsorted(owner, np.arange(len(rows) + 1))
-    x = np.array([vote(toxic[found], cosine) for i in range(len(rows)) for found, cosine in [index.nearest(terms[ends[i]:ends[i + 1]], weights[ends[i]:ends[i + 1]], how.neighbours, without=i)]])
+    ends = np.searchsorted(owner, np.arange(len(ids) + 1))
+    x = np.zeros(len(ids))
+    for i in range(len(ids)):
+        own = slice(ends[i], ends[i + 1])
+        if i % 128 == 0:
+            some = slice(ends[i], ends[min(i + 128, len(ids))])
+            common = index.common_scores(owner[some] - i, terms[some], weights[some], 128)
+        found, cosine = index.nearest(terms[own], weights[own], how.neighbours, without=i, common=common[i % 128])
+        x[i] = vote(toxic[found], cosine)
     shares = labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
-    weight = np.where(toxic > 0, shares / toxic.sum(), (1 - shares) / (1 - toxic).sum()) * len(rows)
+    weight = np.where(toxic > 0, shares / toxic.sum(), (1 - shares) / (1 - toxic).sum()) * len(ids)
     slope, offset = fitted_curve(x, toxic, weight)
     return Model(vocabulary, idf, index, ids, toxic, slope, offset, how)
 

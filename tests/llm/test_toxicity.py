@@ -72,3 +72,13 @@ def test_held_out_rows_teach_nothing(spark, documents):
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = ({r.doc_id: r._score for r in toxicity.scored(df, toxicity.fit(df, x)).collect()} for x in (labels, flipped))
     assert a == b
+
+
+def test_rare_toxic_words_find_their_example(spark, documents):
+    """A near copy of a toxic example whose words no other example holds."""
+    df, labels = labelled(spark, documents)
+    rare = "zorgle fnarp quibbix drell vantosk"
+    free = next(i for i in range(500, 600) if not spark.range(1).select(toxicity.held_out(F.lit(i))).first()[0])
+    model = toxicity.fit(df.unionAll(documents([(free, rare)])), labels.unionAll(spark.createDataFrame([(free, 1, 1)], labels.schema)))
+    got = toxicity.scored(documents([(1000, rare + " mulg")]), model).first()
+    assert free in got._neighbours and max(got._cosines) > 0.8 and got._score >= 0.5
