@@ -15,6 +15,7 @@ labels without a verdict are ignored, and a document that is labelled toxic once
 smaller example; without labels of both classes no text is toxic (score 0); other columns are ignored.
 """
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -147,9 +148,6 @@ class Index:
         self.most = np.maximum.reduceat(self.weight, self.starts) if len(term) else self.weight
         self.of_term = np.searchsorted(term[self.starts], np.arange(terms + 1))
 
-    def __getstate__(self):
-        return self.__dict__ | {"dense": None}  # each worker makes its own
-
     def common_scores(self, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
         """What the common terms add to the cosine of each of ``n`` texts with each example."""
         if self.dense is None:
@@ -236,12 +234,25 @@ class Model:
     vocabulary: Vocabulary
     idf: np.ndarray  # by the class weights
     index: Index
+    sample: tuple[np.ndarray, np.ndarray, np.ndarray]  # of the examples, in order: numbers of terms, terms, counts
     ids: np.ndarray
     toxic: np.ndarray
     slope: float
     offset: float
     how: Setting
 
+    def __getstate__(self):
+        """Small, as each task's machine gets it: the vocabulary and the index are made again there."""
+        sample = [zlib.compress(a.astype(np.int32).tobytes(), 1) for a in self.sample]
+        return self.__dict__ | {"vocabulary": self.vocabulary.hashes, "index": None, "sample": sample}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.vocabulary = Vocabulary(state["vocabulary"])
+        sizes, terms, counts = self.sample = tuple(np.frombuffer(zlib.decompress(b), np.int32).astype(np.int64) for b in state["sample"])
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.index = Index(owner, terms, vectors(owner, terms, counts, self.idf), len(self.idf), self.how)
+
     def scored(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
         """Score, neighbours (doc_ids of examples) and cosines of each text."""
         docs, terms, counts = self.vocabulary.counts(texts, self.how.prefixes)
@@ -303,7 +314,7 @@ def fit(documents: DataFrame, labels: DataFrame, how: Setting = Setting()) -> Mo
     shares = labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     weight = np.where(toxic > 0, shares / toxic.sum(), (1 - shares) / (1 - toxic).sum()) * len(ids)
     slope, offset = fitted_curve(x, toxic, weight)
-    return Model(vocabulary, idf, index, ids, toxic, slope, offset, how)
+    return Model(vocabulary, idf, index, (np.diff(ends), terms, counts), ids, toxic, slope, offset, how)
 
 
 def scored(documents: DataFrame, model: Model | None) -> DataFrame:
