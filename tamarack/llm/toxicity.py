@@ -115,14 +115,11 @@ def document_frequencies(documents: DataFrame, vocabulary: Vocabulary, how: Sett
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array([*some, -1], pa.int64()), pa.array([*seen[some], n], pa.int64())], ["term", "n"])
 
+    tallied = documents.select("text").mapInArrow(tally, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per term
+    term, n = tallied["term"].to_numpy(), tallied["n"].to_numpy()
     out = np.zeros(len(vocabulary.hashes), np.int64)
-    total = 0
-    for row in documents.select("text").mapInArrow(tally, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row per term
-        if row["term"] < 0:
-            total = row["n"]
-        else:
-            out[row["term"]] = row["n"]
-    return out, total
+    out[term[term >= 0]] = n[term >= 0]
+    return out, int(n[term < 0].sum())
 
 
 class Index:
