@@ -1,12 +1,13 @@
 """The registered queries of this subpackage, and their SQL where one exists."""
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, embeddings, exactdedup, linededup, mixing, ngramjoin, packing, quality, toxicity, urlfilter
+from tamarack.llm import chat, embeddings, exactdedup, linededup, mixing, ngramjoin, packing, periodic, quality, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -236,3 +237,28 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_dedup(table(spark, folder, "embeddings"))
+
+
+def with_repeats(row: dict, words: list[bytes]) -> list[bytes]:
+    """The contract's words: of one document in ten, those from some word on are repeated with some period."""
+    if row["doc_id"] is None or not words:
+        return words
+    h = zlib.crc32(str(row["doc_id"]).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.with_runs(table(spark, folder, "documents").select("doc_id", "text"), with_repeats)
+    best = F.expr("array_max(transform(_runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    listed = F.expr(r"concat_ws('', transform(_runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    rows = found.select("doc_id", F.size("_runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed"), "_kept")
+    return rows.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("_kept", 256).alias("collapsed_sha256"),
+    )
