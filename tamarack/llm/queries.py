@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, embeddings, exactdedup, linededup, mixing, ngramjoin, packing, periodic, quality, toxicity, urlfilter
+from tamarack.llm import chat, embeddings, exactdedup, linededup, mixing, ngramjoin, packing, periodic, quality, spelling, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -262,3 +262,17 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
         F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("_kept", 256).alias("collapsed_sha256"),
     )
+
+
+def with_misspellings(words: DataFrame) -> DataFrame:
+    """The contract's words: of one (document, word) in 31, a letter is missing. A null doc_id counts as an empty one."""
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("word")).cast("binary"))
+    at = (F.col("h") % F.length("word")).cast("int")
+    cut = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
+    return words.withColumn("h", h).select("doc_id", F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("word")).alias("word"))
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = with_misspellings(spelling.runs_of_letters(table(spark, folder, "documents").select("doc_id", "text")))
+    return spelling.grouped_variants(spelling.vocabulary(words))
