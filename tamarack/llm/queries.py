@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm import chat, embeddings, exactdedup, linededup, mixing, ngramjoin, packing, periodic, quality, spelling, toxicity, urlfilter
+from tamarack.llm import chat, embeddings, exactdedup, linededup, maintext, mixing, ngramjoin, packing, periodic, quality, spelling, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -276,3 +276,9 @@ def with_misspellings(words: DataFrame) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     words = with_misspellings(spelling.runs_of_letters(table(spark, folder, "documents").select("doc_id", "text")))
     return spelling.grouped_variants(spelling.vocabulary(words))
+
+
+@query()
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = maintext.with_main_text(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
