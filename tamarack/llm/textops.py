@@ -44,26 +44,21 @@ def _chunks(raw: np.ndarray, inside: np.ndarray):
 
 
 class Words:
-    """The words of some texts: ``doc`` (number of the text), ``hash``, in order; with ``prefixes``, theirs too."""
+    """The words of some texts: ``doc`` (number of the text) and ``hash``, in order."""
 
-    def __init__(self, texts: list[str | None], prefixes: tuple[int, ...] = ()):
+    def __init__(self, texts: list[str | None]):
         joined = [(t or "").lower().encode() for t in texts]
         raw = np.frombuffer(b"\n".join(joined), np.uint8)
         starts_of_texts = np.cumsum([0, *(len(t) + 1 for t in joined)])[:-1]
         inside = IN_WORD[raw]
-        docs, hashes, extra = [], [], {n: [] for n in prefixes}
+        docs, hashes = [], []
         for start, end in _chunks(raw, inside):
             at, until, sums, down = _running(raw[start:end], inside[start:end])
             docs.append(np.searchsorted(starts_of_texts, at + start, side="right") - 1)
             hashes.append(mixed64((sums[until] - sums[at]) * down[at]))
-            for n in prefixes:
-                cut = np.minimum(at + n, until)
-                # The length goes in, so that a prefix is no word; a word not longer than the prefix has none.
-                extra[n].append(np.where(until > cut, mixed64((sums[cut] - sums[at]) * down[at] + np.uint64(n)), np.uint64(0)))
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         self.texts = len(texts)
         self.doc, self.hash = join(docs, np.int64), join(hashes, np.uint64)
-        self.prefix = {n: join(parts, np.uint64) for n, parts in extra.items()}
 
 
 def _running(raw: np.ndarray, inside: np.ndarray):

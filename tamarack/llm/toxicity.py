@@ -1,15 +1,17 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, votes, calibration.
 
 1. Examples: a bounded sample of the labelled rows, the same number of each class, one of equal texts.
-2. Terms: all words and word beginnings of the examples; their document frequencies are counted over all documents. A
-   term that tells the classes apart (chi squared) weighs more, and none weighs nothing.
+2. Terms: all words of the examples; their document frequencies are counted over all documents. A term that tells the
+   classes apart (chi squared) weighs more, and none weighs nothing.
 3. The index holds the examples in blocks: for each term its postings per block and their largest weight. Terms of many
-   examples are summed for all of them at once. A query adds the largest weights of its other terms into a bound per
-   block and works blocks off from the highest bound on, until no bound exceeds the last neighbour found; so its
-   neighbours are exact.
+   examples are multiplied out for all of them. Of a text's other terms, those of the largest bounds are scored at once;
+   the rest, which together add little, are scored only in blocks whose best example could still reach the last
+   neighbour by the blocks' largest weights. So neighbours are exact.
 4. Neighbours vote by similarity. A logistic curve, fitted on the examples' own votes (each without itself) and
    weighted to the classes' real shares, makes the vote a probability.
 
+The driver keeps the sample in its terms (bounded by rows and by characters), their frequencies and the examples' votes.
+
 Rows: null and empty texts, like texts without any term, get the score of no vote; repeated rows are scored alike;
 labels without a verdict are ignored, and a document that is labelled toxic once is; ties of neighbours go to the
 smaller example; without labels of both classes no text is toxic (score 0); other columns are ignored.
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.llm.scratch import Scratch
@@ -33,12 +35,13 @@ class Setting:
     """Sizes of the model; none depends on the data."""
 
     examples_per_class: int = 2000
+    characters_per_class: int = 50_000_000  # of the examples' texts; those beyond, in the order of the draw, are left out
     half_chi2: float = 12.0  # of a term of half the largest class weight
     least_weight: float = 0.02  # class weight of a term that tells nothing
     common: float = 0.125  # share of the examples beyond which a term is summed for all of them
-    prefixes: tuple[int, ...] = (3, 4, 5, 6)
     neighbours: int = 15
     block: int = 64
+    rest: float = 0.05  # share of a text's bounds that is left for the blocks
 
 
 def held_out(doc_id: Column) -> Column:
@@ -52,15 +55,10 @@ def example_ids(labels: DataFrame, per_class: int) -> DataFrame:
     return draw(0).unionAll(draw(1))
 
 
-def terms_of(texts: list[str | None], prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and hash of every word and every word beginning."""
-    words = Words(texts, prefixes)
-    docs, hashes = [words.doc], [words.hash]
-    for n in prefixes:
-        there = words.prefix[n] != 0
-        docs.append(words.doc[there])
-        hashes.append(words.prefix[n][there])
-    return np.concatenate(docs), np.concatenate(hashes)
+def terms_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of every word."""
+    words = Words(texts)
+    return words.doc, words.hash
 
 
 def counted(docs: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,8 +88,8 @@ class Vocabulary:
         here = self.hashes[at] == terms
         return docs[here], at[here]
 
-    def counts(self, texts: list[str | None], prefixes: tuple[int, ...]):
-        return counted(*self.numbers(*terms_of(texts, prefixes)))
+    def counts(self, texts: list[str | None]):
+        return counted(*self.numbers(*terms_of(texts)))
 
 
 def class_weights(owner: np.ndarray, terms: np.ndarray, toxic: np.ndarray, size: int, how: Setting) -> np.ndarray:
@@ -103,13 +101,13 @@ def class_weights(owner: np.ndarray, terms: np.ndarray, toxic: np.ndarray, size:
     return how.least_weight + chi2 / (chi2 + how.half_chi2)
 
 
-def document_frequencies(documents: DataFrame, vocabulary: Vocabulary, how: Setting) -> tuple[np.ndarray, int]:
+def document_frequencies(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
     """Over all documents: in how many each term is, and how many there are. A task hands on one row per term."""
 
     def tally(batches):
         seen, n = np.zeros(len(vocabulary.hashes), np.int64), 0
         for batch in batches:
-            _, terms, _ = vocabulary.counts(batch["text"].to_pylist(), how.prefixes)
+            _, terms, _ = vocabulary.counts(batch["text"].to_pylist())
             seen += np.bincount(terms, minlength=len(seen))
             n += len(batch)
         some = np.flatnonzero(seen)
@@ -122,17 +120,21 @@ def document_frequencies(documents: DataFrame, vocabulary: Vocabulary, how: Sett
     return out, int(n[term < 0].sum())
 
 
+#: Postings that a step of the search takes up at once, a single text's aside.
+STEP = 1 << 20
+
+
 class Index:
     """Block-max inverted index of example vectors (example, term, weight), each of length 1."""
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, how: Setting):
-        self.examples, self.size = int(example.max(initial=-1)) + 1, how.block
+        self.examples, self.size, self.rest = int(example.max(initial=-1)) + 1, how.block, how.rest
         self.blocks = -(-self.examples // how.block)
         many = np.bincount(term, minlength=terms) > how.common * self.examples
         self.row = np.where(many, np.cumsum(many) - 1, -1)  # of a common term among its like
         often = many[term]
-        self.often = (self.row[term[often]], example[often], weight[often])
-        self.dense = None
+        self.dense = np.zeros((int(many.sum()), self.examples))
+        self.dense[self.row[term[often]], example[often]] = weight[often]
         example, term, weight = example[~often], term[~often], weight[~often]
         order = np.lexsort((example, term))
         self.example, self.weight, term = example[order], weight[order], term[order]
@@ -143,52 +145,71 @@ class Index:
         self.ends = np.append(self.starts[1:], len(term))
         self.block = block[self.starts]
         self.most = np.maximum.reduceat(self.weight, self.starts) if len(term) else self.weight
-        self.of_term = np.searchsorted(term[self.starts], np.arange(terms + 1))
-
-    def common_scores(self, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
-        """What the common terms add to the cosine of each of ``n`` texts with each example."""
-        if self.dense is None:
-            self.dense = np.zeros((int(self.row.max(initial=-1)) + 1, self.examples))
-            self.dense[self.often[0], self.often[1]] = self.often[2]
-        some = self.row[terms] >= 0
+        self.runs_of = np.searchsorted(term[self.starts], np.arange(terms + 1))
+        self.of_term = np.searchsorted(term, np.arange(terms + 1))
+        self.bound = np.zeros(terms)
+        np.maximum.at(self.bound, term, self.weight)
+
+    def nearest(self, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, without: np.ndarray | None = None):
+        """For each of ``n`` texts (entries in their order) the ``k`` most similar examples, best first, and their cosines.
+
+        Fewer if fewer share a term; ``without`` names an example per text that is left out.
+        """
+        postings = np.bincount(docs, self.of_term[terms + 1] - self.of_term[terms], n) + self.examples
+        step = (np.cumsum(postings) // STEP).astype(np.int64)
+        ends = np.searchsorted(docs, np.arange(n + 1))
+        found, cosines = [], []
+        for first in np.flatnonzero(np.diff(step, prepend=-1)):
+            last = int(np.searchsorted(step, step[first], "right"))
+            own = slice(ends[first], ends[last])
+            for e, s in self._nearest(docs[own] - first, terms[own], weights[own], last - first, k, None if without is None else without[first:last]):
+                found.append(e)
+                cosines.append(s)
+        return found, cosines
+
+    def _nearest(self, docs, terms, weights, n, k, without):
+        common = self.row[terms] >= 0
         query = np.zeros((n, len(self.dense)))
-        query[docs[some], self.row[terms[some]]] = weights[some]
-        return query @ self.dense
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` most similar examples and their cosines; fewer if fewer share a term."""
-        if common is None:
-            common = self.common_scores(np.zeros(len(terms), np.int64), terms, weights, 1)[0]
-        runs, counts = self._runs(terms)
-        query = np.repeat(weights, counts)
-        edges = np.arange(0, self.examples, self.size)
-        bounds = np.maximum.reduceat(common, edges) if len(edges) else np.zeros(0)
-        bounds = (bounds + np.bincount(self.block[runs], query * self.most[runs], self.blocks)) * (1 + 1e-12)
-        ranked = np.argsort(-bounds, kind="stable")
-        ranked = ranked[bounds[ranked] > 0]
-        found, scores, last, at, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 4
-        while at < len(ranked) and bounds[ranked[at]] >= last:
-            chosen = np.zeros(self.blocks, bool)
-            chosen[ranked[at:at + step]] = True
-            now = chosen[self.block[runs]]
-            example = np.flatnonzero(np.repeat(chosen, self.size)[:self.examples])
-            score = np.minimum(common[example] + self._scored(runs[now], query[now])[example], 1.0)
-            keep = (example != without) & (score > 0) & (score >= last)
-            found, scores = np.concatenate([found, example[keep]]), np.concatenate([scores, score[keep]])
-            best = np.lexsort((found, -scores))[:k]
-            found, scores = found[best], scores[best]
-            last = scores[-1] if len(scores) == k else 0.0
-            at, step = at + step, step * 2
-        return found, scores
-
-    def _runs(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts, counts = self.of_term[terms], self.of_term[terms + 1] - self.of_term[terms]
-        return _ranges(starts, counts), counts
-
-    def _scored(self, runs: np.ndarray, query: np.ndarray) -> np.ndarray:
-        counts = self.ends[runs] - self.starts[runs]
-        at = _ranges(self.starts[runs], counts)
-        return np.bincount(self.example[at], np.repeat(query, counts) * self.weight[at], self.examples)
+        query[docs[common], self.row[terms[common]]] = weights[common]
+        scores = query @ self.dense
+        docs, terms, weights = docs[~common], terms[~common], weights[~common]
+        bound = weights * self.bound[terms]
+        order = np.lexsort((-bound, docs))
+        docs, terms, weights, bound = docs[order], terms[order], weights[order], bound[order]
+        totals = np.bincount(docs, bound, n)
+        ahead = np.cumsum(bound) - bound - np.concatenate([[0], np.cumsum(totals)])[docs]
+        first = ahead < (1 - self.rest) * totals[docs]  # the largest bounds, up to their share
+        at = self.of_term[terms[first]], self.of_term[terms[first] + 1] - self.of_term[terms[first]]
+        self._add(scores, docs[first], weights[first], *at)
+        if without is not None:
+            scores[np.arange(n), without] = -np.inf
+        # The rest: where a block's bound lets its best example reach the last neighbour so far.
+        last = -np.partition(-scores, k - 1, axis=1)[:, k - 1] if self.examples >= k else np.zeros(n)
+        docs, terms, weights = docs[~first], terms[~first], weights[~first]
+        counts = self.runs_of[terms + 1] - self.runs_of[terms]
+        runs, owner = _ranges(self.runs_of[terms], counts), np.repeat(np.arange(len(terms)), counts)
+        reach = np.bincount(docs[owner] * self.blocks + self.block[runs], weights[owner] * self.most[runs], n * self.blocks).reshape(n, self.blocks)
+        best = np.maximum.reduceat(scores, np.arange(0, self.examples, self.size), axis=1)
+        open_blocks = (best + reach) * (1 + 1e-12) >= last[:, None]
+        some = open_blocks[docs[owner], self.block[runs]]
+        runs, owner = runs[some], owner[some]
+        self._add(scores, docs[owner], weights[owner], self.starts[runs], self.ends[runs] - self.starts[runs])
+
+        scores = np.minimum(scores, 1.0)
+        last = -np.partition(-scores, k - 1, axis=1)[:, k - 1] if self.examples >= k else np.zeros(n)
+        doc, example = np.nonzero((scores >= last[:, None]) & (scores > 0))
+        score = scores[doc, example]
+        order = np.lexsort((example, -score, doc))
+        starts = np.searchsorted(doc, np.arange(n + 1))
+        for a, b in zip(starts, starts[1:]):
+            chosen = order[a:min(b, a + k)]
+            yield example[chosen], score[chosen]
+
+    def _add(self, scores, docs, weights, starts, counts) -> None:
+        """Adds postings, given as ranges, to the texts' scores."""
+        at = _ranges(starts, counts)
+        place = np.repeat(docs * self.examples, counts) + self.example[at]
+        scores += np.bincount(place, np.repeat(weights, counts) * self.weight[at], scores.size).reshape(scores.shape)
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -230,7 +251,7 @@ def fitted_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[floa
 class Model:
     vocabulary: Vocabulary
     idf: np.ndarray  # by the class weights
-    index: Index
+    index: Index | None  # built where it is used
     sample: tuple[np.ndarray, np.ndarray, np.ndarray]  # of the examples, in order: numbers of terms, terms, counts
     ids: np.ndarray
     toxic: np.ndarray
@@ -250,68 +271,64 @@ class Model:
         owner = np.repeat(np.arange(len(sizes)), sizes)
         self.index = Index(owner, terms, vectors(owner, terms, counts, self.idf), len(self.idf), self.how)
 
-    def scored(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-        """Score, neighbours (doc_ids of examples) and cosines of each text."""
-        docs, terms, counts = self.vocabulary.counts(texts, self.how.prefixes)
-        weights = vectors(docs, terms, counts, self.idf)
-        ends = np.searchsorted(docs, np.arange(len(texts) + 1))
-        votes, near, cosines = np.zeros(len(texts)), [], []
-        for i in range(len(texts)):
-            own = slice(ends[i], ends[i + 1])
-            if i % 128 == 0:
-                some = slice(ends[i], ends[min(i + 128, len(texts))])
-                common = self.index.common_scores(docs[some] - i, terms[some], weights[some], 128)
-            found, cosine = self.index.nearest(terms[own], weights[own], self.how.neighbours, common=common[i % 128])
-            votes[i] = vote(self.toxic[found], cosine)
-            near.append(self.ids[found])
-            cosines.append(cosine)
-        return 1 / (1 + np.exp(-(self.slope * votes + self.offset))), near, cosines
+    def voted(self, texts: list[str | None], without: np.ndarray | None = None):
+        """Vote, numbers of the neighbours and cosines of each text."""
+        docs, terms, counts = self.vocabulary.counts(texts)
+        found, cosines = self.index.nearest(docs, terms, vectors(docs, terms, counts, self.idf), len(texts), self.how.neighbours, without)
+        return np.array([vote(self.toxic[f], c) for f, c in zip(found, cosines)]), found, cosines
+
+
+def sampled_examples(documents: DataFrame, labels: DataFrame, how: Setting) -> DataFrame:
+    """number, doc_id, toxic and text of the examples; one of equal texts."""
+    wanted = example_ids(labels, how.examples_per_class).withColumnRenamed("doc_id", "_id")
+    # The sample is bounded by its parameter, so it is broadcast, and so its windows are small.
+    sampled = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
+    once = sampled.groupBy(F.xxhash64("text").alias("same")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r")).select("r.*")
+    drawn = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    within = once.withColumn("characters", F.sum(F.length("text")).over(drawn)).where(F.coalesce("characters", F.lit(0)) <= how.characters_per_class)
+    return within.select((F.row_number().over(Window.orderBy("toxic", "doc_id", F.xxhash64("text"))) - 1).alias("number"), "doc_id", "toxic", "text")
 
 
 def fit(documents: DataFrame, labels: DataFrame, how: Setting = Setting()) -> Model | None:
     """None where the examples do not hold both classes, or no term."""
     spark = prepare(documents.sparkSession)
     scratch = Scratch(spark, "toxicity")
-    wanted = example_ids(labels, how.examples_per_class).withColumnRenamed("doc_id", "_id")
-    # The sample is bounded by its parameter, so it is broadcast.
-    sampled = documents.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
-    once = sampled.groupBy(F.xxhash64("text").alias("same")).agg(F.min(F.struct("doc_id", "toxic", "text")).alias("r")).select("r.*")
-    examples = scratch.write(once, "examples")
+    examples = scratch.write(sampled_examples(documents, labels, how), "examples")
 
     def entries(batches):
         for batch in batches:
-            docs, terms, counts = counted(*terms_of(batch["text"].to_pylist(), how.prefixes))
+            docs, terms, counts = counted(*terms_of(batch["text"].to_pylist()))
             ends = np.searchsorted(docs, np.arange(len(batch) + 1))
             lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (terms.view(np.int64), counts)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], *lists], ["doc_id", "toxic", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([batch["number"], batch["doc_id"], batch["toxic"], *lists], ["number", "doc_id", "toxic", "terms", "counts"])
 
-    rows = examples.mapInArrow(entries, "doc_id long, toxic int, terms array<long>, counts array<long>").toArrow()  # the sample, in its terms
-    rows = rows.sort_by([("toxic", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+    rows = examples.mapInArrow(entries, "number int, doc_id long, toxic int, terms array<long>, counts array<long>").toArrow()  # the sample, in its terms
+    rows = rows.sort_by("number").combine_chunks()
     ids, toxic = rows["doc_id"].to_numpy(), rows["toxic"].to_numpy().astype(np.float64)
     owner = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(rows["terms"]).to_numpy())
-    terms, counts = (pa.compute.list_flatten(rows[c]).to_numpy() for c in ("terms", "counts"))
-    if len(np.unique(toxic)) < 2 or not len(terms):
+    hashes, counts = (pa.compute.list_flatten(rows[c]).to_numpy() for c in ("terms", "counts"))
+    if len(np.unique(toxic)) < 2 or not len(hashes):
         return None
-    vocabulary = Vocabulary(np.unique(terms))
-    seen, total = document_frequencies(documents, vocabulary, how)
-    order = np.argsort(owner * len(seen) + np.searchsorted(vocabulary.hashes, terms.view(np.uint64)))
-    owner, terms, counts = owner[order], np.searchsorted(vocabulary.hashes, terms.view(np.uint64))[order], counts[order]
+    vocabulary = Vocabulary(np.unique(hashes))
+    terms = np.searchsorted(vocabulary.hashes, hashes.view(np.uint64))
+    seen, total = document_frequencies(documents, vocabulary)
+    order = np.lexsort((terms, owner))
+    owner, terms, counts = owner[order], terms[order], counts[order]
     idf = (np.log((total + 1) / (seen + 1)) + 1e-9) * class_weights(owner, terms, toxic, len(seen), how)
-    weights = vectors(owner, terms, counts, idf)
-    index = Index(owner, terms, weights, len(vocabulary.hashes), how)
-    ends = np.searchsorted(owner, np.arange(len(ids) + 1))
-    x = np.zeros(len(ids))
-    for i in range(len(ids)):
-        own = slice(ends[i], ends[i + 1])
-        if i % 128 == 0:
-            some = slice(ends[i], ends[min(i + 128, len(ids))])
-            common = index.common_scores(owner[some] - i, terms[some], weights[some], 128)
-        found, cosine = index.nearest(terms[own], weights[own], how.neighbours, without=i, common=common[i % 128])
-        x[i] = vote(toxic[found], cosine)
+    model = Model(vocabulary, idf, None, (np.bincount(owner, minlength=len(ids)), terms, counts), ids, toxic, 1.0, 0.0, how)
+    shared = spark.sparkContext.broadcast(model)
+
+    def own_votes(batches):
+        for batch in batches:
+            votes, _, _ = shared.value.voted(batch["text"].to_pylist(), batch["number"].to_numpy())
+            yield pa.RecordBatch.from_arrays([batch["number"], pa.array(votes, pa.float64())], ["number", "vote"])
+
+    # One row per example. Shuffled, since the sample lies in few files.
+    voted = examples.repartition(spark.sparkContext.defaultParallelism).mapInArrow(own_votes, "number int, vote double").toArrow().sort_by("number")
     shares = labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     weight = np.where(toxic > 0, shares / toxic.sum(), (1 - shares) / (1 - toxic).sum()) * len(ids)
-    slope, offset = fitted_curve(x, toxic, weight)
-    return Model(vocabulary, idf, index, (np.diff(ends), terms, counts), ids, toxic, slope, offset, how)
+    model.slope, model.offset = fitted_curve(voted["vote"].to_numpy(), toxic, weight)
+    return model
 
 
 def scored(documents: DataFrame, model: Model | None) -> DataFrame:
@@ -323,10 +340,11 @@ def scored(documents: DataFrame, model: Model | None) -> DataFrame:
     def score(batches):
         for batch in batches:
             model = shared.value
-            if model is None:
-                score, near, cosines = np.zeros(len(batch)), [[]] * len(batch), [[]] * len(batch)
-            else:
-                score, near, cosines = model.scored(batch["text"].to_pylist())
+            score, near, cosines = np.zeros(len(batch)), [[]] * len(batch), [[]] * len(batch)
+            if model is not None:
+                votes, near, cosines = model.voted(batch["text"].to_pylist())
+                score = 1 / (1 + np.exp(-(model.slope * votes + model.offset)))
+                near = [model.ids[f] for f in near]
             extra = [pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*names, "_score", "_neighbours", "_cosines"])
 

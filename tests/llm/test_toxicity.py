@@ -15,16 +15,20 @@ def test_neighbours_are_exact(examples, terms, k, seed):
     dense = draw.random((examples, terms)) * (draw.random((examples, terms)) < 0.3)
     dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
     example, term = np.nonzero(dense)
-    index = toxicity.Index(example, term, dense[example, term], terms, toxicity.Setting(block=8))
-    for _ in range(5):
-        own = np.flatnonzero(draw.random(terms) < 0.4)
-        weights = draw.random(len(own))
-        weights /= max(np.linalg.norm(weights), 1e-12)
-        without = int(draw.integers(-1, examples))
-        cosines = dense[:, own] @ weights
-        cosines[[without] if without >= 0 else []] = 0
-        best = [i for i in np.lexsort((np.arange(examples), -cosines)) if cosines[i] > 1e-15][:k]
-        found, scores = index.nearest(own, weights, k, without)
+    index = toxicity.Index(example, term, dense[example, term], terms, toxicity.Setting(block=8, rest=float(draw.choice([0.05, 0.5, 1.0]))))
+    dense = dense[:index.examples]
+    if not len(dense):
+        return
+    queries = draw.random((9, terms)) * (draw.random((9, terms)) < 0.4)
+    queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
+    docs, own = np.nonzero(queries)
+    without = draw.integers(0, len(dense), 9) if seed % 2 else None
+    got = index.nearest(docs, own, queries[docs, own], 9, k, without)
+    for i, (found, scores) in enumerate(zip(*got)):
+        cosines = dense @ queries[i]
+        if without is not None:
+            cosines[without[i]] = 0
+        best = [e for e in np.lexsort((np.arange(len(dense)), -cosines)) if cosines[e] > 1e-15][:k]
         assert np.allclose(scores, cosines[best])
         assert np.allclose(cosines[found], cosines[best])
 
