@@ -4,14 +4,15 @@
    of its MinHash signature. Rows and bands are chosen so that a pair at the threshold meets with the wanted recall.
 2. Band hashes are shuffled; buckets of one node go, of buckets with the same members one stays.
 3. Full n-gram sets are made again for the nodes still in a bucket and sent to it. A bucket is worked off in cells of
-   two blocks of ``BLOCK`` nodes, so a hot one is many tasks; a pair is verified in the first band it shares. A cell
-   counts its links per node and hands on one edge per node; pairs are never written out.
+   two blocks of about ``BLOCK`` nodes or ``GRAMS`` n-grams, so a hot one is many tasks; a pair is verified in the first
+   band it shares. A cell counts its links per node and hands on one edge per node; pairs are never written out.
 4. Components of those edges are the classes.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased; a text of fewer than n words is one
 n-gram. Rows: null texts, empty texts and texts without words link with nothing; repeated rows and texts with equal
 sets are links (similarity 1) and count each; class ids are smallest doc_ids, null only where no doc_id is known; an
-empty table gives an empty one; other columns are ignored.
+empty table gives an empty one; other columns are ignored. Of a class that is to leave one row, the one of the smallest
+doc_id stays, null last; of several such rows the one of the smallest address, then of the smallest other columns.
 """
 
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ from tamarack.llm.textops import Words, mixed64, shingles
 from tamarack.llm.workers import prepare
 
 BLOCK = 512
+#: N-grams of a block, about; the sets of two blocks are one task's memory.
+GRAMS = 1 << 21
 #: Columns of a cell's incidence matrix worked on at once.
 COLUMNS = 4096
 SEED = 20
@@ -40,13 +43,12 @@ class Bands:
 
 
 def choose_bands(threshold: float, recall: float, most_hashes: int = 128) -> Bands:
-    """The most rows per band, so the fewest chance meetings, for which ``recall`` at ``threshold`` is reached."""
-    best = None
-    for rows in range(1, 33):
-        bands = int(np.ceil(np.log1p(-recall) / np.log1p(-(threshold**rows))))
-        if bands * rows <= most_hashes:
-            best = Bands(bands, rows)
-    return best
+    """The most rows per band, so the fewest chance meetings, for which ``recall`` at ``threshold`` is reached.
+
+    A low threshold may need more than ``most_hashes``; it then gets bands of one row, as many as it takes.
+    """
+    shapes = [Bands(int(np.ceil(np.log1p(-recall) / np.log1p(-(threshold**rows)))), rows) for rows in range(1, 33)]
+    return [shapes[0], *(s for s in shapes if s.bands * s.rows <= most_hashes)][-1]
 
 
 @dataclass(frozen=True)
@@ -95,41 +97,50 @@ def band_hashes(starts: np.ndarray, hashes: np.ndarray, shape: Bands) -> np.ndar
     return out.view(np.int64)
 
 
+def address_of() -> F.Column:
+    """A digest of doc_id and text; rows that share it share both."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(doc_id, F.lit(":"), F.coalesce(F.concat(F.lit("="), F.col("text")), F.lit(""))), 256))
+
+
 def addressed(documents: DataFrame) -> DataFrame:
     """doc_id, text, and an address by which a row is found again."""
-    return documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("address"))
+    return documents.select("doc_id", "text", address_of().alias("address"))
 
 
 def features(documents: DataFrame, how: Join) -> DataFrame:
-    """doc_id, address, node (null for a text without words), bands."""
+    """doc_id, address, node (null for a text without words), size (of its set), bands."""
     shape = how.bands()
 
     def made(batches):
         for batch in batches:
             which, starts, hashes = gram_sets(batch["text"].to_pylist(), how.n)
-            nodes, bands = [None] * len(batch), [None] * len(batch)
+            nodes, bands, sizes = [None] * len(batch), [None] * len(batch), np.zeros(len(batch), np.int64)
             signatures = band_hashes(starts, hashes, shape) if len(starts) else []
             for i, node, signature in zip(which, set_digests(starts, hashes), signatures, strict=True):
                 nodes[i], bands[i] = node, signature
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["address"], pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "address", "node", "bands"])
+            sizes[which] = np.diff(np.append(starts, len(hashes)))
+            columns = [batch["doc_id"], batch["address"], pa.array(nodes, pa.binary()), pa.array(sizes), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "address", "node", "size", "bands"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return addressed(documents).mapInArrow(made, f"doc_id {kind}, address long, node binary, bands array<long>")
+    return addressed(documents).mapInArrow(made, f"doc_id {kind}, address binary, node binary, size long, bands array<long>")
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """band, key, members, node: the buckets of several nodes, each set of members once, at its first band."""
-    spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    """band, key, members, blocks, node: the buckets of several nodes, each set of members once, at its first band."""
+    spread = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / GRAMS))
     meeting = spread.groupBy("band", "key").agg(
-        F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("two"),
+        F.count("*").alias("members"), blocks.alias("blocks"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(SEED), "node")).alias("two"),
     ).where("members > 1")
-    kept = meeting.groupBy("members", "one", "two").agg(F.min(F.struct("band", "key")).alias("at")).select("at.band", "at.key", "members")
-    return spread.join(kept, ["band", "key"])
+    kept = meeting.groupBy("members", "blocks", "one", "two").agg(F.min(F.struct("band", "key")).alias("at")).select("at.band", "at.key", "members", "blocks")
+    return spread.drop("size").join(kept, ["band", "key"])
 
 
 def in_cells(members: DataFrame) -> DataFrame:
     """Each member once for every pair of blocks that its own block is in."""
-    blocks = F.ceil(F.col("members") / BLOCK)
+    blocks = F.col("blocks")
     dealt = members.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     return dealt.select("band", "key", "node", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
@@ -212,15 +223,16 @@ def linked(table: pa.Table, band: int, low: int, high: int, how: Join) -> pa.Tab
 
 
 def jaccard_join(documents: DataFrame, how: Join = Join()) -> DataFrame:
-    """doc_id, address, class_id, n_links, set_id, kept, for every row.
+    """doc_id, address, class, class_id, n_links, set_id, kept, for every row.
 
     ``n_links``: other rows at or above the threshold; ``class_id``: smallest doc_id that links lead to; ``set_id``:
-    smallest doc_id with the same n-grams; ``kept``: the row's doc_id is its class_id.
+    smallest doc_id with the same n-grams; ``kept``: the row's doc_id is its class_id; ``class`` is the same for the
+    rows of a class, with or without doc_ids, and for no others; null for a text without words.
     """
     scratch = Scratch(prepare(documents.sparkSession), "ngram-join")
     rows = scratch.write(features(documents, how), "features")
     nodes = scratch.write(rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("set_id"), F.min("address").alias("address"), F.count("*").alias("copies"), F.first("bands").alias("bands"),
+        F.min("doc_id").alias("set_id"), F.min("address").alias("address"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"),
     ), "nodes")
     members = scratch.write(bucket_members(nodes), "members")
     sets = node_sets(documents, nodes, members.select("node").distinct(), how)
@@ -239,18 +251,32 @@ def jaccard_join(documents: DataFrame, how: Join = Join()) -> DataFrame:
     )
     known = scratch.write(known, "known")
     smallest = known.groupBy("root").agg(F.min("set_id").alias("class_id"))
-    facts = scratch.write(known.where("n_links > 0").join(smallest, "root").select("node", "copies", "set_id", "n_links", "class_id"), "facts")
+    facts = scratch.write(known.where("n_links > 0").join(smallest, "root").select("node", "copies", "set_id", "n_links", "class_id", F.col("root").alias("class")), "facts")
     scratch.drop("nodes", "found", "known")
     told = attach(rows.select("doc_id", "address", "node"), facts, "node", "copies", rows.count(), "address")
     class_id = F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     set_id = F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("set_id"))
     return told.select(
-        "doc_id", "address", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), set_id.alias("set_id"),
+        "doc_id", "address", F.coalesce("class", "node").alias("class"), class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), set_id.alias("set_id"),
         F.col("doc_id").eqNullSafe(class_id).alias("kept"),
     )
 
 
 def one_per_class(documents: DataFrame, how: Join = Join()) -> DataFrame:
-    """The table without the rows whose class has a smaller doc_id."""
-    gone = jaccard_join(documents, how).where("not kept").select("address").distinct()
-    return documents.join(gone, F.xxhash64(documents["doc_id"], documents["text"]) == gone["address"], "left_anti")
+    """The table with one row of each class, and all rows without words."""
+    scratch = Scratch(prepare(documents.sparkSession), "one-per-class")
+    rows = scratch.write(jaccard_join(documents, how).select("doc_id", "address", "class"), "rows")
+    first = rows.where("class is not null").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "address")).alias("first")).select("first.address")
+    copies = rows.groupBy(F.col("address").alias("at")).agg((F.count("*") > 1).alias("_several"))
+    chosen = first.join(copies, F.col("address") == F.col("at")).select(F.col("at").alias("_at"), "_several")
+    wordless = rows.where("class is null").select(F.col("address").alias("_at"), F.lit(False).alias("_several")).distinct()
+    stays = scratch.write(chosen.unionAll(wordless), "stays")
+    scratch.drop("rows")
+    names = documents.columns
+    whole = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    kept = documents.select(whole.alias("_row"), address_of().alias("_address")).join(stays, F.col("_address") == F.col("_at"))
+    if not stays.where("_several").isEmpty():  # equal rows: combined before the shuffle, however many
+        kept = scratch.write(kept, "kept")
+        one = kept.where("_several").groupBy("_address").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row")
+        kept = kept.where("not _several").select("_row").unionAll(one)
+    return kept.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names)])

@@ -207,7 +207,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngramjoin.jaccard_join(table(spark, folder, "documents")).drop("address")
+    return ngramjoin.jaccard_join(table(spark, folder, "documents")).drop("address", "class")
 
 
 @query()

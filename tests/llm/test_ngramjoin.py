@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tamarack.llm import ngramjoin
 from tamarack.llm.graph import components
@@ -42,8 +43,9 @@ def test_query_equals_all_pairs(spark, sf):
     assert result(op4_ngram_jaccard_join(spark, sf)) == expected
 
 
-def test_hot_group_over_many_cells(spark, documents, monkeypatch):
-    monkeypatch.setattr(ngramjoin, "BLOCK", 8)
+@pytest.mark.parametrize("limit", [("BLOCK", 8), ("GRAMS", 500)])
+def test_hot_group_over_many_cells(spark, documents, monkeypatch, limit):
+    monkeypatch.setattr(ngramjoin, *limit)
     draw = random.Random(5)
     base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
 
@@ -75,11 +77,30 @@ def test_empty_table_and_clashing_columns(spark, documents):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"]
 
 
-@pytest.mark.parametrize(("threshold", "recall"), [(0.8, 0.99), (0.8, 0.9995), (0.5, 0.95), (0.9, 0.999)])
+def test_one_row_of_each_class(spark, documents):
+    """Equal doc_ids and none, equal rows, wordless rows; other columns of any kind."""
+    text, near = "a b c d e f g h i j k l m n o p q r s t u v w x y z", "b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, text), (1, text), (1, near), (2, text), (None, "q r s t u v"), (None, "q r s t u v"), (None, "Q r s t u v!"), (3, ""), (3, ""), (None, None), (None, None), (4, "lone words here")]
+    given = documents(rows).withColumn("_row", F.create_map(F.lit("k"), "source")).withColumn("class", F.lit("clash")).withColumn("address", F.lit(7)).withColumn("_several", F.lit(True))
+    kept = ngramjoin.one_per_class(given)
+    assert kept.dtypes == given.dtypes
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got[0][0] == 1 and got[0][1] in (text, near)
+    assert got[1:4] == [(3, ""), (3, ""), (4, "lone words here")]
+    assert got[4][0] is None and got[4][1].lower().startswith("q r s") and got[5:] == [(None, None), (None, None)]
+
+
+def test_many_copies_of_a_row(spark, documents):
+    rows = [(1, "one two three four five six")] * 3000 + [(i, f"one two three four five six x{i}") for i in range(2, 50)]
+    kept = ngramjoin.one_per_class(documents(rows))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(range(1, 50))
+
+
+@pytest.mark.parametrize(("threshold", "recall"), [(0.8, 0.99), (0.8, 0.9995), (0.5, 0.95), (0.9, 0.999), (0.05, 0.99), (0.01, 0.99)])
 def test_bands_reach_their_recall(threshold, recall):
     shape = ngramjoin.choose_bands(threshold, recall)
     assert 1 - (1 - threshold**shape.rows) ** shape.bands >= recall
-    assert shape.bands * shape.rows <= 128
+    assert shape.bands * shape.rows <= 128 or shape.rows == 1
 
 
 def test_components_of_a_long_path(spark):
