@@ -11,7 +11,7 @@ from tamarack.llm.scratch import Scratch
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 and more by their nearest labelled examples go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model).where("_score < 0.5").select(*docs.columns)
+    return toxicity.scored(docs.select("text", F.struct("*").alias("row")), model).where("_score < 0.5").select("row.*")
 
 
 def repeated_lines_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
