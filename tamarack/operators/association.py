@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.student import correlation_p
-from tamarack.operators.ranks import exact_quantiles, pair_ranks
+from tamarack.operators.quantiles import exact_quantiles
+from tamarack.operators.ranks import pair_ranks
 from tamarack.session import written
 
 #: A value in more than 1/HOT of the pairs is hot; there are fewer than HOT of them at any size.
@@ -62,14 +63,14 @@ def spearman(df: DataFrame, x: str, y: str, name: str, buckets: int | None = Non
     return correlations(df, y, {name: x}, buckets)
 
 
-def box_summary(df: DataFrame, value: str, by: str, buckets: int | None = None, at_least: int = 3) -> DataFrame:
+def box_summary(df: DataFrame, value: str, by: str, at_least: int = 3) -> DataFrame:
     """(by, n, lowest, q1, median, q3, highest, whisker_low, whisker_high) per class.
 
     Whiskers are the outermost values within 1.5 interquartile ranges of the box. With fewer than ``at_least``
     values over all classes there is no summary.
     """
     rows = df.filter(F.col(value).isNotNull() & F.col(by).isNotNull())
-    quarters = exact_quantiles(rows, value, [0.0, 0.25, 0.5, 0.75, 1.0], [by], buckets)
+    quarters = exact_quantiles(rows, value, [0.0, 0.25, 0.5, 0.75, 1.0], [by])
     names = ["lowest", "q1", "median", "q3", "highest"]
     boxes = quarters.select(by, *[F.get("q", i).alias(name) for i, name in enumerate(names)])
     reach = 1.5 * (F.col("q3") - F.col("q1"))

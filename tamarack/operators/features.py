@@ -3,12 +3,11 @@
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.operators.ranks import exact_medians
-from tamarack.operators.summaries import most_frequent
+from tamarack.operators.training import Figures, figures_of, number
 
 
 @dataclass
@@ -23,20 +22,9 @@ class Preprocessor:
         return self.model.transform(df)
 
 
-def number(column: str) -> Column:
-    """Numeric column with NaN read as missing."""
-    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
-
-
 def numeric_statistics(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, float]]:
-    """column -> (median, mean, deviation), the last two after filling with the median. Three numbers per column."""
-    found = {row["column"]: row["median"] for row in exact_medians(df, columns).collect()}
-    medians = {column: found.get(column, 0.0) for column in columns}
-    filled = {column: F.coalesce(number(column), F.lit(medians[column])) for column in columns}
-    row = df.agg(
-        *[F.avg(filled[c]).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(filled[c]).alias(f"std_{c}") for c in columns]
-    ).first()
-    return {c: (medians[c], row[f"mean_{c}"] or 0.0, row[f"std_{c}"] or 1.0) for c in columns}
+    """column -> (median, mean, deviation), the last two after filling with the median."""
+    return figures_of(df.withColumn("_category", F.lit(None).cast("string")), columns, "_category").numeric
 
 
 def scaled(column: str, median: float, mean: float, deviation: float) -> Column:
@@ -47,29 +35,27 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: str) -> Preprocessor:
-    statistics = numeric_statistics(df, numeric)
-    most = most_frequent(df, categorical).first()
-    mode = most[0] if most and most[0] is not None else ""
-
-    scaled_columns = [f"`num__{c}`" for c in numeric]
+def preprocessor_of(figures: Figures, columns: DataFrame, categorical: str) -> Preprocessor:
+    """The preparation that the figures of training rows fix; of ``columns`` only the schema is used."""
+    mode = figures.mode if figures.mode is not None else ""
+    scaled_columns = [f"`num__{c}`" for c in figures.numeric]
     parts = [
         f"(coalesce(nanvl(double(`{c}`), null), double({median!r})) - double({mean!r})) / double({deviation!r}) AS {alias}"
-        for alias, (c, (median, mean, deviation)) in zip(scaled_columns, statistics.items())
+        for alias, (c, (median, mean, deviation)) in zip(scaled_columns, figures.numeric.items())
     ]
     parts.append(f"coalesce(`{categorical}`, {_quoted(mode)}) AS `_filled`")
     fill = SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
-    # A model has a place for every category of its training rows; the indexer keeps them in order.
-    indexer = StringIndexer(inputCol="_filled", outputCol="_indexed", handleInvalid="keep", stringOrderType="alphabetAsc")
-    filled = fill.transform(df)
-    index = indexer.fit(filled) if most else StringIndexerModel.from_labels([mode], "_filled", "_indexed", handleInvalid="keep")
+    # A model has a place for every category of its training rows, in order.
+    index = StringIndexerModel.from_labels(figures.categories or [mode], "_filled", "_indexed", handleInvalid="keep")
     encode = OneHotEncoder(inputCols=["_indexed"], outputCols=["_encoded"], dropLast=True)
-    numbers = [c.strip("`") for c in scaled_columns]
-    assemble = VectorAssembler(inputCols=[*numbers, "_encoded"], outputCol="features")
-    indexed = index.transform(fill.transform(df.limit(0)))
-    stages = [fill, index, encode.fit(indexed), assemble]
-    model = PipelineModel(stages)
-    return Preprocessor(model, [*numbers, *[f"cat__{categorical}_{value}" for value in index.labels]])
+    names = [c.strip("`") for c in scaled_columns]
+    assemble = VectorAssembler(inputCols=[*names, "_encoded"], outputCol="features")
+    stages = [fill, index, encode.fit(index.transform(fill.transform(columns.limit(0)))), assemble]
+    return Preprocessor(PipelineModel(stages), [*names, *[f"cat__{categorical}_{value}" for value in index.labels]])
+
+
+def fit_preprocessor(df: DataFrame, numeric: list[str], categorical: str) -> Preprocessor:
+    return preprocessor_of(figures_of(df, numeric, categorical), df, categorical)
 
 
 def sorted_classes(df: DataFrame, label: str) -> list[str]:
@@ -86,9 +72,8 @@ def class_name(index: Column, classes: list[str]) -> Column:
     return F.get(F.array(*[F.lit(c) for c in classes]), index.cast("int"))
 
 
-def balanced_weight(df: DataFrame, label: str) -> Column:
-    """Weight n / (k * n_c) as an expression; one number per class of the training rows."""
-    counts = {row[label]: row["count"] for row in df.groupBy(label).count().collect()}
-    total = sum(counts.values())
-    weights = [F.lit(part) for c, n in counts.items() for part in (c, total / (len(counts) * n))]
+def class_weight(labels: dict[str, int], label: str) -> Column:
+    """Weight n / (k * n_c) as an expression of the class counts."""
+    total = sum(labels.values())
+    weights = [F.lit(part) for c, n in labels.items() for part in (c, total / (len(labels) * n))]
     return F.try_element_at(F.create_map(*weights), F.col(label))

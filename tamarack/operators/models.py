@@ -1,5 +1,8 @@
 """Classifiers, predictions, and the metadata they travel with."""
 
+from collections.abc import Callable
+
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.vocab import LOGISTIC_ITERATIONS, SEED, TREES
 from tamarack.operators.features import class_name
+from tamarack.session import written
 
 COLUMNS = {"featuresCol": "features", "labelCol": "_class", "weightCol": "_weight"}
 
@@ -33,11 +37,40 @@ def model_set(n_rows: int, trees: int = TREES, depth: int = 30, rounds: int = TR
     }
 
 
+class ClassShares(Estimator):
+    """Predicts the class of the largest weight among the training rows of the same cell, the first one of several.
+
+    ``cell`` makes the cell of an array of features. A transparent baseline: what it predicts can be written in SQL.
+    """
+
+    def __init__(self, cell: Callable[[Column], Column], classes: int):
+        super().__init__()
+        self.cell, self.classes = cell, classes
+
+    def _fit(self, dataset: DataFrame) -> "ClassSharesModel":
+        weight = [F.count_if(F.col("_class") == k) * F.max(F.when(F.col("_class") == k, F.col("_weight"))) for k in range(self.classes)]
+        shares = F.array(*[F.coalesce(w, F.lit(0.0)) for w in weight])
+        cells = dataset.groupBy(self.cell(vector_to_array("features")).alias("_cell")).agg(shares.alias("_shares"))
+        # One row per cell: written, so that its size decides how it is joined.
+        return ClassSharesModel(self.cell, written(cells.select("_cell", top_class(F.col("_shares"), [])[0].cast("double").alias("prediction")), "cells"))
+
+
+class ClassSharesModel(Model):
+    def __init__(self, cell: Callable[[Column], Column], cells: DataFrame):
+        super().__init__()
+        self.cell, self.cells = cell, cells
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        """Rows of a cell without training rows get the first class."""
+        placed = dataset.withColumn("_cell", self.cell(vector_to_array("features"))).join(self.cells, "_cell", "left")
+        return placed.drop("_cell").withColumn("prediction", F.coalesce("prediction", F.lit(0.0)))
+
+
 def top_class(probabilities: Column, classes: list[str]) -> tuple[Column, Column, Column]:
     """(index, class, confidence) of the most probable class; the first one wins ties."""
     confidence = F.array_max(probabilities)
     index = (F.array_position(probabilities, confidence) - 1).cast("int")
-    return index, class_name(index, classes), confidence
+    return index, class_name(index, classes) if classes else F.lit(None), confidence
 
 
 def with_top_class(df: DataFrame, classes: list[str], probability: str = "probability") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Ranks, folds and exact order statistics without a window over a whole column or a whole class.
+"""Ranks and folds without a window over a whole column or a whole class.
 
 Every operator here cuts its ordering into buckets that respect the order, works inside buckets, and shifts each
 bucket by the total of the buckets before it. Only the bucket totals, at most one row per (group, bucket), are
@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamarack.operators.quantiles import numbers
+
 ROWS_PER_BUCKET = 1_000_000
 SAMPLED_PER_BUCKET = 200
 
@@ -65,10 +67,6 @@ def _bucket_of(value: Column, bounds: list[float]) -> Column:
     return F.aggregate(F.array(*steps), F.lit(0), advance)
 
 
-def _numbers(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    return df.select(*by, F.col(value).cast("double").alias("value")).filter("value is not null and not isnan(value)")
-
-
 def _value_bounds(rows: DataFrame, columns: list[str], size: int, buckets: int | None) -> list[list[float]]:
     """Bounds that cut each column into buckets of about the same size.
 
@@ -110,7 +108,7 @@ def _ranked(counts: DataFrame, by: list[str]) -> DataFrame:
 def average_ranks(df: DataFrame, value: str, by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """(by..., value, n, avg_rank): the mean of the ranks that tied values share."""
     by = by or []
-    return _ranked(_distinct_values(_numbers(df, by, value), by, df.count(), buckets), by).select(*by, "value", "n", "avg_rank")
+    return _ranked(_distinct_values(numbers(df, by, value), by, df.count(), buckets), by).select(*by, "value", "n", "avg_rank")
 
 
 def pair_ranks(pairs: DataFrame, by: list[str], columns: list[str], size: int, buckets: int | None = None) -> DataFrame:
@@ -125,50 +123,6 @@ def pair_ranks(pairs: DataFrame, by: list[str], columns: list[str], size: int, b
     return _ranked(_bucketed(counts, [*by, "axis"], bounds), [*by, "axis"])
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, shares: list[float], by: list[str] | None = None, buckets: int | None = None
-) -> DataFrame:
-    """(by..., q array): linearly interpolated quantiles of the non-null values, exact at any size.
-
-    The built-in percentile would keep every distinct value of a group in one buffer.
-    """
-    by = by or []
-    rows = _numbers(df, by, value)
-    size = df.count()  # an upper bound; of a stored table the footers give it
-    counts = _distinct_values(rows, by, size, buckets)
-
-    def places(size: Column) -> list[tuple[Column, Column]]:
-        exact = [(size - 1) * F.lit(float(share)) for share in shares]
-        return [(F.floor(place), F.ceil(place)) for place in exact]
-
-    # Only the few buckets that hold a wanted place are ordered.
-    wanted = F.array(*[end for pair in places(F.col("_size")) for end in pair])
-    chosen = _bucket_shifts(counts, by, "bucket", F.col("n")).filter(
-        F.exists(wanted, lambda place: (F.col("_shift") <= place) & (place < F.col("_shift") + F.col("_total")))
-    )
-    placed = counts.join(chosen.drop("_total"), [*by, "bucket"]).withColumn(
-        "below", F.col("_shift") + _inside_before(by, "bucket", [F.col("value")], F.col("n"))
-    )
-
-    def at(place: Column) -> Column:
-        holds = (F.col("below") <= place) & (place < F.col("below") + F.col("n"))
-        return F.max(F.when(holds, F.col("value")))
-
-    ends, results = [], []
-    for i, (share, (low, high)) in enumerate(zip(shares, places(F.col("_size")))):
-        between = (F.max("_size") - 1) * F.lit(float(share))
-        ends += [at(low).alias(f"_low{i}"), at(high).alias(f"_high{i}"), (between - F.floor(between)).alias(f"_part{i}")]
-        results.append(F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}"))
-    return placed.groupBy(*by, F.lit(0).alias("_one")).agg(*ends).select(*by, F.array(*results).alias("q"))
-
-
-def exact_medians(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
-    """(column, median) of several numeric columns; a column without values is left out."""
-    narrow = df.select([F.col(column).cast("double").alias(column) for column in columns])
-    long = narrow.unpivot([], columns, "column", "value")
-    return exact_quantiles(long, "value", [0.5], ["column"], buckets).select("column", F.get("q", 0).alias("median"))
-
-
 def stratified_folds(df: DataFrame, row_id: str, label: str, folds: int = 5, seed: int = 42, digits: int | None = None) -> DataFrame:
     """Adds ``fold`` (0 .. folds - 1): each class is dealt out in turn, in the order of a seeded hash of the row id.
 

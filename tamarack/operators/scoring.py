@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from tamarack.functions import vocab
 from tamarack.functions.text import one_decimal_percent, ordinal, plain_feature, short_name, whole_percent
 from tamarack.operators.attribution import leaf_paths, top_feature, with_attributions
-from tamarack.operators.features import balanced_weight, class_index, fit_preprocessor, sorted_classes
+from tamarack.operators.features import class_index, class_weight, preprocessor_of
 from tamarack.operators.filters import require_columns
 from tamarack.operators.models import random_forest, with_top_class
+from tamarack.operators.training import figures_of
 from tamarack.sources.stages import is_complete
 
 
@@ -55,9 +56,10 @@ def fit_bundle(
     trees: int = vocab.TREES, depth: int = 30, seed: int = vocab.SEED, origin: str | None = None,
 ) -> Bundle:
     """Final fit on all labelled rows (gold, or gold and pseudo-labelled)."""
-    classes = sorted_classes(labelled, label)
-    preprocessor = fit_preprocessor(labelled, numeric, categorical)
-    weighted = labelled.withColumn("_weight", balanced_weight(labelled, label)).withColumn("_class", class_index(label, classes))
+    figures = figures_of(labelled.filter(F.col(label).isNotNull()), numeric, categorical, label)
+    classes = sorted(figures.labels)
+    preprocessor = preprocessor_of(figures, labelled, categorical)
+    weighted = labelled.withColumn("_weight", class_weight(figures.labels, label)).withColumn("_class", class_index(label, classes))
     forest = random_forest(trees, depth, seed).fit(preprocessor.transform(weighted))
     pseudo = F.col(origin) == "pseudo" if origin else F.lit(False)
     counts = labelled.agg(F.count(F.lit(1)).alias("n"), F.count_if(pseudo).alias("p")).first()

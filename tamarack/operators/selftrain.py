@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.vocab import CONFIDENCE, MAX_ROUNDS, SEED, TREES
-from tamarack.operators.features import balanced_weight, class_index, fit_preprocessor
+from tamarack.operators.features import class_index, class_weight, preprocessor_of
 from tamarack.operators.models import random_forest, top_class, with_top_class
+from tamarack.operators.training import figures_of
 from tamarack.session import written
 
 Scorer = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
@@ -71,8 +72,9 @@ def forest_scorer(
     """Refits the preprocessor and a balanced forest on the labelled rows of the round."""
 
     def fit(labelled: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        preprocessor = fit_preprocessor(labelled, numeric, categorical)
-        weighted = labelled.withColumn("_weight", balanced_weight(labelled, label)).withColumn("_class", class_index(label, classes))
+        figures = figures_of(labelled, numeric, categorical, label)
+        preprocessor = preprocessor_of(figures, labelled, categorical)
+        weighted = labelled.withColumn("_weight", class_weight(figures.labels, label)).withColumn("_class", class_index(label, classes))
         forest = random_forest(trees, depth, seed).fit(preprocessor.transform(weighted))
         return lambda rows: with_top_class(forest.transform(preprocessor.transform(rows)), classes)
 

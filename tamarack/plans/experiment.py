@@ -92,7 +92,6 @@ def compare_phases(gold: DataFrame, pool: DataFrame, setting: Setting, nested: b
     metrics and the confusion matrix.
     """
     classes = sorted_classes(gold, setting.label)
-    columns = [setting.row_id, setting.label, *setting.features]
     training = train_iteratively(gold, pool, setting)
     pseudo = training.pseudo
 
@@ -100,10 +99,10 @@ def compare_phases(gold: DataFrame, pool: DataFrame, setting: Setting, nested: b
         return lambda n: {tag: random_forest(setting.trees, setting.depth, setting.seed)}
 
     def extra(train: DataFrame) -> DataFrame:
-        return train_iteratively(train, pool, setting).pseudo.select(*columns) if nested else pseudo.select(*columns)
+        return train_iteratively(train, pool, setting).pseudo
 
     baseline = _predictions(gold, setting, classes, forest(vocab.PHASES[0]))
-    honest = _predictions(gold, setting, classes, forest(vocab.PHASES[1]), extra)
+    honest = _predictions(gold, setting, classes, forest(vocab.PHASES[1]), extra if nested else pseudo)
     n_gold, n_pseudo = gold.count(), pseudo.count()
     predictions = baseline.unionByName(honest)
     both = cv_summary(predictions, "model", "fold", classes).withColumnRenamed("model", "tag")

@@ -65,7 +65,7 @@ def test_preprocessor(spark):
 
 def test_balanced_weights(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",)], "y string")
-    weights = {r.y: r.w for r in df.withColumn("w", features.balanced_weight(df, "y")).collect()}
+    weights = {r.y: r.w for r in df.withColumn("w", features.class_weight({"a": 3, "b": 1}, "y")).collect()}
     assert weights == {"a": 4 / 6, "b": 2.0}
 
 

@@ -4,7 +4,7 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from tamarack.operators import keys, ranks
+from tamarack.operators import keys, quantiles, ranks
 from tamarack.session import shared_folder
 from __spark_entry__ import queries
 
@@ -70,10 +70,17 @@ def test_no_query_plan_has_a_nested_loop(spark):
 
 def test_no_window_spans_a_whole_class_or_column(spark):
     rows = spark.range(1000).withColumn("label", F.lit("one class")).withColumn("v", F.col("id").cast("double"))
-    for df in (ranks.stratified_folds(rows, "id", "label"), ranks.average_ranks(rows, "v"), ranks.exact_quantiles(rows, "v", [0.5])):
+    for df in (ranks.stratified_folds(rows, "id", "label"), ranks.average_ranks(rows, "v")):
         lines = [line for line in plan(df).splitlines() if "Window [" in line and "_total" not in line]
         assert lines and all("bucket" in line for line in lines)
 
 
+def test_quantiles_order_a_few_rows_of_a_column(spark):
+    rows = spark.range(400_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("v"))
+    low, high = rows.agg(F.percentile_approx("v", list(quantiles.window_shares(0.5, quantiles.ACCURACY)), quantiles.ACCURACY).alias("e")).first().e
+    assert 0 < rows.filter(F.col("v").between(low, high)).count() < 400
+    assert quantiles.exact_quantiles(rows, "v", [0.5]).first().q == [rows.agg(F.median("v")).first()[0]]
+
+
 def test_the_cluster_folder_is_used(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

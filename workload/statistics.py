@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.operators import association, attribution, features, metrics, models, ranks, reshape, summaries
+from tamarack.operators import association, attribution, features, metrics, models, quantiles, ranks, reshape, summaries
 from tamarack.session import shared_folder
 from tamarack.sources.stages import reuse_or_build, write_table
 from tamarack.sources.tables import typed_csv
@@ -29,7 +29,7 @@ def _given(t: Tables) -> DataFrame:
 @query(GIVEN + "select * from (" + " union all ".join(
     f"select '{c}' as \"column\", round(median({c}), 6) as median from given" for c in MEASURES) + ")")
 def exact_medians(t: Tables) -> DataFrame:
-    medians = ranks.exact_medians(_given(t), MEASURES)
+    medians = quantiles.exact_medians(_given(t), MEASURES)
     return medians.select("column", F.round("median", 6).alias("median"))
 
 
