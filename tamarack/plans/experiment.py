@@ -1,7 +1,9 @@
 """Model comparison, self-training against the supervised baseline, attributions, outside scores."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from tamarack.operators.filters import without_class
 from tamarack.operators.metrics import confusion_counts, confusion_matrix, cv_summary
 from tamarack.operators.models import model_set, random_forest
 from tamarack.operators.scoring import Bundle, explain, fit_bundle, with_impact_ordinal
-from tamarack.operators.selftrain import SelfTraining, forest_scorer, self_train
-from tamarack.operators.validation import out_of_fold_predictions
+from tamarack.operators.selftrain import Scorer, SelfTraining, forest_scorer, self_train
+from tamarack.operators.validation import Models, out_of_fold_predictions
 from tamarack.sources.stages import write_table
 
 
@@ -56,11 +58,11 @@ def _predictions(gold: DataFrame, setting: Setting, classes: list[str], models,
     )
 
 
-def model_predictions(gold: DataFrame, setting: Setting) -> DataFrame:
+def model_predictions(gold: DataFrame, setting: Setting, models: Models | None = None) -> DataFrame:
     """Every gold row once per classifier, predicted by the models of the other folds."""
-    def models(n: int):
+    def published(n: int):
         return model_set(n, setting.trees, setting.depth, setting.boost_rounds, setting.boost_depth, setting.seed)
-    return _predictions(gold, setting, sorted_classes(gold, setting.label), models)
+    return _predictions(gold, setting, sorted_classes(gold, setting.label), models or published)
 
 
 def compare_models(gold: DataFrame, setting: Setting) -> DataFrame:
@@ -68,11 +70,13 @@ def compare_models(gold: DataFrame, setting: Setting) -> DataFrame:
     return cv_summary(model_predictions(gold, setting), "model", "fold", sorted_classes(gold, setting.label))
 
 
-def train_iteratively(gold: DataFrame, pool: DataFrame, setting: Setting) -> SelfTraining:
-    classes = sorted_classes(gold, setting.label)
-    scorer = forest_scorer(
-        setting.label, list(setting.numeric), setting.categorical, classes, setting.trees, setting.depth, setting.seed
-    )
+def train_iteratively(gold: DataFrame, pool: DataFrame, setting: Setting, scorer: Scorer | None = None) -> SelfTraining:
+    """By the forest, or by another ``scorer``."""
+    if scorer is None:
+        classes = sorted_classes(gold, setting.label)
+        scorer = forest_scorer(
+            setting.label, list(setting.numeric), setting.categorical, classes, setting.trees, setting.depth, setting.seed
+        )
     return self_train(gold, pool, setting.row_id, setting.label, setting.features, scorer, setting.threshold, setting.max_rounds)
 
 
@@ -84,25 +88,29 @@ class Phases:
     predictions: DataFrame  # out of fold, of both phases
 
 
-def compare_phases(gold: DataFrame, pool: DataFrame, setting: Setting, nested: bool = False) -> Phases:
+def compare_phases(
+    gold: DataFrame, pool: DataFrame, setting: Setting, nested: bool = False, scorer: Scorer | None = None,
+    estimator: Callable[[], Estimator] | None = None,
+) -> Phases:
     """Supervised baseline against self-training, both tested on gold rows only.
 
     The pseudo-labels come from all gold rows, test rows included, as published. ``nested`` derives them again
     inside every fold from that fold's training rows. Both phases share their out-of-fold tables between the
-    metrics and the confusion matrix.
+    metrics and the confusion matrix. ``scorer`` labels the pool and ``estimator`` is compared, a forest each if not given.
     """
     classes = sorted_classes(gold, setting.label)
-    training = train_iteratively(gold, pool, setting)
+    training = train_iteratively(gold, pool, setting, scorer)
     pseudo = training.pseudo
+    estimator = estimator or (lambda: random_forest(setting.trees, setting.depth, setting.seed))
 
-    def forest(tag: str):
-        return lambda n: {tag: random_forest(setting.trees, setting.depth, setting.seed)}
+    def model(tag: str):
+        return lambda n: {tag: estimator()}
 
     def extra(train: DataFrame) -> DataFrame:
-        return train_iteratively(train, pool, setting).pseudo
+        return train_iteratively(train, pool, setting, scorer).pseudo
 
-    baseline = _predictions(gold, setting, classes, forest(vocab.PHASES[0]))
-    honest = _predictions(gold, setting, classes, forest(vocab.PHASES[1]), extra if nested else pseudo)
+    baseline = _predictions(gold, setting, classes, model(vocab.PHASES[0]))
+    honest = _predictions(gold, setting, classes, model(vocab.PHASES[1]), extra if nested else pseudo)
     n_gold, n_pseudo = gold.count(), pseudo.count()
     predictions = baseline.unionByName(honest)
     both = cv_summary(predictions, "model", "fold", classes).withColumnRenamed("model", "tag")

@@ -7,23 +7,27 @@ registered queries use few and shallow trees, with the published folds, rounds a
 import uuid
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.functions import vocab
+from tamarack.operators import metrics
 from tamarack.operators.attribution import base_values, overall_importance, top_features
 from tamarack.operators.features import fit_preprocessor
 from tamarack.operators.keys import unlabelled_pool
+from tamarack.operators.models import ClassShares
 from tamarack.operators.scoring import explain, load_bundle, prediction_table, score
 from tamarack.operators.selftrain import frequency_scorer, self_train
 from tamarack.operators.summaries import coverage
 from tamarack.plans.experiment import (
-    Setting, attribution_table, compare_attributions, compare_models, compare_phases, final_bundle, model_predictions,
+    Phases, Setting, attribution_table, compare_attributions, compare_models, compare_phases, final_bundle, model_predictions,
     train_iteratively, write_experiment,
 )
 from tamarack.session import shared_folder
 from tamarack.sources.stages import write_table
 from tamarack.sources.tables import scoring_input
 from workload.catalog import Tables, query
+from workload.statistics import REPORT_SQL
 
 NUMERIC = ("n_chars", "n_words", "n_lines", "digit_share")
 SETTING = Setting(
@@ -58,28 +62,28 @@ def _self_training_sql(rounds: int, threshold: float) -> str:
     best = f"greatest({', '.join(mean.values())})"
     pick = "case " + " ".join(f"when {mean[k]} = {best} then '{k}'" for k in CLASSES) + " end"
     sql = """
-with docs as (select doc_id, lang, case when n_chars < 300 then 'short' when n_chars < 3000 then 'middle' else 'long' end as band from documents),
-labelled0 as (
+with docs as materialized (select doc_id, lang, case when n_chars < 300 then 'short' when n_chars < 3000 then 'middle' else 'long' end as band from documents),
+labelled0 as materialized (
     select d.*, case when toxic = 1 then 'toxic' when quality = 0 then 'poor' else 'clean' end as label, 0 as round
     from docs d join labels using (doc_id)),
-pool0 as (select * from docs where doc_id not in (select doc_id from labels))
+pool0 as materialized (select * from docs where doc_id not in (select doc_id from labels))
 """
     for n in range(1, rounds + 1):
         sql += f""",
 lang{n} as (select lang, {share['lang']} from labelled{n - 1} group by 1),
 band{n} as (select band, {share['band']} from labelled{n - 1} group by 1),
-scored{n} as (
+scored{n} as materialized (
     select p.doc_id, p.lang, p.band, {pick} as label, {best} as confidence
     from pool{n - 1} p left join lang{n} on lang{n}.lang = p.lang left join band{n} on band{n}.band = p.band),
-labelled{n} as (
+labelled{n} as materialized (
     select * from labelled{n - 1} union all
     select doc_id, lang, band, label, {n} from scored{n} where confidence >= {threshold}),
-pool{n} as (select doc_id, lang, band from scored{n} where confidence < {threshold})
+pool{n} as materialized (select doc_id, lang, band from scored{n} where confidence < {threshold})
 """
     return sql
 
 
-ROUNDS, SHARE_THRESHOLD = 4, 0.76
+ROUNDS, SHARE_THRESHOLD = vocab.MAX_ROUNDS, 0.76  # a round that adds nothing is the last; in SQL the others then add nothing
 
 
 def _by_frequency(t: Tables):
@@ -283,3 +287,128 @@ def score_upload(t: Tables) -> DataFrame:
     write_table(scored, f"{folder}/out", "csv")
     back = t.spark.read.csv(f"{folder}/out", header=True)
     return back.select("doc_id", "source", F.col("Predicted Class").isin(CLASSES).alias("known_class"), F.col("Confidence").cast("double").between(1 / 3 - 1e-9, 1.0).alias("sure"))
+
+
+# The folds, the preparation inside them, the balanced weights and the phases, proven by values: the same loops with a
+# classifier whose predictions SQL can express.
+
+CELL_NUMERIC = ("n_chars", "n_lines", "digit_share")
+BY_CELL = Setting(row_id="doc_id", label="label", numeric=CELL_NUMERIC, categorical="lang", threshold=SHARE_THRESHOLD)
+
+
+def _cell(features: Column) -> Column:
+    """Whole deviations from the mean of each number, -1 to 1, and the language's flags."""
+    deviations = F.transform(F.slice(features, 1, len(CELL_NUMERIC)), lambda x: F.greatest(F.lit(-1), F.least(F.lit(1), F.floor(x))))
+    flags = F.transform(F.slice(features, len(CELL_NUMERIC) + 1, F.size(features)), lambda x: x.cast("bigint"))
+    return F.concat_ws(",", F.concat(deviations, flags).cast("array<string>"))
+
+
+def _class_shares() -> ClassShares:
+    return ClassShares(_cell, len(CLASSES))
+
+
+CELL_FEATURES_SQL = """
+features as materialized (
+    select doc_id, lang, n_chars::double as n_chars, case when source <> 'src0' then (length(text) - length(replace(text, chr(10), '')) + 1)::double end as n_lines,
+        (length(text) - length(translate(text, '0123456789', ''))) / nullif(length(text), 0) as digit_share
+    from documents),
+folded as materialized (
+    select f.*, label, (row_number() over (partition by label order by md5('42-' || doc_id), doc_id) - 1) % 5 as fold
+    from features f join (select doc_id, case when toxic = 1 then 'toxic' when quality = 0 then 'poor' else 'clean' end as label from labels) using (doc_id))
+"""
+
+
+def _cell_predictions_sql(name: str, model: str, extra: str = "") -> str:
+    """Tables ending in ``name``; the last, ``predicted_<name>``, has model, fold, actual and predicted."""
+    filled = {c: f"coalesce({c}, m_{c})" for c in CELL_NUMERIC}
+    deviations = " || ',' || ".join(f"greatest(-1, least(1, floor(({filled[c]} - a_{c}) / s_{c})))::int" for c in CELL_NUMERIC)
+    return f"""
+train_{name} as materialized (select f, g.* exclude (fold) from (select unnest(range(5)) as f) join folded g on g.fold <> f {extra}),
+medians_{name} as (select f, {', '.join(f'median({c}) as m_{c}' for c in CELL_NUMERIC)} from train_{name} group by f),
+scales_{name} as materialized (
+    select f, {', '.join(f'any_value(m_{c}) as m_{c}, avg({filled[c]}) as a_{c}, stddev_pop({filled[c]}) as s_{c}' for c in CELL_NUMERIC)}
+    from train_{name} join medians_{name} using (f) group by f),
+weights_{name} as (select f, label, sum(n) over (partition by f) / (count(*) over (partition by f) * n) as weight from (select f, label, count(*) as n from train_{name} group by all)),
+cells_{name} as (select f, lang || ',' || {deviations} as cell, label, count(*) as n from train_{name} join scales_{name} using (f) group by all),
+winners_{name} as (select f, cell, label from cells_{name} join weights_{name} using (f, label) qualify row_number() over (partition by f, cell order by n * weight desc, label) = 1),
+predicted_{name} as materialized (
+    select '{model}' as model, t.fold, t.actual, coalesce(w.label, 'clean') as predicted
+    from (select fold, label as actual, lang || ',' || {deviations} as cell from folded g join scales_{name} s on s.f = g.fold) t
+    left join winners_{name} w on w.f = t.fold and w.cell = t.cell)
+"""
+
+
+CELL_SQL = f"with {CELL_FEATURES_SQL}, {_cell_predictions_sql('one', 'ClassShares')}, predicted as (select * from predicted_one)"
+
+
+def _by_cells(t: Tables) -> DataFrame:
+    gold, _ = gold_and_pool(t)
+    return model_predictions(gold, BY_CELL, lambda n: {"ClassShares": _class_shares()})
+
+
+@query(CELL_SQL + REPORT_SQL + """
+select model, fold::int as fold, round(accuracy, 10) as accuracy, round(macro_f1, 10) as macro_f1
+from (select model, fold, avg((actual = predicted)::int) as accuracy from predicted group by all)
+join (select model, fold, avg(2 * hit / (guessed + support)) as macro_f1 from per_class group by all) using (model, fold)
+""")
+def class_shares_by_fold(t: Tables) -> DataFrame:
+    """Accuracy and F1 of every fold."""
+    counts = metrics.confusion_counts(_by_cells(t), ["model", "fold"])
+    both = metrics.accuracy(counts, ["model", "fold"]).join(metrics.macro_f1(counts, ["model", "fold"]), ["model", "fold"])
+    return both.select("model", "fold", F.round("accuracy", 10).alias("accuracy"), F.round("macro_f1", 10).alias("macro_f1"))
+
+
+@query(CELL_SQL + REPORT_SQL + """
+select class, round(precision, 10) as precision, round(recall, 10) as recall, round(f1, 10) as f1, cast(support as bigint) as support from pooled
+union all select 'macro avg', round(avg(precision), 10), round(avg(recall), 10), round(avg(f1), 10), cast(sum(support) as bigint) from pooled
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 10), round(sum(recall * support) / sum(support), 10),
+    round(sum(f1 * support) / sum(support), 10), cast(sum(support) as bigint) from pooled
+""")
+def class_shares_report(t: Tables) -> DataFrame:
+    """All folds together."""
+    report = metrics.class_report(metrics.confusion_counts(_by_cells(t), []), [])
+    both = report.unionByName(metrics.averaged_report(report, []))
+    return both.withColumns({m: F.round(m, 10) for m in ("precision", "recall", "f1")})
+
+
+PHASE_SQL = (
+    _self_training_sql(ROUNDS, SHARE_THRESHOLD) + f", {CELL_FEATURES_SQL}, pseudo as materialized (select f.*, label from features f join labelled{ROUNDS} l using (doc_id) where round > 0), "
+    + _cell_predictions_sql("one", "Phase1_Supervised_Baseline") + ", "
+    + _cell_predictions_sql("two", "Phase2_SemiSupervised_Honest", "union all select f, p.* from (select unnest(range(5)) as f) cross join pseudo p")
+    + ", predicted as (select * from predicted_one union all select * from predicted_two)"
+)
+
+
+def _phases_by_cells(t: Tables) -> Phases:
+    gold, pool = gold_and_pool(t)
+    band = F.when(F.col("n_chars") < 300, "short").when(F.col("n_chars") < 3000, "middle").otherwise("long")
+
+    def scorer(labelled: DataFrame):
+        score = frequency_scorer("label", CLASSES, [["lang"], ["band"]])(labelled.withColumn("band", band))
+        return lambda rows: score(rows.withColumn("band", band))
+
+    return compare_phases(gold, pool, BY_CELL, scorer=scorer, estimator=_class_shares)
+
+
+@query(PHASE_SQL + REPORT_SQL + f"""
+, fold_scores as (
+    select model, fold, accuracy, macro_f1 from
+        (select model, fold, avg((actual = predicted)::int) as accuracy from predicted group by all)
+        join (select model, fold, avg(2 * hit / (guessed + support)) as macro_f1 from per_class group by all) using (model, fold))
+select model as tag, round(accuracy, 10) as accuracy, round(accuracy_mean, 10) as accuracy_mean, round(accuracy_std, 10) as accuracy_std,
+    round(macro_f1, 10) as macro_f1, round(macro_f1_mean, 10) as macro_f1_mean, round(macro_f1_std, 10) as macro_f1_std,
+    {', '.join(f'round(f1_{c}, 10) as f1_{c}' for c in CLASSES)},
+    (select count(*) from folded) as n_gold_labeled, case when model like 'Phase2%' then (select count(*) from pseudo) else 0 end as n_pseudo_labeled
+from (select model, avg((actual = predicted)::int) as accuracy from predicted group by 1)
+join (select model, avg(accuracy) as accuracy_mean, stddev_pop(accuracy) as accuracy_std, avg(macro_f1) as macro_f1_mean, stddev_pop(macro_f1) as macro_f1_std from fold_scores group by 1) using (model)
+join (select model, avg(f1) as macro_f1, {', '.join(f"max(f1) filter (class = '{c}') as f1_{c}" for c in CLASSES)} from pooled group by 1) using (model)
+""")
+def class_shares_phases(t: Tables) -> DataFrame:
+    """The gold-only comparison of both phases: pseudo-labels by frequency, predictions by cell."""
+    table = _phases_by_cells(t).comparison
+    return table.select("tag", *[F.round(c, 10).alias(c) if c.startswith(("accuracy", "macro", "f1")) else c for c in table.columns if c != "tag"])
+
+
+@query(PHASE_SQL + " select actual, " + ", ".join(f"count(*) filter (predicted = '{c}') as {c}" for c in CLASSES) + " from predicted_two group by 1")
+def class_shares_confusion(t: Tables) -> DataFrame:
+    return _phases_by_cells(t).confusion
