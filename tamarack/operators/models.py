@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ COLUMNS = {"featuresCol": "features", "labelCol": "_class", "weightCol": "_weigh
 
 def logistic_regression(n_rows: int, iterations: int = LOGISTIC_ITERATIONS) -> LogisticRegression:
     """Unit-strength L2 on the summed loss is 1 / (total weight) on the mean loss; balanced weights sum to the rows."""
-    return LogisticRegression(family="multinomial", maxIter=iterations, regParam=1.0 / n_rows, standardization=False, **COLUMNS)
+    return LogisticRegression(family="multinomial", maxIter=iterations, regParam=1.0 / n_rows, standardization=False, tol=1e-9, **COLUMNS)
 
 
 def random_forest(trees: int = TREES, depth: int = 30, seed: int = SEED) -> RandomForestClassifier:
@@ -37,6 +38,26 @@ def model_set(n_rows: int, trees: int = TREES, depth: int = 30, rounds: int = TR
     }
 
 
+def logistic_gradient(model: LogisticRegressionModel, rows: DataFrame, classes: list[str], features: list[str]) -> DataFrame:
+    """(class, feature, gradient): of the penalised mean loss at the fitted coefficients, over all rows; 0 at the optimum.
+
+    The loss is convex, so small gradients certify the fit. ``rows`` are the training rows, prepared. One aggregate of
+    (features + 1) * classes sums; the intercept comes last and is not penalised.
+    """
+    x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    residual = F.transform(vector_to_array("probability"), lambda p, k: F.col("_weight") * (p - F.when(F.col("_class") == k, 1.0).otherwise(0.0)))
+    products = F.flatten(F.transform(residual, lambda r: F.transform("_x", lambda v: r * v)))
+    each = model.transform(rows).withColumn("_x", x).select("_weight", array_to_vector(products).alias("_products"))
+    sums = each.agg(F.sum("_weight").alias("total"), Summarizer.metrics("sum").summary(F.col("_products")).alias("s"))
+    penalty, beta = model.getOrDefault("regParam"), model.coefficientMatrix.toArray()
+    names, size = [*features, "intercept"], len(features)
+    places = [
+        F.struct(F.lit(c).alias("class"), F.lit(name).alias("feature"), (F.get("_sums", k * (size + 1) + j) / F.col("total") + F.lit(penalty * float(beta[k, j]) if j < size else 0.0)).alias("gradient"))
+        for k, c in enumerate(classes) for j, name in enumerate(names)
+    ]
+    return sums.withColumn("_sums", vector_to_array("s.sum")).select(F.inline(F.array(*places)))
+
+
 class ClassShares(Estimator):
     """Predicts the class of the largest weight among the training rows of the same cell, the first one of several.
 

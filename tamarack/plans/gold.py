@@ -11,7 +11,7 @@ from tamarack.operators import enrich, intervals, keys
 from tamarack.operators.filters import any_missing, in_panel, not_reference, payload_guard
 from tamarack.operators.grid import allele_variants
 from tamarack.operators.summaries import coverage, label_availability, terms_seen, value_counts
-from tamarack.sources.stages import fingerprint, is_complete, reuse_or_build, write_side_table, write_table
+from tamarack.sources.stages import is_complete, manifest, reuse_or_build, write_side_table, write_table
 
 
 def function_labels(payloads: DataFrame, accessions: dict[str, str] = vocab.GENE_ACCESSIONS) -> tuple[DataFrame, DataFrame]:
@@ -49,6 +49,9 @@ class Landed:
     blocks: DataFrame
     far_track: DataFrame
 
+    def tables(self) -> dict[str, DataFrame]:
+        return dict(vars(self))
+
 
 @dataclass
 class Enriched:
@@ -75,10 +78,10 @@ def build_gold(
 ) -> DataFrame:
     """The whole build, each stage written once under ``out`` and reused when it is already complete."""
     # A stage is made again when its own inputs changed or a stage that it reads was made from others.
-    of_variants, of_labels = fingerprint(variants), fingerprint(payloads)
-    of_cross = fingerprint(of_labels, cells)
-    of_gold = fingerprint(of_variants, of_cross, strict)
-    of_full = fingerprint(of_gold, landed.annotations, landed.near_track, landed.blocks, landed.far_track)
+    of_variants, of_labels = manifest(variants=variants), manifest(payloads=payloads)
+    of_cross = of_labels + manifest(cells=cells)
+    of_gold = of_variants + of_cross + manifest(strict=strict)
+    of_full = of_gold + manifest(**landed.tables())
     panel_rows = reuse_or_build(spark, f"{out}/variants", lambda: variants, of_variants)
     made, rejected = function_labels(payloads)
     labels = reuse_or_build(spark, f"{out}/function_labels", lambda: made, of_labels)
@@ -111,4 +114,4 @@ def build_pool(spark: SparkSession, out: str, variants: DataFrame, gold: DataFra
     pool = keys.unlabelled_pool(variants, labelled, ["VariationID"]).withColumn("rsid_norm", rsid(F.col("`RS# (dbSNP)`")))
     result = enriched(pool, landed)
     write_side_table(result.missing_alleles, f"{out}/pool_missing_alleles")
-    return reuse_or_build(spark, f"{out}/pool_enriched", lambda: result.rows, fingerprint(variants, labelled, landed.annotations, landed.near_track, landed.blocks, landed.far_track))
+    return reuse_or_build(spark, f"{out}/pool_enriched", lambda: result.rows, manifest(variants=variants, labelled=labelled, **landed.tables()))

@@ -35,8 +35,10 @@ def test_stages(spark, tmp_path):
     assert not stages.is_complete(spark, path)
     first = stages.reuse_or_build(spark, path, lambda: spark.range(3))
     assert stages.reuse_or_build(spark, path, lambda: 1 / 0).count() == first.count() == 3
-    assert stages.reuse_or_build(spark, path, lambda: spark.range(5), "other inputs").count() == 5
-    assert stages.reuse_or_build(spark, path, lambda: 1 / 0, "other inputs").count() == 5
+    of = stages.manifest(rows=spark.range(5), least=1)
+    assert stages.reuse_or_build(spark, path, lambda: spark.range(5), of).count() == 5
+    assert stages.reuse_or_build(spark, path, lambda: 1 / 0, of).count() == 5
+    assert stages.reuse_or_build(spark, path, lambda: spark.range(6), stages.manifest(rows=spark.range(5), least=2)).count() == 6
     assert not stages.write_side_table(spark.range(0), str(tmp_path / "none")) and not (tmp_path / "none").exists()
     assert stages.write_side_table(spark.range(1), str(tmp_path / "some"))
     assert not stages.write_side_table(spark.range(0), str(tmp_path / "some")) and not (tmp_path / "some").exists()
@@ -45,6 +47,35 @@ def test_stages(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "by")).groupBy("gene").count().count() == 2
 
 
+def test_manifests_differ_where_inputs_do(spark, tmp_path):
+    rows = lambda *given: spark.createDataFrame(list(given), "id int, name string")
+    of = lambda df, **more: sorted(stages.manifest(table=df, **more))
+    assert of(rows((1, "x"), (2, "y"))) == of(rows((2, "y"), (1, "x")))
+    in_memory = [rows((1, "x")), rows((2, "x")), rows((1, "x"), (1, "x")), rows((1, None)), rows((1, "null")), rows().limit(0)]
+    joined = [rows((1, "x")).join(rows((1, other)).withColumnRenamed("name", "other"), "id") for other in "xy"]
+    local = [spark.sql(f"select * from values (1, 'x'), (2, '{name}') as v(id, name)") for name in "xy"]
+    maps = [rows((1, "x")).select(F.create_map(F.lit("k"), F.lit(v)).alias("m")) for v in "xy"]
+    # The difference is in a column far beyond what a printed plan shows.
+    wide = [spark.range(1).select(*[F.lit(i + (i == 36) * more).alias(f"c{i}") for i in range(40)]) for more in (0, 1)]
+    long = [spark.range(1).filter(F.col("id").isin([*range(3000), last])) for last in (3001, 3002)]
+    folder = str(tmp_path / "table")
+    rows((1, "x")).write.parquet(folder)
+    first = of(spark.read.parquet(folder))
+    rows((1, "z")).write.mode("overwrite").parquet(folder)
+    files = [first, of(spark.read.parquet(folder)), of(spark.read.parquet(folder).filter("id > 0")), of(spark.read.parquet(folder), least=1)]
+    every = [*map(of, [*in_memory, *joined, *local, *maps, *wide, *long]), *files]
+    assert len({repr(m) for m in every}) == len(every)
+    assert of(spark.range(1).select(*[F.lit(i).alias(f"c{i}") for i in range(40)])) == of(wide[0])
+
+
+def test_a_stage_of_other_rows_is_made_again(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    for row in ((1, "x"), (2, "y"), (2, "y")):
+        given = spark.createDataFrame([row], "id int, name string")
+        stage = stages.reuse_or_build(spark, path, lambda given=given: given, stages.manifest(rows=given))
+        assert [tuple(r) for r in stage.collect()] == [row]
+
+
 def test_scoring_input(spark, tmp_path):
     (tmp_path / "in.csv").write_text(
         "gerp_score,Name,GeneSymbol,most_severe_consequence,vep_impact,gnomad_af,phylop100way\n"

@@ -3,9 +3,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tamarack.operators import training
+from tamarack.operators import models, training
 
 
 def frame(seed, n=400, folds=4):
@@ -57,6 +58,31 @@ def test_all_rows_and_none(spark):
     assert missing.numeric["x"] == (0.0, 0.0, 1.0)
 
 
+def test_slope_of_the_logistic_loss(spark):
+    """Against numerical derivatives, away from the optimum and at it."""
+    draw = np.random.default_rng(7)
+    x, y, w = draw.normal(size=(60, 2)), draw.integers(0, 3, 60), draw.random(60) + 0.5
+    x[:, 0] += y
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b), float(c)) for a, b, c in zip(x, y, w)], ["features", "_class", "_weight"])
+    ones = np.column_stack([x, np.ones(60)])
+    for steps in (2, 2000):
+        estimator = models.logistic_regression(20, steps)
+        model = estimator.fit(rows)
+        beta = np.column_stack([model.coefficientMatrix.toArray(), model.interceptVector.toArray()])
+
+        def loss(beta):
+            z = ones @ beta.T
+            return (w * (np.log(np.exp(z).sum(1)) - z[np.arange(60), y])).sum() / w.sum() + 0.5 / 20 * (beta[:, :2] ** 2).sum()
+
+        found = {(r["class"], r.feature): r.gradient for r in models.logistic_gradient(model, rows, ["a", "b", "c"], ["f", "g"]).collect()}
+        for k, c in enumerate("abc"):
+            for j, f in enumerate(["f", "g", "intercept"]):
+                step = np.zeros((3, 3))
+                step[k, j] = 1e-5
+                assert found[c, f] == pytest.approx((loss(beta + step) - loss(beta - step)) / 2e-5, abs=1e-8)
+        assert (max(map(abs, found.values())) < 1e-6) == (steps == 2000)
+
+
 def test_two_scans_for_all_folds(spark, monkeypatch):
     """The jobs do not grow with the folds."""
     given = spark.createDataFrame(frame(5, folds=8).drop(columns="z"))

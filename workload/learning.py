@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 from tamarack.functions import vocab
 from tamarack.operators import metrics
 from tamarack.operators.attribution import base_values, overall_importance, top_features
-from tamarack.operators.features import fit_preprocessor
+from tamarack.operators.features import class_index, class_weight, fit_preprocessor, preprocessor_of
 from tamarack.operators.keys import unlabelled_pool
-from tamarack.operators.models import ClassShares
+from tamarack.operators.models import ClassShares, logistic_gradient, logistic_regression
 from tamarack.operators.scoring import explain, load_bundle, prediction_table, score
 from tamarack.operators.selftrain import frequency_scorer, self_train
 from tamarack.operators.summaries import coverage
+from tamarack.operators.training import figures_of
 from tamarack.plans.experiment import (
     Phases, Setting, attribution_table, compare_attributions, compare_models, compare_phases, final_bundle, model_predictions,
     train_iteratively, write_experiment,
 )
-from tamarack.session import shared_folder
+from tamarack.session import shared_folder, written
 from tamarack.sources.stages import write_table
 from tamarack.sources.tables import scoring_input
 from workload.catalog import Tables, query
@@ -289,6 +290,22 @@ def score_upload(t: Tables) -> DataFrame:
     return back.select("doc_id", "source", F.col("Predicted Class").isin(CLASSES).alias("known_class"), F.col("Confidence").cast("double").between(1 / 3 - 1e-9, 1.0).alias("sure"))
 
 
+@query(GOLD_SQL + """, features as (
+    select unnest(['num__n_chars', 'num__n_words', 'num__n_lines', 'num__digit_share', 'intercept']) as feature
+    union all select distinct 'cat__lang_' || lang from documents join gold using (doc_id))
+select label as class, feature, true as optimal from classes cross join features
+""")
+def logistic_optimality(t: Tables) -> DataFrame:
+    """The penalised loss has no slope in any coefficient of the fitted regression, over all its rows."""
+    gold, _ = gold_and_pool(t)
+    figures = figures_of(gold, list(NUMERIC), "lang", "label")
+    prepared, classes = preprocessor_of(figures, gold, "lang"), sorted(figures.labels)
+    rows = prepared.transform(gold).select("features", class_weight(figures.labels, "label").alias("_weight"), class_index("label", classes).alias("_class"))
+    rows = written(rows, "training")
+    gradient = logistic_gradient(logistic_regression(figures.rows).fit(rows), rows, classes, prepared.feature_names)
+    return gradient.select("class", "feature", (F.abs("gradient") < 1e-5).alias("optimal"))
+
+
 # The folds, the preparation inside them, the balanced weights and the phases, proven by values: the same loops with a
 # classifier whose predictions SQL can express.
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.operators import association, attribution, features, metrics, models, quantiles, ranks, reshape, summaries
-from tamarack.session import shared_folder
-from tamarack.sources.stages import reuse_or_build, write_table
+from tamarack.session import shared_folder, written
+from tamarack.sources.stages import manifest, reuse_or_build, write_table
 from tamarack.sources.tables import typed_csv
 from workload.catalog import Tables, query
 
@@ -315,9 +315,17 @@ def typed_reread(t: Tables) -> DataFrame:
     return typed_csv(t.spark, path, "p_partkey bigint, p_name string, p_size int, p_retailprice double")
 
 
-@query("select o_orderpriority, count(*) as n from orders group by 1")
+@query("""
+select request, o_orderpriority, count(*) as n from orders cross join (values ('first', 'FOP'), ('again', 'FOP'), ('changed', 'O')) r(request, statuses)
+where contains(statuses, o_orderstatus) group by all
+""")
 def stage_reuse(t: Tables) -> DataFrame:
-    """The second request finds the finished stage and does not build it again."""
+    """The same request finds the finished stage and does not build it again; one that changes an argument does."""
     path = f"{shared_folder(t.spark)}/counts-{uuid.uuid4().hex}"
-    reuse_or_build(t.spark, path, lambda: summaries.value_counts(t.orders, ["o_orderpriority"]))
-    return reuse_or_build(t.spark, path, lambda: t.orders.limit(0))
+
+    def request(name: str, statuses: str, rows: DataFrame) -> DataFrame:
+        kept = rows.filter(F.col("o_orderstatus").isin(list(statuses)))
+        stage = reuse_or_build(t.spark, path, lambda: summaries.value_counts(kept, ["o_orderpriority"]), manifest(orders=t.orders, statuses=statuses))
+        return written(stage.select(F.lit(name).alias("request"), "o_orderpriority", "n"), "request")
+
+    return request("first", "FOP", t.orders).unionAll(request("again", "FOP", t.orders.limit(0))).unionAll(request("changed", "O", t.orders))
