@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions import vocab
 from tamarack.functions.text import one_decimal_percent, ordinal, plain_feature, short_name, whole_percent
-from tamarack.operators.attribution import leaf_paths, top_feature, with_attributions
+from tamarack.operators.attribution import leaf_paths, top_feature, with_attributions, with_attributions_by_batch
 from tamarack.operators.features import class_index, class_weight, preprocessor_of
 from tamarack.operators.filters import require_columns
 from tamarack.operators.models import random_forest, with_top_class
@@ -73,11 +73,14 @@ def with_impact_ordinal(df: DataFrame) -> DataFrame:
     return df.withColumn("vep_impact_ordinal", ordinal(F.col("vep_impact"), vocab.IMPACT_ORDINAL))
 
 
-def score(df: DataFrame, bundle: Bundle, prepare=with_impact_ordinal) -> DataFrame:
-    """Input columns plus ``_pred_class``, ``_confidence`` and ``_top_feature``. No shuffle; works on a stream."""
+def score(df: DataFrame, bundle: Bundle, prepare=with_impact_ordinal, by_cell: bool = False) -> DataFrame:
+    """Input columns plus ``_pred_class``, ``_confidence`` and ``_top_feature``.
+
+    No shuffle, and works on a stream; ``by_cell`` is for large tables, whose rows repeat the model's cells.
+    """
     prepared = prepare(require_columns(df, bundle.required))
     scored = with_top_class(bundle.pipeline.transform(prepared), bundle.classes)
-    explained = with_attributions(scored, bundle.paths)
+    explained = (with_attributions if by_cell else with_attributions_by_batch)(scored, bundle.paths)
     name = top_feature(F.col("phi"), F.col("_pred_index"), bundle.feature_names)
     return explained.withColumn("_top_feature", plain_feature(name, bundle.categorical)).select(
         *prepared.columns, "_pred_class", "_confidence", "_top_feature"

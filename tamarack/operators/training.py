@@ -6,8 +6,10 @@ window that holds the median of every union of parts.
 """
 
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,15 +74,19 @@ def _medians(rows: DataFrame, part: str, left_out: list, columns: list[str], win
 def figures_without(rows: DataFrame, part: str, left_out: list, numeric: list[str], categorical: str, label: str, accuracy: int = ACCURACY) -> dict:
     """For each part of ``left_out`` the figures of the rows of all other parts; for ``None``, of all rows.
 
-    ``part`` must not be null. One scan sketches and counts, a second counts the windows' values. The driver sees a row
+    ``part`` must not be null. One pass sketches and counts, a second counts the windows' values. The driver sees a row
     per part and a row per (part, label, category).
     """
     ends = list(window_shares(0.5, accuracy))
     shape = [f(number(c)).alias(f"{name}_{i}") for i, c in enumerate(numeric) for name, f in (("n", F.count), ("mean", F.avg), ("var", F.var_pop))]
     sketch = [F.percentile_approx(number(c), ends, accuracy).alias(f"ends_{i}") for i, c in enumerate(numeric)]
-    per_part = {r[part]: r for r in rows.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), *shape, *sketch).collect()}
-    kinds = rows.groupBy(part, F.col(label).alias("label"), F.col(categorical).alias("category")).agg(F.count(F.lit(1)).alias("n")).collect()
-
+    wanted = [
+        rows.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), *shape, *sketch),
+        rows.groupBy(part, F.col(label).alias("label"), F.col(categorical).alias("category")).agg(F.count(F.lit(1)).alias("n")),
+    ]
+    with ThreadPoolExecutor(2) as pool:  # two small results, asked for at once
+        of_parts, kinds = pool.map(inheritable_thread_target(rows.sparkSession)(DataFrame.collect), wanted)
+    per_part = {r[part]: r for r in of_parts}
     held = {i: [r[f"ends_{i}"] for r in per_part.values() if r[f"ends_{i}"] is not None] for i in range(len(numeric))}
     some = [i for i in held if held[i]]
     others = {f: [r for p, r in per_part.items() if p != f or f is None] for f in left_out}

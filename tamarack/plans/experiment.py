@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tamarack.functions import vocab
 from tamarack.functions.text import ordinal
 from tamarack.operators.association import box_summary, correlations
-from tamarack.operators.attribution import compare_importance, importance_table, overall_importance
+from tamarack.operators.attribution import attributed_cells, compare_importance, importance_table, overall_importance
 from tamarack.operators.features import sorted_classes
 from tamarack.operators.filters import without_class
 from tamarack.operators.metrics import confusion_counts, confusion_matrix, cv_summary
 from tamarack.operators.models import model_set, random_forest
-from tamarack.operators.scoring import Bundle, explain, fit_bundle, with_impact_ordinal
+from tamarack.operators.scoring import Bundle, fit_bundle, with_impact_ordinal
 from tamarack.operators.selftrain import Scorer, SelfTraining, forest_scorer, self_train
 from tamarack.operators.validation import Models, out_of_fold_predictions
 from tamarack.sources.stages import write_table
@@ -128,7 +128,7 @@ def final_bundle(labelled: DataFrame, setting: Setting, required: list[str], ori
 
 
 def attribution_table(rows: DataFrame, bundle: Bundle) -> DataFrame:
-    return importance_table(explain(rows, bundle), "phi", bundle.classes, bundle.feature_names)
+    return importance_table(attributed_cells(bundle.pipeline.transform(rows), bundle.paths), bundle.classes, bundle.feature_names)
 
 
 def compare_attributions(first: DataFrame, second: DataFrame) -> DataFrame:

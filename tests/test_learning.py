@@ -183,6 +183,25 @@ def test_saved_bundle_scores_like_the_fitted_one(spark, bundle, tmp_path):
         scoring.score(fresh.drop("vep_impact"), loaded)
 
 
+def test_scoring_by_cell(spark, bundle, gold, monkeypatch):
+    """The same rows; leaves in several blocks, hot cells, and a plan of a few levels at a time."""
+    fresh = rows(spark, 200, 8).select(*vocab.SCORING_COLUMNS)
+    fresh = fresh.unionAll(fresh.limit(1).crossJoin(spark.range(300)).drop("id"))
+    expected = sorted(map(tuple, scoring.score(fresh, bundle).collect()), key=repr)
+    monkeypatch.setattr(attribution, "ENTRIES", 40)
+    assert sorted(map(tuple, scoring.score(fresh, bundle, by_cell=True).collect()), key=repr) == expected
+    monkeypatch.setattr(attribution, "LEVELS", 2)
+    paths = lambda t: sorted((r.tree, r.leaf, sorted(zip(r.feature, r.low, r.high, r.share)), r.value) for r in t.collect())
+    assert paths(attribution.leaf_paths(bundle.pipeline.stages[-1])) == paths(bundle.paths)
+
+
+def test_cells_do_not_grow_with_copies(spark, bundle, gold):
+    prepared = bundle.pipeline.transform(gold)
+    once = attribution.attributed_cells(prepared, bundle.paths)
+    many = attribution.attributed_cells(prepared.crossJoin(spark.range(50)), bundle.paths)
+    assert {tuple(r.cell): (50 * r.n, r.phi) for r in once.collect()} == {tuple(r.cell): (r.n, r.phi) for r in many.collect()}
+
+
 def test_scoring_needs_no_shuffle(spark, bundle):
     plan = scoring.score(rows(spark, 5, 4).select(*vocab.SCORING_COLUMNS), bundle)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
@@ -233,6 +252,6 @@ def test_rows_of_a_cell_share_their_attributions():
     }
     x = draw.random((500, 3)).round(1)
     x[:5, 1] = np.nan
-    first, cell = attribution.distinct_cells(x, attribution.cuts_of([leaves], 3))
+    first, cell = attribution.distinct_cells(x, {0: [0.3], 1: [0.2, 0.5], 2: [0.2]})
     assert len(first) < 20
     np.testing.assert_allclose(attribution.shapley(x[first], leaves)[cell], attribution.shapley(x, leaves), atol=1e-12)

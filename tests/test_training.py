@@ -83,8 +83,7 @@ def test_slope_of_the_logistic_loss(spark):
         assert (max(map(abs, found.values())) < 1e-6) == (steps == 2000)
 
 
-def test_two_scans_for_all_folds(spark, monkeypatch):
-    """The jobs do not grow with the folds."""
+def test_jobs_do_not_grow_with_the_folds(spark):
     given = spark.createDataFrame(frame(5, folds=8).drop(columns="z"))
     jobs = []
     for folds in (2, 8):

@@ -197,7 +197,7 @@ def score_documents(t: Tables) -> DataFrame:
     _, bundle = _bundle(t)
     path = f"{shared_folder(t.spark)}/bundle-{uuid.uuid4().hex}"
     bundle.save(path)
-    scored = score(document_features(t.documents), load_bundle(t.spark, path), prepare=lambda df: df)
+    scored = score(document_features(t.documents), load_bundle(t.spark, path), prepare=lambda df: df, by_cell=True)
     return prediction_table(scored).select("doc_id", "Predicted Class", "Confidence", "Top Feature")
 
 
