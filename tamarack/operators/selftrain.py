@@ -1,5 +1,11 @@
-"""Iterative self-training: fit, score the pool, move the confident rows over, repeat."""
+"""Iterative self-training: fit, score the pool, move the confident rows over, repeat.
 
+The pool is written once, with a number for each row. A round leaves a table of row numbers, labels and whether they were
+taken, then one line in the log; features are never written again. A driver that starts over on the same folder reads the
+log and goes on after its last line.
+"""
+
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,7 +16,8 @@ from tamarack.functions.vocab import CONFIDENCE, MAX_ROUNDS, SEED, TREES
 from tamarack.operators.features import class_index, class_weight, preprocessor_of
 from tamarack.operators.models import random_forest, top_class, with_top_class
 from tamarack.operators.training import figures_of
-from tamarack.session import written
+from tamarack.session import discard, shared_folder, written
+from tamarack.sources.stages import is_complete, write_table
 
 Scorer = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
 LOG_SCHEMA = (
@@ -30,22 +37,73 @@ class SelfTraining:
         return self.labelled.filter("origin = 'pseudo'")
 
 
+class Rounds:
+    """What the rounds of one self-training have left in its folder."""
+
+    def __init__(self, folder: str, gold: DataFrame, pool: DataFrame, label: str):
+        self.spark, self.folder, self.label = gold.sparkSession, folder, label
+        self.kind = gold.schema[label].dataType.simpleString()
+        for name, rows in (("gold", gold), ("pool", pool.withColumn("_row", F.monotonically_increasing_id()))):
+            if not is_complete(self.spark, f"{folder}/{name}"):
+                write_table(rows, f"{folder}/{name}")
+        self.gold, self.pool = (self.spark.read.parquet(f"{folder}/{name}") for name in ("gold", "pool"))
+
+    def log(self) -> list[tuple]:
+        """The finished rounds, in order. A line is written after its round's table, so the table is whole."""
+        if not is_complete(self.spark, f"{self.folder}/log"):
+            return []
+        return sorted(tuple(row) for row in self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.folder}/log").collect())
+
+    def finish(self, line: tuple) -> None:
+        self.spark.createDataFrame([line], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
+
+    def table(self, number: int) -> DataFrame:
+        return self.spark.read.schema(f"_row bigint, {self.label} {self.kind}, _taken boolean").parquet(f"{self.folder}/round-{number}")
+
+    def write(self, number: int, scored: DataFrame) -> DataFrame:
+        """A table that an earlier driver left without a line in the log is written again."""
+        write_table(scored.select("_row", self.label, "_taken"), f"{self.folder}/round-{number}")
+        return self.table(number)
+
+    def known(self, upto: int) -> DataFrame:
+        """The pool with the label and the round of the rows taken so far, null for the others."""
+        taken = self.spark.createDataFrame([], f"_row bigint, {self.label} {self.kind}, round int")
+        for number in range(1, upto + 1):
+            taken = taken.unionAll(self.table(number).filter("_taken").select("_row", self.label, F.lit(number).alias("round")))
+        return self.pool.join(taken, "_row", "left")
+
+    def labelled(self, upto: int, columns: list[str]) -> DataFrame:
+        gold = self.gold.select(*columns, F.lit("gold").alias("origin"), F.lit(0).alias("round"))
+        if not upto:
+            return gold
+        return gold.unionByName(self.known(upto).filter("round is not null").select(*columns, F.lit("pseudo").alias("origin"), "round"))
+
+
 def self_train(
     gold: DataFrame, pool: DataFrame, row_id: str, label: str, features: list[str], scorer: Scorer,
-    threshold: float = CONFIDENCE, max_rounds: int = MAX_ROUNDS,
+    threshold: float = CONFIDENCE, max_rounds: int = MAX_ROUNDS, folder: str | None = None,
 ) -> SelfTraining:
-    """Each round writes the scored pool once to the shared folder: the counts, the new labels and the next pool are
-    all read from it, so no round recomputes an earlier one, even after losing executors."""
-    labelled = written(
-        gold.select(row_id, *features, label, F.lit("gold").alias("origin"), F.lit(0).alias("round")), "gold"
-    )
-    remaining, total, log, ended = pool.select(row_id, *features), labelled.count(), [], "last round"
-    for number in range(1, max_rounds + 1):
+    """The rounds, under ``folder`` (shared; a new one if not given). Row ids need not be unique.
+
+    Nothing recomputes an earlier round, even after losing executors or the driver.
+    """
+    columns = [row_id, *features, label]
+    rounds = Rounds(folder or f"{shared_folder(gold.sparkSession)}/self-training-{uuid.uuid4().hex}", gold.select(*columns), pool.select(row_id, *features), label)
+    log, ended = rounds.log(), "last round"
+    total = log[-1][2] if log else rounds.gold.count()
+    if log and log[-1][3] == 0:
+        ended = "pool empty"
+    for number in range(len(log) + 1, max_rounds + 1):
+        if ended == "pool empty":
+            break
+        done = number - 1
+        labelled = written(rounds.labelled(done, columns), "labelled") if done else rounds.labelled(0, columns)
         score = scorer(labelled)
+        remaining = rounds.known(done).filter("round is null").drop(label, "round") if done else rounds.pool
         taken = F.coalesce(F.col("_confidence") >= threshold, F.lit(False))
-        scored = written(
-            score(remaining).select(row_id, *features, F.col("_pred_class").alias(label), taken.alias("_taken")), f"round-{number}"
-        )
+        scored = rounds.write(number, score(remaining).select("_row", F.col("_pred_class").alias(label), taken.alias("_taken")))
+        if done:
+            discard(labelled)
         # At most two rows per class.
         counts = scored.groupBy("_taken", label).count().collect()
         added = {row[label]: row["count"] for row in counts if row["_taken"]}
@@ -56,14 +114,12 @@ def self_train(
         left = sum(row["count"] for row in counts if not row["_taken"])
         ordered = dict(sorted(added.items(), key=lambda item: (-item[1], item[0])))
         log.append((number, sum(added.values()), total, left, str(ordered)))
-        labelled = labelled.unionByName(
-            scored.filter("_taken").select(row_id, *features, label, F.lit("pseudo").alias("origin"), F.lit(number).alias("round"))
-        )
-        remaining = scored.filter("not _taken").select(row_id, *features)
+        rounds.finish(log[-1])
         if left == 0:
             ended = "pool empty"
-            break
-    return SelfTraining(labelled, remaining, gold.sparkSession.createDataFrame(log, LOG_SCHEMA), ended)
+    labelled = written(rounds.labelled(len(log), columns), "labelled")
+    remaining = rounds.known(len(log)).filter("round is null") if log else rounds.pool
+    return SelfTraining(labelled, remaining.select(row_id, *features), gold.sparkSession.createDataFrame(log, LOG_SCHEMA), ended)
 
 
 def forest_scorer(
@@ -75,7 +131,9 @@ def forest_scorer(
         figures = figures_of(labelled, numeric, categorical, label)
         preprocessor = preprocessor_of(figures, labelled, categorical)
         weighted = labelled.withColumn("_weight", class_weight(figures.labels, label)).withColumn("_class", class_index(label, classes))
-        forest = random_forest(trees, depth, seed).fit(preprocessor.transform(weighted))
+        ready = written(preprocessor.transform(weighted).select("features", "_class", "_weight"), "training")
+        forest = random_forest(trees, depth, seed).fit(ready)
+        discard(ready)
         return lambda rows: with_top_class(forest.transform(preprocessor.transform(rows)), classes)
 
     return fit

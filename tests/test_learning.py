@@ -103,6 +103,45 @@ def test_self_training_stops(spark):
     assert [(r.id, r.label, r.round) for r in exact.pseudo.collect()] == [(20, "a", 1)]
 
 
+class Killed(Exception):
+    pass
+
+
+def test_self_training_goes_on_after_a_lost_driver(spark, tmp_path):
+    """The driver goes after round 2, and once more in the middle of round 3; ids repeat, and one row has none."""
+    gold_rows = spark.createDataFrame([(i, f"c{i % 7}", "a" if i % 3 else "b") for i in range(60)], "id int, cell string, label string")
+    made = [(100 + i // 2, f"c{i % 9}") for i in range(200)] + [(None, "c1"), (None, "c8")]
+    pool_rows = spark.createDataFrame(made, "id int, cell string")
+
+    def scorer(upto):
+        """Round n takes the cells up to n; the driver is lost after round ``upto``."""
+        def fit(labelled):
+            number = labelled.agg(F.max("round")).first()[0] + 1
+            if number > upto:
+                raise Killed
+            share = F.when(F.expr("substring(cell, 2)").cast("int") <= number, 0.9).otherwise(0.1)
+            return lambda rows: rows.withColumns({"_pred_class": F.when(F.col("cell") == "c1", "a").otherwise("b"), "_confidence": share})
+        return fit
+
+    def train(folder, upto):
+        return selftrain.self_train(gold_rows, pool_rows, "id", "label", ["cell"], scorer(upto), 0.5, 5, str(tmp_path / folder))
+
+    whole = train("whole", 99)
+    with pytest.raises(Killed):
+        train("lost", 2)
+    assert len(selftrain.Rounds(str(tmp_path / "lost"), gold_rows, pool_rows, "label").log()) == 2
+    # Round 3 was written, its line in the log was not.
+    spark.range(3).select(F.col("id").alias("_row"), F.lit("b").alias("label"), F.lit(True).alias("_taken")).write.parquet(str(tmp_path / "lost" / "round-3"))
+    again = train("lost", 99)
+    for part in ("log", "labelled", "remaining"):
+        assert sorted(map(repr, getattr(again, part).collect())) == sorted(map(repr, getattr(whole, part).collect())), part
+    assert again.ended == whole.ended == "last round" and whole.log.count() == 5
+    assert again.labelled.count() + again.remaining.count() == 60 + 202
+    finished = train("lost", 0)  # nothing is left to do
+    assert sorted(map(repr, finished.labelled.collect())) == sorted(map(repr, whole.labelled.collect()))
+    assert not {"cell", "id"} & set(spark.read.parquet(str(tmp_path / "lost" / "round-1")).columns)
+
+
 @pytest.mark.parametrize("nested", [False, True])
 def test_phases(gold, pool, nested):
     setting = experiment.Setting(folds=2, trees=4, depth=3, threshold=0.7, max_rounds=1)
