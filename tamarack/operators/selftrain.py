@@ -55,7 +55,8 @@ class Rounds:
         return sorted(tuple(row) for row in self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.folder}/log").collect())
 
     def finish(self, line: tuple) -> None:
-        self.spark.createDataFrame([line], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
+        values = [F.lit(value).cast(kind).alias(name) for value, (name, kind) in zip(line, (field.split() for field in LOG_SCHEMA.split(", ")))]
+        self.spark.range(1, numPartitions=1).select(*values).write.mode("append").parquet(f"{self.folder}/log")
 
     def table(self, number: int) -> DataFrame:
         return self.spark.read.schema(f"_row bigint, {self.label} {self.kind}, _taken boolean").parquet(f"{self.folder}/round-{number}")
