@@ -146,14 +146,16 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.col("_domain").alias("domain"), "lang", "source", F.col("_tokens").alias("tokens"), F.col("_copies").alias("epochs"))
 
 
+#: Rounds of the SQL, which has no test for their end; longer chains of hosts would need more.
+SQL_ROUNDS = 40
+
+
 def urls_sql(how: urlfilter.Propagation = urlfilter.Propagation(), rules=urlfilter.RULES) -> str:
     host = r"translate(regexp_extract(coalesce({0}, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
     fits = ", ".join(f"('{r.name()}', '{r.verdict}', '{r.host}', '{r.path}')" for r in rules)
     rounds = "".join(f""",
-s{i + 1} as materialized (
-  select kind, host, coalesce(seed, 0) * {1 - how.damping!r} + coalesce(flow, 0) * {how.damping!r} as score
-  from seeds full join (select s.kind, dst as host, sum(score * part) as flow from s{i} s join steps t on s.kind = t.kind and s.host = t.src group by all) using (kind, host)
-)""" for i in range(how.rounds))
+s{i + 1} as materialized (select s.kind, dst as host, sum(score * part) * {how.damping!r} as score from s{i} s join steps t on s.kind = t.kind and s.host = t.src group by all)""" for i in range(SQL_ROUNDS))
+    sums = " union all ".join(f"select * from s{i}" for i in range(SQL_ROUNDS + 1))
     return rf"""
 with rules as (select * from (values {fits}) v(name, verdict, host, path)),
 parts as (select row_number() over () as nth, page_id, html, {host('url')} as host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path from pages),
@@ -167,14 +169,15 @@ ruled as (
   select src, dst, count(*) as links from (
     select src, case when regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') then {host('link')} when starts_with(link, '//') then {host("('x:' || link)")}
       when regexp_matches(link, '^(#|[A-Za-z][A-Za-z0-9+.-]*:)') then '' else src end as dst from links
-  ) where dst <> '' group by all
+  ) where dst <> '' and dst <> src group by all
 ), both_ways as (select 'trust' as kind, src, dst, links from edges union all select 'distrust', dst, src, links from edges),
 steps as materialized (select kind, src, dst, links / sum(links) over (partition by kind, src) as part from both_ways),
 seeds as materialized (
   select kind, host, n / sum(n) over () as seed from (select case when verdict = 'allow' then 'trust' else 'distrust' end as kind, host, count(*) as n from ruled where rule is not null group by all)
 ), s0 as materialized (select kind, host, seed as score from seeds){rounds},
-scores as (select host, sum(case when kind = 'trust' then score else 0 end) as trust, sum(case when kind = 'distrust' then score else 0 end) as distrust from s{how.rounds} group by host)
-select page_id, r.host, path, rule, coalesce(verdict, case when distrust > trust * {how.ratio * (1 + how.margin)!r} then 'block' else 'allow' end) as verdict
+scaled as (select kind, host, sum(score) * (select sum(seed) from seeds where seeds.kind = a.kind) / sum(sum(score)) over (partition by kind) as score from ({sums}) a group by kind, host),
+scores as (select host, sum(case when kind = 'trust' then score else 0 end) as trust, sum(case when kind = 'distrust' then score else 0 end) as distrust from scaled group by host)
+select page_id, r.host, path, rule, coalesce(verdict, case when distrust > trust * {how.ratio * (1 + how.margin)!r} and distrust > {how.tolerance!r} then 'block' else 'allow' end) as verdict
 from ruled r left join scores using (host)
 """
 

@@ -1,8 +1,10 @@
 """URL filter: host rules first, then propagation over the link graph.
 
 Trust flows along links from the hosts of allowed pages, distrust against them from the hosts of blocked pages, each
-a personalised PageRank over host edges computed by Spark. A page without a rule of its own is blocked where its
-host's distrust exceeds its trust.
+a personalised PageRank over host edges computed by Spark: what reaches a host without links to other hosts goes back to
+the seeds, so each kind keeps its whole mass. Rounds go on until one brings no more than
+``tolerance``, at most ``log(tolerance) / log(damping)`` of them, however long the chains of links. A page without a rule of its own is blocked
+where its host's distrust exceeds its trust, and the tolerance.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to ``?``,
 ``#`` or the end. Rows: a null url, or one without ``://``, has an empty host and path, no rule and no links, and is
@@ -10,6 +12,7 @@ allowed; a null html has no links; repeated rows are rows of their own and their
 gives an empty one; other columns are ignored.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 from tamarack.llm.scratch import Scratch
 
 SALTS = 16
+#: Rounds whose tables are summed into one.
+ROUNDS_PER_SUM = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,11 +42,15 @@ RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("
 @dataclass(frozen=True)
 class Propagation:
     damping: float = 0.85
-    rounds: int = 20
+    tolerance: float = 1e-9
     #: A host is blocked if its distrust exceeds ``ratio`` times its trust by more than ``margin``.
     ratio: float = 1.0
     margin: float = 1e-9
 
+    def most_rounds(self) -> int:
+        """Each round brings at most ``damping`` times what the last one brought."""
+        return math.ceil(math.log(self.tolerance) / math.log(self.damping))
+
 
 def host_of(url: Column) -> Column:
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?s:.*?)://([^/?#]*)", 1), UPPER, LOWER)
@@ -68,32 +77,37 @@ def judged_urls(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """src, dst, links: how many links lead from pages of one ``_host`` to another; a relative link stays on its host."""
+    """src, dst, links: how many links lead from pages of one ``_host`` to another host."""
     links = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""), 1)
     found = pages.select(F.col("_host").alias("src"), F.explode(links).alias("link")).where("src <> ''")
     absolute = F.col("link").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://")
     target = F.when(absolute, host_of(F.col("link"))).when(F.col("link").startswith("//"), host_of(F.concat(F.lit("x:"), F.col("link")))).when(
         F.col("link").rlike(r"^(#|[A-Za-z][A-Za-z0-9+.-]*:)"), F.lit("")).otherwise(F.col("src"))
-    return found.select("src", target.alias("dst")).where("dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("links"))
+    return found.select("src", target.alias("dst")).where("dst <> '' and dst <> src").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
 def propagated(edges: DataFrame, seeds: DataFrame, how: Propagation, scratch: Scratch) -> DataFrame:
     """kind, host, score: a personalised PageRank of each kind, over edges (kind, src, dst, links), from seeds (kind, host, seed).
 
-    What reaches a host without outgoing links ends there. Each round is written: a lost executor costs a part of
-    one round.
+    A round carries on what the last one brought, so chains without cycles end by themselves. Where links carry nothing
+    on, mass goes back to the seeds; all that comes of it is in proportion to what came of the seeds, so the sums are
+    scaled to the seeds' mass in the end. Each round is written: a lost executor costs a part of one round.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("links").alias("out_links"))
-    steps = scratch.write(edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("links") / F.col("out_links")).alias("part")), "steps")
-    scores = seeds.select("kind", "host", F.col("seed").alias("score"))
-    for i in range(how.rounds):
-        flow = scores.join(steps, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("part")).alias("flow"))
-        scores = scratch.write(seeds.join(flow, ["kind", "host"], "full").select(
-            "kind", "host", (F.coalesce("seed", F.lit(0.0)) * (1 - how.damping) + F.coalesce("flow", F.lit(0.0)) * how.damping).alias("score"),
-        ), f"round-{i}")
-        if i:
-            scratch.drop(f"round-{i - 1}")
-    return scores
+    steps = scratch.write(edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("links") / F.col("out_links") * how.damping).alias("part")), "steps")
+    brought = scratch.write(seeds.select("kind", "host", F.col("seed").alias("score")), "round-0")
+    sums = brought
+    for i in range(1, how.most_rounds() + 1):
+        flow = brought.join(steps, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host")).agg(F.sum(F.col("score") * F.col("part")).alias("score"))
+        brought = scratch.write(flow, f"round-{i}")
+        if (brought.agg(F.sum("score")).first()[0] or 0.0) <= how.tolerance:
+            break
+        sums = sums.unionAll(brought)
+        if i % ROUNDS_PER_SUM == 0:
+            sums = scratch.write(sums.groupBy("kind", "host").agg(F.sum("score").alias("score")), f"sum-{i}")
+    scores = scratch.write(sums.groupBy("kind", "host").agg(F.sum("score").alias("score")), "scores")
+    masses = seeds.groupBy("kind").agg(F.sum("seed").alias("mass")).join(scores.groupBy("kind").agg(F.sum("score").alias("all")), "kind")
+    return scores.join(F.broadcast(masses), "kind").select("kind", "host", (F.col("score") * F.col("mass") / F.col("all")).alias("score"))  # two rows
 
 
 def host_scores(judged: DataFrame, how: Propagation = Propagation()) -> DataFrame:
@@ -109,7 +123,7 @@ def host_scores(judged: DataFrame, how: Propagation = Propagation()) -> DataFram
     total = counts.agg(F.sum("n").alias("total"))  # one row
     seeds = scratch.write(counts.join(F.broadcast(total)).select("kind", "host", (F.col("n") / F.col("total")).alias("seed")), "seeds")
     scores = propagated(edges, seeds, how, scratch)
-    scratch.drop("edges", "ruled", "seeds", "steps")
+    scratch.drop("edges", "steps")
     of = lambda name: F.sum(F.when(F.col("kind") == name, F.col("score")).otherwise(0.0)).alias(name)
     return scores.groupBy("host").agg(of("trust"), of("distrust"))
 
@@ -120,7 +134,7 @@ def filtered_urls(pages: DataFrame, rules=RULES, how: Propagation = Propagation(
     Blocked hosts meet their pages under ``SALTS`` keys each, so the pages of a hot host go to as many tasks.
     """
     judged = judged_urls(pages, rules)
-    blocked = host_scores(judged, how).where(F.col("distrust") > F.col("trust") * how.ratio * (1 + how.margin))
+    blocked = host_scores(judged, how).where((F.col("distrust") > F.col("trust") * how.ratio * (1 + how.margin)) & (F.col("distrust") > how.tolerance))
     salted = blocked.select(F.col("host").alias("_bad"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_bad_salt"))
     salt = F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int")
     met = judged.withColumn("_salt", salt).join(salted, (F.col("_host") == F.col("_bad")) & (F.col("_salt") == F.col("_bad_salt")), "left")
