@@ -6,23 +6,27 @@ epochs; what it cannot take goes to its siblings, and only when all of them are
 epochs and a prefix of one more, ordered by a hash of seed, epoch and doc_id.
 
 A prefix is found in two steps: totals per slice of the hash, then rows only within the one slice it ends in, so a
-leaf with a third of all rows is never ordered by one task. Only DataFrame functions are used.
+leaf with a third of all rows is never ordered by one task; there are as many slices as keep one to ``SLICE_ROWS`` rows
+at any size. Leaves that the tree names are broadcast, as its size is the parameter's; leaves that follow from the rows
+(``others``) meet them by a join that splits hot leaves. Only DataFrame functions are used.
 
 Rows: null or empty texts hold no tokens and go along where their place is before the prefix's end; leaves that the
 weights do not name (a null language or source, say) get no budget, or that of the weight ``others``; repeated rows are rows of their own, ties of the
 hash are ordered by tokens and a digest of the text; an empty table gives an empty one; other columns pass.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tamarack.llm.joins import attach
 from tamarack.llm.scratch import Scratch
 
 LEVELS = ("domain", "lang", "source")
-#: Hex digits of the hash that name a slice: 4096 slices of each leaf.
-SLICE_DIGITS = 3
+#: Rows of a slice of the largest leaf, about.
+SLICE_ROWS = 4096
 
 #: weight and children of each domain: weight and children of each language: weight of each source
 Tree = dict[str, tuple[float, dict[str, tuple[float, dict[str, float]]]]]
@@ -58,6 +62,15 @@ def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(F.broadcast(right), same, how).drop(*[f"_of_{k}" for k in keys])
 
 
+def met(rows: DataFrame, table: DataFrame, keys: list[str], mix: Mix, size: int) -> DataFrame:
+    """``matched`` on the left, for a table of leaves with their ``_rows`` that need not be small; ``size`` counts all rows."""
+    if mix.others is None:
+        return matched(rows, table.drop("_rows"), keys, "left")
+    keyed = rows.withColumn("_leaf", F.struct(*keys))  # a struct, in which null equals null
+    facts = table.select(F.struct(*keys).alias("_leaf"), *[c for c in table.columns if c not in keys])
+    return attach(keyed, facts, "_leaf", "_rows", size, "_text").drop("_leaf", "_rows")
+
+
 def weighted(totals: DataFrame, mix: Mix) -> DataFrame:
     """The leaves that rows hold, with the weights on their path: those of the tree, and others where they have a weight."""
     leaves = named_leaves(totals.sparkSession, mix.tree)
@@ -98,7 +111,8 @@ def leaf_budgets(held: DataFrame, mix: Mix) -> DataFrame:
     budgets = leaves.groupBy("root").agg(F.least(F.sum("held") * mix.share, F.sum("capacity")).alias("budget"))
     for i in range(len(LEVELS)):
         budgets = shared(budgets, nodes[i], i)
-    return matched(budgets, leaves.select(*LEVELS, "held"), list(LEVELS)).drop("root")
+    held = leaves.select("held", *[F.col(c).alias(f"_of_{c}") for c in LEVELS])
+    return budgets.join(held, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in LEVELS]).select(*LEVELS, "held", "capacity", "budget")
 
 
 def measured(documents: DataFrame, domain: Column) -> DataFrame:
@@ -113,44 +127,54 @@ def place(seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
 
 
-def prefix_ends(documents: DataFrame, domain: Column, mix: Mix, scratch: Scratch) -> DataFrame:
-    """One row per leaf that gets a budget: whole epochs, and the last row of the prefix of one more epoch."""
+def prefix_ends(documents: DataFrame, domain: Column, mix: Mix, scratch: Scratch) -> tuple[DataFrame, int]:
+    """One row per leaf that gets a budget: whole epochs, and the last row of the prefix of one more epoch; and the rows of all."""
     rows = scratch.write(measured(documents, domain).select("doc_id", "_domain", "lang", "source", "_tokens", "_text"), "measured")
-    totals = rows.groupBy(F.col("_domain").alias("domain"), "lang", "source").agg(F.sum("_tokens").alias("held"))
-    budgets = leaf_budgets(weighted(totals, mix), mix)
+    totals = rows.groupBy(F.col("_domain").alias("domain"), "lang", "source").agg(F.sum("_tokens").alias("held"), F.count("*").alias("_rows"))
+    totals = scratch.write(totals, "totals")
+    largest, size = totals.agg(F.max("_rows"), F.sum("_rows")).first()
+    digits = max(1, math.ceil(math.log((largest or 1) / SLICE_ROWS + 1, 16)))
+    budgets = leaf_budgets(weighted(totals.drop("_rows"), mix), mix)
     # Whole tokens, so that rounding of the shares decides nothing.
     whole = F.floor(F.col("budget") + 1e-6)
+    leaf = ["_domain", "lang", "source"]
+    counted = totals.select(F.col("domain").alias("_domain"), "lang", "source", "_rows")
+    same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in leaf]
     plan = scratch.write(budgets.where("held > 0").select(
         F.col("domain").alias("_domain"), "lang", "source", "held", whole.alias("budget"), F.floor(whole / F.col("held")).alias("_epochs"), (whole % F.col("held")).alias("_part"),
-    ), "budgets")
-    leaf = ["_domain", "lang", "source"]
-    # The plan has one row per leaf: its size is the parameter's, or the number of the rows' leaves with ``others``.
-    keyed = matched(rows, plan, leaf).withColumn("_place", place(mix.seed)).withColumn("_slice", F.substring("_place", 1, SLICE_DIGITS))
+    ).join(counted.withColumnsRenamed({c: f"_of{c}" for c in leaf}), same).select(*leaf, "_epochs", "_part", "_rows"), "budgets")
+    keyed = met(rows, plan, leaf, mix, size or 0).where("_part is not null")
+    keyed = keyed.withColumn("_place", place(mix.seed)).withColumn("_slice", F.substring("_place", 1, digits))
     slices = keyed.groupBy(*leaf, "_slice").agg(F.sum("_tokens").alias("in_slice"), F.max("_part").alias("_part"))
     running = Window.partitionBy(*leaf).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     reached = slices.withColumn("before", F.coalesce(F.sum("in_slice").over(running), F.lit(0)))
     last = reached.where("before < _part and before + in_slice >= _part").groupBy(*leaf).agg(F.max(F.struct("_slice", "before")).alias("last")).select(*leaf, "last.*")
-    at_end = matched(keyed, last, [*leaf, "_slice"])
+    if mix.others is None:
+        at_end = matched(keyed, last, [*leaf, "_slice"])
+    else:
+        ends = last.join(counted.withColumnsRenamed({c: f"_of{c}" for c in leaf}), same).select(*leaf, F.col("_slice").alias("_last"), "before", "_rows")
+        at_end = met(keyed, ends, leaf, mix, size or 0).where("_slice = _last")
     in_slice = Window.partitionBy(*leaf).orderBy("_place", "_tokens", "_text").rowsBetween(Window.unboundedPreceding, -1)
     end = at_end.withColumn("ahead", F.col("before") + F.coalesce(F.sum("_tokens").over(in_slice), F.lit(0))).where("ahead < _part")
     ends = end.groupBy(*leaf).agg(F.max(F.struct("_place", "_tokens", "_text")).alias("_end"))
-    return scratch.write(matched(plan, ends, leaf, "left").select(*leaf, "_epochs", "_end"), "ends")
+    joined = plan.join(ends.withColumnsRenamed({c: f"_of{c}" for c in leaf}), same, "left")
+    return scratch.write(joined.select(*leaf, "_epochs", "_end", "_rows"), "ends"), size or 0
 
 
 def mixed(documents: DataFrame, domain: Column, mix: Mix) -> DataFrame:
-    """The table with ``_domain``, ``_tokens`` and ``_copies`` (replacing columns of these names, ``_epochs``, ``_end``
-    and ``_text``): in how many epochs of its leaf the row is taken.
+    """The table with ``_domain``, ``_tokens`` and ``_copies`` (replacing columns of these names, ``_epochs``, ``_end``,
+    ``_leaf``, ``_rows`` and ``_text``): in how many epochs of its leaf the row is taken.
 
-    A prefix is the shortest run of rows that holds the leaf's budget. No row is shuffled for the last step.
+    A prefix is the shortest run of rows that holds the leaf's budget.
     """
     scratch = Scratch(documents.sparkSession, "mixing")
-    ends = prefix_ends(documents, domain, mix, scratch)
-    scratch.drop("measured", "budgets")
-    rows = measured(documents.drop("_epochs", "_end", "_copies"), domain).transform(matched, ends, ["_domain", "lang", "source"], "left")
+    ends, size = prefix_ends(documents, domain, mix, scratch)
+    scratch.drop("measured", "budgets", "totals")
+    rows = met(measured(documents.drop("_epochs", "_end", "_copies", "_leaf", "_rows"), domain), ends, ["_domain", "lang", "source"], mix, size)
     here = F.struct(place(mix.seed).alias("_place"), "_tokens", "_text")
     copies = F.coalesce("_epochs", F.lit(0)) + F.coalesce((here <= F.col("_end")).cast("long"), F.lit(0))
     added = ("_domain", "_tokens", "_copies")
-    return rows.select(*[c for c in documents.columns if c not in (*added, "_epochs", "_end", "_text")], "_domain", "_tokens", copies.alias("_copies"))
+    return rows.select(*[c for c in documents.columns if c not in (*added, "_epochs", "_end", "_leaf", "_rows", "_text")], "_domain", "_tokens", copies.alias("_copies"))
 
 
 def in_epochs(rows: DataFrame) -> DataFrame:

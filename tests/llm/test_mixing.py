@@ -68,6 +68,22 @@ def test_same_as_brute_force(spark, portion, epochs):
     assert mixing.in_epochs(got).columns == ["doc_id", "text", "lang", "source", "domain", "budget"]
 
 
+@pytest.mark.parametrize("rows_per_slice", [5, 4096])
+def test_leaves_of_the_rows_meet_them_without_a_broadcast(spark, monkeypatch, rows_per_slice):
+    """With ``others`` every leaf of the rows has a weight; a leaf of most rows, thin slices, clashing names."""
+    monkeypatch.setattr(mixing, "SLICE_ROWS", rows_per_slice)
+    rows, df = table(spark)
+    named = {k: {l: dict(s) for l, (_, s) in langs.items()} for k, (_, langs) in TREE.items()}
+    tree = {}
+    for r in rows:  # the tree spelled out, for brute force
+        dw, langs = TREE.get(r["domain"], (2.0, {}))
+        lw, sources = langs.get(r["lang"], (2.0, {}))
+        tree.setdefault(r["domain"], (dw, {}))[1].setdefault(r["lang"], (lw, {}))[1][r["source"]] = named.get(r["domain"], {}).get(r["lang"], {}).get(r["source"]) or 2.0  # a weight of 0 names nothing
+    got = mixing.mixed(df.withColumn("_leaf", F.lit("clash")).withColumn("_rows", F.lit(1)), F.col("domain"), mixing.Mix(TREE, 1.4, 3, 3, others=2.0))
+    assert got.columns == ["doc_id", "text", "lang", "source", "domain", "_domain", "_tokens", "_copies"]
+    assert sorted((tuple(r) for r in got.select("doc_id", "_tokens", "_copies").collect()), key=str) == brute_force(rows, mixing.Mix(tree, 1.4, 3, 3))
+
+
 def test_shortage_goes_to_siblings_first(spark):
     """b is short: its shortage goes to a, its sibling, and nothing of it to another language or domain."""
     rows = [("d1", "en", "a", 1000), ("d1", "en", "b", 10), ("d1", "de", "a", 1000), ("d2", "en", "c", 1000)]
