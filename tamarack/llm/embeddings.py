@@ -10,8 +10,10 @@
 4. Exact cosines in double precision decide. A pair counts for both sides also if only one visits the other's list. A
    list's members and visitors are worked off in blocks, so a hot list is many tasks; pairs are never written out.
 
-Rows: vectors that are null, empty, zero, hold null or non-finite components, or have another length than the sample's
-most frequent one link with nothing; repeated rows and equal vectors are links and count each; an empty table gives an
+Vectors of different lengths never link. Each usual length has codebooks of its own; the vectors of a rare length are one
+list, in which all are compared exactly, block by block.
+
+Rows: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; repeated rows and equal vectors are links and count each; an empty table gives an
 empty one; other columns are ignored.
 """
 
@@ -28,10 +30,16 @@ from tamarack.llm.scratch import Scratch
 from tamarack.llm.workers import prepare
 
 
+#: Of a list's number, the bits that tell it from others of the same length.
+LIST_BITS = 32
+
+
 @dataclass(frozen=True)
 class Setting:
     threshold: float = 0.9
     per_list: int = 256  # vectors wanted per list
+    usual: int = 1000  # a length that one in so many vectors has gets codebooks,
+    least_coded: int = 4096  # and so does one of so many vectors
     most_centroids: int = 4096  # of each half
     sample_per_centroid: int = 64  # the sample is centroids x this, 262,144 at most
     codewords: int = 64
@@ -156,36 +164,45 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def fitted(nodes: DataFrame, n: int, how: Setting) -> Quantiser | None:
-    """Codebooks from a sample of the nodes drawn by hash; its size is bounded by the Setting."""
+def fitted(nodes: DataFrame, n: int, how: Setting) -> Quantiser:
+    """Codebooks from a sample of ``n`` nodes of one length, drawn by hash; its size is bounded by the Setting."""
     lists = int(min(max(np.ceil(np.sqrt(n / how.per_list)), 1), how.most_centroids))
     sample = nodes.orderBy("node").limit(lists * how.sample_per_centroid).select("vector", F.lit(1).alias("one"))
 
     def work(table):
-        vectors = table["vector"].to_pylist()
-        length = np.bincount([len(v) for v in vectors]).argmax()
-        made = Quantiser.of(unit(np.array([v for v in vectors if len(v) == length], np.float64)), lists, how)
+        made = Quantiser.of(unit(matrix(table["vector"])), lists, how)
         flat = [b.astype("<f8") for b in [*made.halves, *made.words]]
         return pa.table({"number": pa.array(range(len(flat)), pa.int32()), "rows": pa.array([len(b) for b in flat], pa.int32()), "book": pa.array([b.tobytes() for b in flat], pa.binary())})
 
     made = sorted(sample.groupBy("one").applyInArrow(work, "number int, rows int, book binary").collect())
-    if not made:
-        return None
     books = [np.frombuffer(r["book"], "<f8").reshape(r["rows"], -1) for r in made]
     width = sum(b.shape[1] for b in books) // 2
     halves = 2 if width > 1 else 1
     return Quantiser(books[:halves], books[halves:], how)
 
 
+def quantisers(nodes: DataFrame, how: Setting) -> dict[int, Quantiser]:
+    """Of each usual length, with as many visits as it needs. The driver loops over these lengths."""
+    counts = nodes.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("n"))
+    total = nodes.count()
+    usual = counts.where((F.col("n") * how.usual >= total) | (F.col("n") >= how.least_coded))
+    out = {}
+    for row in usual.orderBy("length").collect():
+        own = nodes.where(F.size("vector") == row["length"])
+        made = fitted(own, row["n"], how)
+        made.how = replace(how, probes=probes_for(own, made, row["length"], how))
+        out[row["length"]] = made
+    return out
+
+
 def probes_for(nodes: DataFrame, quantiser: Quantiser, length: int, how: Setting) -> int:
     """Visits that find ``how.recall`` of the links at the threshold: of a sample's links, and of partners made for it."""
-    drawn = nodes.where(F.size("vector") == length).orderBy(F.desc("node")).limit(how.queries).select("node", "vector").collect()  # bounded by the Setting
+    drawn = nodes.orderBy(F.desc("node")).limit(how.queries).select("node", "vector").collect()  # bounded by the Setting
     names, x = np.array([r["node"] for r in drawn]), unit(np.array([r["vector"] for r in drawn], np.float64))
 
     def work(batches):
         best = [[] for _ in names]  # cosine, node and vector of a query's links nearest the threshold
         for batch in batches:
-            batch = batch.filter(pa.compute.equal(pa.compute.list_value_length(batch["vector"]), length))
             if not len(batch):
                 continue
             y, own = unit(matrix(batch["vector"])), np.array(batch["node"].to_pylist())
@@ -214,18 +231,26 @@ def probes_for(nodes: DataFrame, quantiser: Quantiser, length: int, how: Setting
     return max([how.probes, *(int(np.quantile(n, how.recall, method="higher")) for n in needed)])
 
 
-def visits(nodes: DataFrame, shared, length: int) -> DataFrame:
-    """One row per node and list: node, copies, vector, lists (all of a member, else its own), list, member (is it the node's own?)."""
+def visits(nodes: DataFrame, shared) -> DataFrame:
+    """One row per node and list: node, copies, vector, lists (all of a member, else its own), list, member (is it the node's own?).
+
+    A list's number starts with its vectors' length; a length without codebooks is one list.
+    """
 
     def pieces(batches):
-        step = max(65536 // shared.value.how.probes, 1)  # a row becomes as many as it visits lists
         for batch in batches:
-            batch = batch.filter(pa.compute.equal(pa.compute.list_value_length(batch["vector"]), length))
-            yield from (batch.slice(i, step) for i in range(0, len(batch), step))
+            lengths = pa.compute.list_value_length(batch["vector"])
+            for length in pa.compute.unique(lengths).to_pylist():
+                quantiser = shared.value.get(length)
+                same = batch.filter(pa.compute.equal(lengths, length))
+                step = max(65536 // (quantiser.how.probes if quantiser else 1), 1)  # a row becomes as many as it visits lists
+                for i in range(0, len(same), step):
+                    yield length, quantiser, same.slice(i, step)
 
     def made(batches):
-        for batch in pieces(batches):
-            lists = shared.value.lists(unit(matrix(batch["vector"]))).astype(np.int64)
+        for length, quantiser, batch in pieces(batches):
+            lists = quantiser.lists(unit(matrix(batch["vector"]))).astype(np.int64) if quantiser else np.zeros((len(batch), 1), np.int64)
+            lists = lists + (length << LIST_BITS)
             each = np.repeat(np.arange(len(batch)), lists.shape[1])
             rows = batch.take(pa.array(each))
             member = np.tile(np.arange(lists.shape[1]) == 0, len(batch))
@@ -250,7 +275,7 @@ def in_cells(rows: DataFrame, how: Setting) -> DataFrame:
     return visitors.unionByName(members)
 
 
-def linked(table: pa.Table, own: int, quantiser: Quantiser, how: Setting) -> pa.Table:
+def linked(table: pa.Table, own: int, quantiser: Quantiser | None, how: Setting) -> pa.Table:
     """node, root, links of a cell: links found here of each node, in rows, and a node it hangs together with."""
     visits = table["visits"].to_numpy(zero_copy_only=False)
     empty = pa.table({"node": pa.array([], pa.string()), "root": pa.array([], pa.string()), "links": pa.array([], pa.int64())})
@@ -258,11 +283,13 @@ def linked(table: pa.Table, own: int, quantiser: Quantiser, how: Setting) -> pa.
         return empty
     guests, members = table.filter(pa.array(visits)), table.filter(pa.array(~visits))
     x, y = unit(matrix(guests["vector"])), unit(matrix(members["vector"]))
-    home = quantiser.coarse(np.array([own]))
-    codes = quantiser.codes(y - home)
-    error = np.sqrt(((y - home - quantiser.decoded(codes)) ** 2).sum(1))
-    reach = np.sqrt(2 - 2 * how.threshold)
-    near = quantiser.lookup(x - home, codes) <= reach + error[None, :] + 1e-9
+    near = np.ones((len(x), len(y)), bool)
+    if quantiser is not None:
+        home = quantiser.coarse(np.array([own & ((1 << LIST_BITS) - 1)]))
+        codes = quantiser.codes(y - home)
+        error = np.sqrt(((y - home - quantiser.decoded(codes)) ** 2).sum(1))
+        reach = np.sqrt(2 - 2 * how.threshold)
+        near = quantiser.lookup(x - home, codes) <= reach + error[None, :] + 1e-9
     guest_ids, member_ids = np.array(guests["node"].to_pylist()), np.array(members["node"].to_pylist())
     near &= guest_ids[:, None] != member_ids[None, :]
     left, right = np.nonzero(near)
@@ -300,16 +327,12 @@ def near_dedup(embeddings: DataFrame, how: Setting = Setting()) -> DataFrame:
     same = lambda v: F.concat(F.hex(F.xxhash64(v)), F.lit("-"), F.hex(F.xxhash64(F.lit(how.seed), v)))
     rows = embeddings.select("vec_id", F.col("embedding").alias("vector")).withColumn("node", F.when(usable(F.col("vector")), same("vector")))
     nodes = scratch.write(rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("vector").alias("vector")), "nodes")
-    quantiser = fitted(nodes, nodes.count(), how)
-    if quantiser is None:  # no vector can link
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    length = sum(h.shape[1] for h in quantiser.halves)
-    quantiser.how = replace(how, probes=probes_for(nodes, quantiser, length, how))
-    shared = spark.sparkContext.broadcast(quantiser)  # bounded by the Setting
-    visiting = scratch.write(visits(nodes, shared, length), "visits")
+    shared = spark.sparkContext.broadcast(quantisers(nodes, how))  # each bounded by the Setting
+    visiting = scratch.write(visits(nodes, shared), "visits")
 
     def work(key, table):
-        return linked(table, key[0].as_py(), shared.value, how)
+        own = key[0].as_py()
+        return linked(table, own, shared.value.get(own >> LIST_BITS), how)
 
     cells = in_cells(visiting, how)
     found = scratch.write(cells.groupBy("list", "there", "here").applyInArrow(work, "node string, root string, links long"), "found")

@@ -44,15 +44,19 @@ def escaped_sql(text: str) -> str:
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -1, 0, 'user', '{CONTROLS}' union all select -1, 1, 'assistant', '{CONTROLS}'
+), sized as (
+  select *, length({escaped_sql('role')}) + length({escaped_sql('text')}) + 12 + 10 + 10 as chars from turns
+), placed as (
+  select *, coalesce(sum(chars) over (partition by conv_id order by turn nulls first, role, text rows between unbounded preceding and 1 preceding), 0) as start from sized
 ), whole as (
   select conv_id, count(*) as n_turns,
     string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as said,
     coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '') as loss,
-    cast(sum(length({escaped_sql('role')}) + length({escaped_sql('text')}) + 12 + 10 + 10) as bigint) as formatted_chars,
-    count(*) filter (role = 'assistant') as n_examples
-  from turns group by conv_id
+    cast(sum(chars) as bigint) as formatted_chars,
+    count(*) filter (role = 'assistant') as n_examples, cast(coalesce(sum(start) filter (role = 'assistant'), 0) as bigint) as context_chars
+  from placed group by conv_id
 )
-select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars, n_examples from whole
+select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars, n_examples, context_chars from whole
 """)
 def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")

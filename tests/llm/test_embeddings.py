@@ -1,8 +1,10 @@
 import math
 
 import numpy as np
+import pytest
 
 from tamarack.llm import embeddings
+from tamarack.llm.queries import op8_embedding_near_dedup
 
 
 def brute_force(rows, threshold=0.9):
@@ -72,5 +74,31 @@ def test_odd_rows(spark):
     assert result(spark, []) == []
 
 
+@pytest.mark.parametrize("usual", [10**6, 10, 1, 0])
+def test_vectors_of_every_length_are_searched(spark, usual):
+    """With codebooks for each length, for the most frequent one, and for none."""
+    rows = groups(20, 4, 0.1) + [(1000 + i, v) for i, v in groups(6, 3, 0.05, dims=3, seed=2)] + [(2000, [1.0]), (2001, [5.0]), (2002, [-1.0])]
+    rows += [(3000, [1.0, 0.0, 0.0]), (3001, [1.0, 0.01, 0.0])]
+    expected = brute_force(rows)
+    assert expected[-1][1] >= 1
+    assert result(spark, rows, embeddings.Setting(block=16, usual=usual, nearest=10**6, probes=10**6)) == expected
+
+
+def test_query_finds_planted_copies(spark, sf, tmp_path):
+    """The given table holds no pair at 0.9, so near copies of its vectors are added: all pairs against the query."""
+    given = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    draw = np.random.default_rng(1)
+    near = [(100_000 + i, (np.array(v) + 0.04 * np.linalg.norm(v) * draw.normal(size=len(v))).tolist()) for i, (_, v) in enumerate(given[:300])]
+    schema = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").schema
+    spark.createDataFrame(given + near, schema).write.parquet(f"{tmp_path}/embeddings.parquet")
+    stored = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect()]
+    x = embeddings.unit(np.array([v for _, v in stored], np.float64))
+    links = (x @ x.T >= 0.9).sum(1) - 1
+    got = {r.vec_id: r for r in op8_embedding_near_dedup(spark, str(tmp_path)).collect()}
+    assert links.sum() > 400 and len(got) == len(stored)
+    assert {i: got[i].n_links for i, _ in stored} == {i: n for (i, _), n in zip(stored, links)}
+    assert sum(not r.kept for r in got.values()) == sum(i >= 100_000 and n > 0 for (i, _), n in zip(stored, links))
+
+
 def test_repeated_rows(spark):
     assert result(spark, [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [2.0, 4.0])]) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
