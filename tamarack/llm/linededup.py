@@ -5,7 +5,7 @@
 2. The distinct hashes are sharded. Each shard gets a minimal perfect hash (levels of bits; a key's number is the rank
    of its bit) over arrays of fingerprints and saturated counts: about five bytes a line.
 3. The blocks' hashes probe the shards, which come first in their partition; what comes back per block are the hashes
-   to drop. Several copies of each shard share the probes, and a hash that is in every document is probed once per
+   to drop. Copies of each shard share the probes, as many as keep a copy to ``PROBES_PER_COPY``, and a hash that is in every document is probed once per
    block, so no task gets the rows of a hot line.
 4. Documents stream past their block's hashes.
 
@@ -31,7 +31,8 @@ from tamarack.llm.workers import prepare
 
 DOCUMENTS_PER_BLOCK = 2048
 KEYS_PER_SHARD = 1 << 17
-COPIES = 4
+#: Probes of one copy of a shard, about.
+PROBES_PER_COPY = 1 << 19
 LEVELS = 24
 ROOM = 1.5
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -165,8 +166,9 @@ def line_index(hashes: DataFrame, scratch: Scratch, threshold: int) -> tuple[Dat
 
 def frequent_hashes(hashes: DataFrame, index: DataFrame, shards: int, threshold: int) -> DataFrame:
     """block, h1, h2 of the lines found in ``threshold`` documents or more, by probing the shards."""
-    copies = index.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COPIES - 1).cast("long"))).alias("copy"))
-    probes = hashes.select(F.pmod("h1", F.lit(shards)).alias("shard"), F.pmod("block", F.lit(COPIES)).alias("copy"), "block", "h1", "h2")
+    n = max(1, -(-hashes.count() // (shards * PROBES_PER_COPY)))
+    copies = index.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("copy"))
+    probes = hashes.select(F.pmod("h1", F.lit(shards)).alias("shard"), F.pmod(F.xxhash64("block"), F.lit(n)).alias("copy"), "block", "h1", "h2")
     mixed = copies.unionByName(probes, allowMissingColumns=True)
     # A null block is a shard: nulls come first, so every probe finds its shard loaded.
     ordered = mixed.repartition("shard", "copy").sortWithinPartitions("shard", "copy", F.col("block").asc_nulls_first())

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -44,7 +45,9 @@ def test_rest_that_no_level_places(monkeypatch):
     assert (shard.found(keys + 1) == 0).mean() > 0.99
 
 
-def test_many_blocks_and_shards(documents, monkeypatch):
+@pytest.mark.parametrize("probes", [5, 1 << 19])
+def test_many_blocks_and_shards(documents, monkeypatch, probes):
+    monkeypatch.setattr(linededup, "PROBES_PER_COPY", probes)
     monkeypatch.setattr(linededup, "DOCUMENTS_PER_BLOCK", 7)
     monkeypatch.setattr(linededup, "KEYS_PER_SHARD", 20)
     rows = [(i, "\n".join(["Hot line ", f"own {i}", *(f"shared {j}" for j in range(8) if i % (j + 2) == 0), "", "hot LINE\t"])) for i in range(60)]

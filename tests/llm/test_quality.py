@@ -1,8 +1,13 @@
+import math
+import re
+import zlib
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tamarack.llm import quality
-from tamarack.llm.queries import op7_quality_classifier
+from tamarack.llm.queries import op7_quality_classifier, ratings
 
 
 def test_thresholds_are_ordered_and_tails_fall():
@@ -18,6 +23,59 @@ def test_thresholds_are_ordered_and_tails_fall():
     assert [round(expected[grades == g].mean()) for g in range(4)] == [0, 1, 2, 3]
 
 
+def tails_word_by_word(model, text):
+    """The docstring's means, one word and one triple at a time, in Python's own numbers."""
+    mask, size = (1 << 64) - 1, 1 << model.how.bits
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    base, raw = 0x9E3779B97F4A7C15, (text or "").encode()
+    words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode())
+    of_words = [mixed(sum((b + 1) * pow(base, k, 1 << 64) for k, b in enumerate(w)) & mask) % size for w in words]
+    of_triples = [mixed(raw[i] | raw[i + 1] << 8 | raw[i + 2] << 16) % size for i in range(len(raw) - 2)]
+    again = [0 if i == 0 else 1 + (words[i] == words[i - 1]) for i in range(len(words))]
+    score = sum(sum(float(weights[s]) for s in slots) / max(len(slots), 1) for weights, slots in zip(model.weights, (of_words, of_triples, again)))
+    return [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+
+
+def test_query_is_brute_force(spark, sf):
+    """Every row of the query from the fitted model, word by word."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    held = {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    model = quality.fit(spark.read.parquet(f"{sf}/documents.parquet"), ratings(labels.where(~F.col("doc_id").isin(list(held)))))
+    got = {r.doc_id: r for r in op7_quality_classifier(spark, sf).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        tails = tails_word_by_word(model, r.text)
+        assert got[r.doc_id].expected_grade == pytest.approx(sum(tails), abs=1e-5)
+        assert got[r.doc_id].p_good == pytest.approx(tails[0], abs=1e-5)
+        assert (got[r.doc_id].held_out, got[r.doc_id].kept) == (r.doc_id in held, got[r.doc_id].p_good >= 0.5)
+
+
+def test_a_fit_is_better_than_its_neighbours():
+    """The log likelihood of the rated texts falls when all weights shrink or grow, or a threshold moves."""
+    draw = np.random.default_rng(3)
+    grades = draw.integers(0, 3, 300)
+    texts = [" ".join(["abc"[g if draw.random() < 0.8 else draw.integers(3)]] * 2 + [f"n{draw.integers(20)}" for _ in range(6)]) for g in grades]
+    model = quality.trained(texts, grades, quality.Setting(bits=12, updates=6000))
+
+    def likelihood(weights, thresholds):
+        tails = quality.Model(weights, thresholds, model.how).tails(texts)
+        whole = np.concatenate([np.ones((len(texts), 1)), tails, np.zeros((len(texts), 1))], axis=1)
+        each = np.arange(len(texts))
+        return np.log(whole[each, grades] - whole[each, grades + 1]).sum()
+
+    best = likelihood(model.weights, model.thresholds)
+    for step in ([0.5, 0], [-0.5, 0], [0, 0.5], [0, -0.5]):
+        assert likelihood(model.weights, model.thresholds + np.array(step)) < best
+    assert likelihood(model.weights * 0.5, model.thresholds) < best
+    assert likelihood(model.weights, np.zeros(2)) < best
+
+
 def test_a_score_does_not_depend_on_the_batch():
     draw = np.random.default_rng(1)
     texts = ["alpha beta " * 5, "", None, "Gamma gamma " * 9, "x", "zeta " * 300_000]
