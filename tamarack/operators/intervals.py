@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.operators.joins import left_lookup
+
 WIDEST = 1024
 FAN = 8
 
@@ -143,8 +145,7 @@ def lifted(positions: DataFrame, blocks: DataFrame, width: int | None = None) ->
 def attach(rows: DataFrame, resolved: DataFrame, chrom: str, position: str) -> DataFrame:
     """Bring per-position results back to the rows. ``resolved`` holds each position once."""
     keyed = resolved.withColumnsRenamed({"chrom": "_chrom", "position": "_position"})
-    matches = (F.col(chrom) == F.col("_chrom")) & (F.col(position) == F.col("_position"))
-    return rows.join(keyed, matches, "left").drop("_chrom", "_position")
+    return left_lookup(rows, keyed, {chrom: "_chrom", position: "_position"})
 
 
 def with_scores(rows: DataFrame, track: DataFrame, chrom: str, position: str, name: str, width: int | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import stripped
+from tamarack.operators.joins import left_lookup
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -67,5 +68,4 @@ def settled_labels(
 
 def lookup(rows: DataFrame, table: DataFrame, row_key: str, table_key: str) -> DataFrame:
     """Left lookup on one key; ``table`` holds each key once. Null keys match nothing."""
-    keyed = table.withColumnRenamed(table_key, "_key")
-    return rows.join(keyed, F.col(row_key) == F.col("_key"), "left").drop("_key")
+    return left_lookup(rows, table.withColumnRenamed(table_key, "_key"), {row_key: "_key"})

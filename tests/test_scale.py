@@ -4,7 +4,8 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from tamarack.operators import keys, quantiles, ranks
+from tamarack.operators import intervals, keys, quantiles, ranks
+from tamarack.operators.joins import attach
 from tamarack.session import shared_folder
 from __spark_entry__ import queries
 
@@ -75,6 +76,35 @@ def test_no_window_spans_a_whole_class_or_column(spark):
         assert lines and all("bucket" in line for line in lines)
 
 
+def test_null_keys_spread_over_all_tasks(spark):
+    """Nine in ten rows have no key, some of those alike; without adaptive execution and broadcasts."""
+    rows = spark.range(40_000, numPartitions=5).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.when(F.col("id") % 20 == 0, F.lit("x")).alias("chrom"), (F.col("id") % 400).alias("other"),
+        F.create_map(F.lit("a"), "id").alias("m"),
+    )
+    table = spark.range(0, 40_000, 30).select(F.col("id").alias("key"), F.concat(F.lit("v"), "id").alias("v"))
+    places = spark.range(0, 40_000, 60).select(F.lit("x").alias("chrom"), F.col("id").alias("position"), F.lit(1.0).alias("score"))
+    with settings(spark, adaptive__enabled="false", autoBroadcastJoinThreshold="-1", shuffle__partitions="8"):
+        for found, hits in ((keys.lookup(rows, table, "k", "key"), 40_000 // 30 + 1), (intervals.attach(rows, places, "chrom", "k"), 40_000 // 60 + 1)):
+            value = found.columns[-1]
+            sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 40_000 and len(sizes) == 8 and max(sizes) < 1.5 * 40_000 / 8
+            row = found.agg(F.count(value), F.count(F.when(F.col("k").isNull(), F.col(value)))).first()
+            assert tuple(row) == (hits, 0)
+            assert found.columns == [*rows.columns, value]
+
+
+def test_rows_of_a_hot_key_spread_over_all_tasks(spark):
+    """The facts of hot keys are broadcast; their rows then spread by their own values."""
+    rows = spark.range(40_000, numPartitions=5).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("v"))
+    with settings(spark, adaptive__enabled="false", autoBroadcastJoinThreshold="-1", shuffle__partitions="8"):
+        found = attach(rows, facts, "k", "n", 40_000, "id")
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_000 and len(sizes) == 8 and max(sizes) < 1.2 * 40_000 / 8
+        assert found.join(facts.select("k", F.col("v").alias("w")), "k").filter("v = w").count() == 40_000
+
+
 def test_quantiles_order_a_few_rows_of_a_column(spark):
     rows = spark.range(400_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("v"))
     low, high = rows.agg(F.percentile_approx("v", list(quantiles.window_shares(0.5, quantiles.ACCURACY)), quantiles.ACCURACY).alias("e")).first().e
