@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 HOT = 2000
 
 
-def _zero(key: str) -> Column:
+def _zero(*keys: str) -> Column:
     """0, as a value of the rows: a literal would be folded away and with it the equality that spreads the other side."""
-    return F.pmod(F.xxhash64(key), F.lit(1)).cast("bigint")
+    return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("bigint")
 
 
 def attach(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: int, spread: Column | str) -> DataFrame:
@@ -54,5 +54,5 @@ def left_lookup(rows: DataFrame, table: DataFrame, keys: dict[str, str]) -> Data
     same = F.col("_number") == F.col("_zero")
     for key, other in keys.items():
         same = same & (F.col(key) == F.col(other))
-    met = numbered.join(table.withColumn("_zero", _zero(next(iter(keys.values())))), same, "left")
+    met = numbered.join(table.withColumn("_zero", _zero(*keys.values())), same, "left")
     return met.drop("_number", "_zero", *keys.values())
