@@ -30,9 +30,9 @@ from tamarack.operators.joins import attach
 
 BLOCK = 512
 #: N-grams of a block, about; the sets of two blocks are one task's memory.
-GRAMS = 1 << 21
+GRAMS = 1 << 19
 #: Columns of a cell's incidence matrix worked on at once.
-COLUMNS = 4096
+COLUMNS = 2048
 SEED = 20
 
 

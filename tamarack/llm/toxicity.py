@@ -121,7 +121,7 @@ def document_frequencies(documents: DataFrame, vocabulary: Vocabulary) -> tuple[
 
 
 #: Postings that a step of the search takes up at once, a single text's aside.
-STEP = 1 << 20
+STEP = 1 << 18
 
 
 class Index:
@@ -252,7 +252,7 @@ class Model:
     vocabulary: Vocabulary
     idf: np.ndarray  # by the class weights
     index: Index | None  # built where it is used
-    sample: tuple[np.ndarray, np.ndarray, np.ndarray]  # of the examples, in order: numbers of terms, terms, counts
+    sample: tuple[np.ndarray, np.ndarray, np.ndarray] | None  # of the examples, in order: numbers of terms, terms, counts
     ids: np.ndarray
     toxic: np.ndarray
     slope: float
@@ -267,7 +267,8 @@ class Model:
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.vocabulary = Vocabulary(state["vocabulary"])
-        sizes, terms, counts = self.sample = tuple(np.frombuffer(zlib.decompress(b), np.int32).astype(np.int64) for b in state["sample"])
+        sizes, terms, counts = (np.frombuffer(zlib.decompress(b), np.int32).astype(np.int64) for b in state["sample"])
+        self.sample = None  # the index holds it from here on
         owner = np.repeat(np.arange(len(sizes)), sizes)
         self.index = Index(owner, terms, vectors(owner, terms, counts, self.idf), len(self.idf), self.how)
 
