@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from tamarack.llm import joins
 from tamarack.llm.exactdedup import exact_dedup
+from tamarack.operators import joins
 
 
 def brute_force(rows):
