@@ -1,8 +1,8 @@
 """Chat formatting: every assistant turn becomes an example whose context is all that came before it.
 
 A conversation is rendered once, turn by turn, with a running character position. An example is a prefix of that
-rendering: ``context_chars`` characters of context, then the trainable span. So the expansion is linear in the
-turns, although the contexts, written out, would be quadratic. Only DataFrame functions are used.
+rendering: ``context_chars`` characters of context, then the trainable span. Shuffles move each rendering once; the
+examples, which repeat their contexts, are cut from it row by row. Only DataFrame functions are used.
 
 Rows: a null text or role is empty; turns come in the order of (turn, role, text), null turns first, so ties and
 repeated rows have one defined order and each is a turn of its own; rows of null conv_id are one conversation; an
@@ -92,27 +92,34 @@ def rendered_turns(conversations: DataFrame, template: Template = Template()) ->
     )
 
 
+def conversations_of(turns: DataFrame) -> DataFrame:
+    """conv_id, conv, whole (all turns rendered), spans of its trainable turns, in order. Blocks are joined first."""
+    span = F.struct(
+        "position", F.col("start").alias("context_chars"), "target_start", "target_chars", (F.col("start") + F.col("chars")).alias("example_chars"),
+    )
+    blocks = turns.groupBy("conv", "block").agg(
+        F.first("conv_id").alias("conv_id"), F.min("position").alias("position"), joined("rendered", "position").alias("rendered"),
+        F.array_sort(F.collect_list(F.when(F.col("trainable"), span))).alias("spans"),
+    )
+    spans = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("position", "spans"))), lambda b: b["spans"]))
+    return blocks.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), joined("rendered", "position").alias("whole"), spans.alias("spans"))
+
+
 def prefix_targets(turns: DataFrame) -> DataFrame:
-    """One example per trainable turn: its context is the first ``context_chars`` characters of its conversation.
+    """One example per trainable turn: ``text`` is all that came before it, ``context_chars`` characters, and the turn.
 
-    Of the example, ``target_chars`` characters from ``target_start`` on are trainable: only that reply.
+    conv_id, conv, position, context_chars, target_start, target_chars, example_chars, text. Of the text,
+    ``target_chars`` characters from ``target_start`` on are trainable: only that reply. Each text is cut from the
+    conversation as its row is made, so no more than one is held, but written out they grow with the square of a
+    conversation's length.
     """
-    return turns.where("trainable").select(
-        "conv_id", "conv", "block", "position", "rendered", F.col("start").alias("context_chars"), "target_start", "target_chars",
-        (F.col("start") + F.col("chars")).alias("example_chars"),
-    )
+    examples = conversations_of(turns).select("conv_id", "conv", "whole", F.inline("spans"))
+    return examples.withColumn("text", F.col("whole").substr(F.lit(1), F.col("example_chars").cast("int"))).drop("whole")
 
 
 def written_out(turns: DataFrame, examples: DataFrame) -> DataFrame:
-    """conv_id, position, text (context and reply), target_start, target_chars.
-
-    For trainers that want whole strings. A context repeats all turns before it, so this grows with the square of a
-    conversation's length; keep spans where conversations are long.
-    """
-    whole = turns.groupBy("conv").agg(joined("rendered", "position").alias("whole"))
-    return examples.join(whole, "conv").select(
-        "conv_id", "position", F.col("whole").substr(F.lit(1), F.col("example_chars").cast("int")).alias("text"), "target_start", "target_chars",
-    )
+    """conv_id, position, text (context and reply), target_start, target_chars of the examples of ``turns``."""
+    return examples.select("conv_id", "position", "text", "target_start", "target_chars")
 
 
 def joined(name: str, key: str) -> Column:
@@ -128,17 +135,18 @@ def read_back(turns: DataFrame, template: Template = Template()) -> DataFrame:
     """
     rendered = F.col("rendered")
     said = F.concat(template.role_of(rendered), F.lit("\n"), template.text_of(rendered), F.lit("\n"))
-    # Of each example the span under the loss mask, cut out of the turn that ends it.
-    reply = rendered.substr((F.col("target_start") - F.col("context_chars") + 1).cast("int"), F.col("target_chars").cast("int"))
-    losses = prefix_targets(turns).select("conv", "block", "position", "context_chars", template.unescape(reply).alias("loss")).groupBy("conv", "block").agg(
+    # Of each whole example, context and reply, the span under the loss mask.
+    reply = F.col("text").substr((F.col("target_start") + 1).cast("int"), F.col("target_chars").cast("int"))
+    losses = prefix_targets(turns).select("conv", "position", "context_chars", template.unescape(reply).alias("loss")).groupBy("conv").agg(
         F.count("*").alias("n_examples"), F.sum("context_chars").alias("context_chars"), joined("loss", "position").alias("loss"),
     )
     blocks = turns.select("conv_id", "conv", "block", "position", "chars", said.alias("said")).groupBy("conv", "block").agg(
         F.first("conv_id").alias("conv_id"), F.min("position").alias("position"), F.count("*").alias("n_turns"), F.sum("chars").alias("chars"), joined("said", "position").alias("said"),
     )
-    both = blocks.join(losses, ["conv", "block"], "left").fillna(0, ["n_examples", "context_chars"]).fillna("", ["loss"])
-    sums = [F.sum(n).alias(n) for n in ("n_turns", "chars", "n_examples", "context_chars")]
-    return both.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), *sums, *[joined(n, "position").alias(n) for n in ("said", "loss")]).select(
+    sums = [F.sum(n).alias(n) for n in ("n_turns", "chars")]
+    wholes = blocks.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), *sums, joined("said", "position").alias("said"))
+    both = wholes.join(losses, "conv", "left").fillna(0, ["n_examples", "context_chars"]).fillna("", ["loss"])
+    return both.select(
         "conv_id", "n_turns", F.sha2("said", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"), F.col("chars").alias("formatted_chars"), "n_examples", "context_chars",
     )

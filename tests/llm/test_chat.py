@@ -41,6 +41,19 @@ def test_examples_are_prefixes(spark, monkeypatch):
     assert (read[8].n_turns, read[8].loss_chars, read[None].n_turns, read[None].n_examples) == (1, 0, 2, 1)
 
 
+def test_loss_is_cut_from_whole_examples(spark, monkeypatch):
+    """Every example holds its context, and what the query digests comes from the examples alone."""
+    monkeypatch.setattr(chat, "TURNS_PER_BLOCK", 2)
+    said = [(7, n, ("user", "assistant")[n % 2], f"[INST] é {n}") for n in range(7)]
+    turns = chat.rendered_turns(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"))
+    whole = [r.rendered for r in turns.orderBy("position").collect()]
+    examples = chat.prefix_targets(turns)
+    assert {e.position: (e.text, e.context_chars) for e in examples.collect()} == {n: ("".join(whole[:n + 1]), len("".join(whole[:n]))) for n in (1, 3, 5)}
+    monkeypatch.setattr(chat, "prefix_targets", lambda turns: examples.withColumn("text", F.regexp_replace("text", "é 1", "é X")))
+    row = chat.read_back(turns).first()
+    assert row.loss_sha256 == hashlib.sha256("[INST] é X[INST] é 3[INST] é 5".encode()).hexdigest()
+
+
 def test_repeated_turns_have_one_order(spark):
     df = spark.createDataFrame([(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "")], "conv_id long, turn long, role string, text string")
     row = chat.read_back(chat.rendered_turns(df)).first()
