@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tamarack.functions.student import correlation_p
 from tamarack.operators.quantiles import exact_quantiles
 from tamarack.operators.ranks import pair_ranks
-from tamarack.session import written
+from tamarack.session import dealt, written
 
 #: A value in more than 1/HOT of the pairs is hot; there are fewer than HOT of them at any size.
 HOT = 2000
@@ -32,18 +32,20 @@ def _with_rank(pairs: DataFrame, ranks: DataFrame, by: list[str], column: str, s
 def correlations_by(df: DataFrame, by: list[str], x: str, y: str, buckets: int | None = None) -> DataFrame:
     """(by..., n, rho, p) over the rows of each group where both columns have a value; fewer than three give nulls.
 
-    Rows are scanned once and counted per distinct (x, y), so ties cost nothing after the map side; ranks and sums are
-    made from the written counts. ``by`` must not be null.
+    Rows are counted per distinct (x, y), so ties cost nothing after the map side; ranks and sums are made from the
+    written counts. Tasks follow the number of rows, so each holds the same at any size. ``by`` must not be null.
     """
     rows = df.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna(subset=["x", "y"])
-    pairs = written(rows.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("w")), "pairs")
+    with dealt(df.sparkSession, rows.count()):
+        pairs = written(rows.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("w")), "pairs")
     size = pairs.count()
-    ranks = written(pair_ranks(pairs, by, ["x", "y"], size, buckets), "ranks")
-    ranked = _with_rank(_with_rank(pairs, ranks, by, "x", size), ranks, by, "y", size)
-    dx, dy, w = F.col("dx"), F.col("dy"), F.col("w")
-    sums = ranked.groupBy(*by).agg(
-        F.sum("w").alias("n"), F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")
-    )
+    with dealt(df.sparkSession, 2 * size):  # a rank per pair and column
+        ranks = written(pair_ranks(pairs, by, ["x", "y"], size, buckets), "ranks")
+        ranked = _with_rank(_with_rank(pairs, ranks, by, "x", size), ranks, by, "y", size)
+        dx, dy, w = F.col("dx"), F.col("dy"), F.col("w")
+        sums = written(ranked.groupBy(*by).agg(
+            F.sum("w").alias("n"), F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")
+        ), "correlation-sums")
     rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
     kept = sums.select(*by, "n", F.when(F.col("n") >= 3, rho).alias("rho"))
     return kept.withColumn("p", correlation_p(F.col("rho"), F.col("n")))

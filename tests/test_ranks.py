@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tamarack import session
 from tamarack.functions.student import correlation_p
 from tamarack.operators import association, quantiles, ranks
 
@@ -126,3 +127,18 @@ def test_box_whiskers(spark):
     rows = spark.createDataFrame([("a", float(v)) for v in [1, 2, 3, 4, 100]] + [("b", None)], "c string, v double")
     row = association.box_summary(rows, "v", "c").collect()
     assert [(r.c, r.n, r.q1, r["median"], r.q3, r.whisker_low, r.whisker_high) for r in row] == [("a", 5, 2.0, 3.0, 4.0, 1.0, 4.0)]
+
+
+def test_correlations_deal_more_tasks_to_more_rows(spark, monkeypatch):
+    """The memory of a task follows ``ROWS_PER_TASK``, not the rows; the session's settings come back."""
+    key, dealt = "spark.sql.shuffle.partitions", []
+    usual, write = spark.conf.get(key), association.written
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(association, "written", lambda df, name: dealt.append((name, spark.conf.get(key))) or write(df, name))
+    draw = np.random.default_rng(4)
+    frame = pd.DataFrame({"g": np.arange(300) % 60, "x": draw.random(300), "y": draw.random(300)})
+    found = {r.g: r.rho for r in association.correlations_by(spark.createDataFrame(frame), ["g"], "x", "y").collect()}
+    assert dealt == [("pairs", "30"), ("ranks", "60"), ("correlation-sums", "60")]
+    assert spark.conf.get(key) == usual
+    expected = {g: f.x.rank().corr(f.y.rank()) for g, f in frame.groupby("g")}
+    assert found == pytest.approx(expected)
