@@ -18,6 +18,7 @@ from tamarack.operators.models import model_set, random_forest
 from tamarack.operators.scoring import Bundle, fit_bundle, with_impact_ordinal
 from tamarack.operators.selftrain import Scorer, SelfTraining, forest_scorer, self_train
 from tamarack.operators.validation import Models, out_of_fold_predictions
+from tamarack.session import discard, written
 from tamarack.sources.stages import write_table
 
 
@@ -137,7 +138,10 @@ def compare_attributions(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def write_experiment(out: str, gold: DataFrame, pool: DataFrame, setting: Setting) -> None:
     """Writes the results under ``out``: models and phases compared, the rounds of self-training and why they ended, and
-    the attributions of the forest on gold rows and of the final one."""
+    the attributions of the forest on gold rows and of the final one. The features of both tables are made once, for
+    every fit, fold and round reads them again."""
+    columns = [setting.row_id, *setting.features]
+    gold, pool = written(gold.select(*columns, setting.label), "gold"), written(pool.select(*columns), "pool")
     write_table(compare_models(gold, setting), f"{out}/model_comparison", "csv")
     phases = compare_phases(gold, pool, setting)
     write_table(phases.comparison, f"{out}/phase_comparison", "csv")
@@ -148,6 +152,7 @@ def write_experiment(out: str, gold: DataFrame, pool: DataFrame, setting: Settin
     write_table(tables[0].drop("phase"), f"{out}/attributions", "csv")
     write_table(tables[0].unionByName(tables[1]), f"{out}/phase_attributions", "csv")
     bundles[1].save(f"{out}/bundle")
+    discard(gold, pool)
 
 
 def write_outside_scores(out: str, gold: DataFrame) -> None:

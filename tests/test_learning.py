@@ -153,6 +153,23 @@ def test_phases(gold, pool, nested):
     assert sum(sum(r[c] for c in phases.confusion.columns if c != "actual") for r in matrix) == gold.count()
 
 
+def test_an_experiment_makes_its_features_once(gold, pool, tmp_path, monkeypatch):
+    """Every fit, fold and round reads written features, not what they are made from."""
+    class Stop(Exception):
+        pass
+
+    def compare_phases(gold, pool, setting):
+        assert gold.inputFiles() and pool.inputFiles()
+        assert gold.columns == [SETTING.row_id, *SETTING.features, SETTING.label] and pool.columns == gold.columns[:-1]
+        raise Stop
+
+    monkeypatch.setattr(experiment, "compare_models", lambda gold, setting: gold)
+    monkeypatch.setattr(experiment, "compare_phases", compare_phases)
+    with pytest.raises(Stop):
+        experiment.write_experiment(str(tmp_path), gold, pool, SETTING)
+    assert gold.sparkSession.read.csv(f"{tmp_path}/model_comparison", header=True).count() == gold.count()
+
+
 def subset_shapley(x, leaves):
     """Shapley values by enumerating every subset of features."""
     n = len(x)
