@@ -1,15 +1,50 @@
 """Rank correlation and per-class score distributions."""
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.student import correlation_p
 from tamarack.operators.quantiles import exact_quantiles
 from tamarack.operators.ranks import pair_ranks
-from tamarack.session import dealt, written
+from tamarack.session import ROWS_PER_TASK, dealt, discard, written
 
-#: A value in more than 1/HOT of the pairs is hot; there are fewer than HOT of them at any size.
+#: A value in more than 1/HOT of the pairs is hot; there are fewer than HOT of them at any size. So with groups of rows.
 HOT = 2000
+#: Rows that a sample has of a group which is just hot.
+SAMPLED_PER_GROUP = 200
+
+
+def _large_groups(rows: DataFrame, by: list[str], total: int) -> DataFrame:
+    """``by`` of about the groups with more than 1/HOT of the ``total`` rows, or with more than ``ROWS_PER_TASK``.
+
+    They only spread the work, so of many rows a sample is enough to choose them.
+    """
+    limit = max(1.0, min(total / HOT, ROWS_PER_TASK))
+    share = min(1.0, SAMPLED_PER_GROUP / limit)
+    counts = rows.sample(share, seed=1).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > share * limit).select(*by)
+
+
+def _ranked_whole(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., w, dx, dy): centred ranks of groups that a task can hold. One shuffle by group serves all steps."""
+
+    def centred(column: str) -> Column:
+        order = Window.partitionBy(*by).orderBy(column)
+        size = F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        upto = F.count(F.lit(1)).over(order)  # with the ties
+        return (F.rank().over(order) + upto - size - 1) / 2
+
+    return rows.withColumn("dx", centred("x")).withColumn("dy", centred("y")).select(*by, F.lit(1).alias("w"), "dx", "dy")
+
+
+def _sums(ranked: DataFrame, by: list[str]) -> DataFrame:
+    dx, dy, w = F.col("dx"), F.col("dy"), F.col("w")
+    return ranked.groupBy(*by).agg(
+        F.sum("w").alias("n"), F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")
+    )
 
 
 def _with_rank(pairs: DataFrame, ranks: DataFrame, by: list[str], column: str, size: int) -> DataFrame:
@@ -32,20 +67,26 @@ def _with_rank(pairs: DataFrame, ranks: DataFrame, by: list[str], column: str, s
 def correlations_by(df: DataFrame, by: list[str], x: str, y: str, buckets: int | None = None) -> DataFrame:
     """(by..., n, rho, p) over the rows of each group where both columns have a value; fewer than three give nulls.
 
-    Rows are counted per distinct (x, y), so ties cost nothing after the map side; ranks and sums are made from the
-    written counts. Tasks follow the number of rows, so each holds the same at any size. ``by`` must not be null.
+    The rows of small groups are shuffled once, to a task that ranks the whole group. Those of large groups, fewer than
+    ``HOT`` or one per ``ROWS_PER_TASK``, are counted per distinct (x, y), so ties cost nothing after the map side; ranks
+    and sums are made from the written counts. Tasks follow the number of rows, so each holds the same at any size.
+    ``by`` must not be null.
     """
     rows = df.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna(subset=["x", "y"])
-    with dealt(df.sparkSession, rows.count()):
-        pairs = written(rows.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("w")), "pairs")
+    total = rows.count()
+    keyless = reduce(or_, [F.col(c).isNull() for c in by], F.lit(False))
+    with dealt(df.sparkSession, total):
+        large = F.broadcast(_large_groups(rows, by, total).withColumn("_large", F.lit(True)))
+        spread = rows.join(large, by, "left").filter(F.col("_large") | keyless)  # rows without a key may be many too
+        pairs = written(spread.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("w")), "pairs")
     size = pairs.count()
-    with dealt(df.sparkSession, 2 * size):  # a rank per pair and column
+    with dealt(df.sparkSession, max(total, 2 * size)):  # a rank per pair and column
         ranks = written(pair_ranks(pairs, by, ["x", "y"], size, buckets), "ranks")
         ranked = _with_rank(_with_rank(pairs, ranks, by, "x", size), ranks, by, "y", size)
-        dx, dy, w = F.col("dx"), F.col("dy"), F.col("w")
-        sums = written(ranked.groupBy(*by).agg(
-            F.sum("w").alias("n"), F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")
-        ), "correlation-sums")
+        # The sample is not drawn again: the groups that pairs holds are the large ones.
+        small = rows.filter(~keyless).join(F.broadcast(pairs.select(*by).distinct()), by, "left_anti")
+        sums = written(_sums(ranked, by).unionByName(_sums(_ranked_whole(small, by), by)), "correlation-sums")
+    discard(pairs, ranks)
     rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
     kept = sums.select(*by, "n", F.when(F.col("n") >= 3, rho).alias("rho"))
     return kept.withColumn("p", correlation_p(F.col("rho"), F.col("n")))

@@ -142,3 +142,56 @@ def test_correlations_deal_more_tasks_to_more_rows(spark, monkeypatch):
     assert spark.conf.get(key) == usual
     expected = {g: f.x.rank().corr(f.y.rank()) for g, f in frame.groupby("g")}
     assert found == pytest.approx(expected)
+
+
+def grouped(seed=6):
+    """900 groups of four rows with ties, missing numbers and both zeros, and one group with most rows."""
+    draw = np.random.default_rng(seed)
+    frame = pd.DataFrame({"g": np.r_[np.arange(3600) % 900, np.full(6400, 900)], "x": draw.integers(-2, 3, 10_000).astype(float), "y": draw.random(10_000).round(2)})
+    frame.loc[frame.index % 31 == 0, "x"] = -0.0
+    frame.loc[frame.index % 37 == 0, "y"] = np.nan
+    return frame.sample(frac=1, random_state=seed)
+
+
+def spearman_by_group(frame):
+    found = {}
+    for g, f in frame.dropna().groupby("g"):
+        flat = f.x.nunique() < 2 or f.y.nunique() < 2
+        found[g] = (len(f), None if flat or len(f) < 3 else pytest.approx(f.x.rank().corr(f.y.rank()), abs=1e-12))
+    return found
+
+
+def as_rows(spark, frame):
+    return spark.createDataFrame(frame).withColumn("y", F.nanvl("y", F.lit(None)))
+
+
+def test_small_groups_are_shuffled_once(spark, monkeypatch):
+    """Disk: of 901 groups only the large one is written as pairs and ranks; one shuffle ranks and sums the others."""
+    kept, write = {}, association.written
+
+    def watch(df, name):
+        table = write(df, name)
+        kept[name] = (df, table.select("g").distinct().collect())
+        return table
+
+    monkeypatch.setattr(association, "written", watch)
+    frame = grouped()
+    found = {r.g: (r.n, r.rho) for r in association.correlations_by(as_rows(spark, frame), ["g"], "x", "y").collect()}
+    assert found == spearman_by_group(frame)
+    assert [r.g for r in kept["pairs"][1]] == [r.g for r in kept["ranks"][1]] == [900]
+    small = association._sums(association._ranked_whole(as_rows(spark, frame), ["g"]), ["g"])
+    assert small._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(g") == 1
+
+
+@pytest.mark.parametrize("large", [[], [900], list(range(0, 901, 2)), list(range(901))])
+def test_correlations_do_not_depend_on_what_is_large(spark, monkeypatch, large):
+    monkeypatch.setattr(association, "_large_groups", lambda rows, by, total: spark.createDataFrame([(g,) for g in large], "g bigint"))
+    frame = grouped()
+    found = {r.g: (r.n, r.rho) for r in association.correlations_by(as_rows(spark, frame), ["g"], "x", "y").collect()}
+    assert found == spearman_by_group(frame)
+
+
+def test_a_sample_finds_the_large_groups(spark):
+    """Of 2,000,000 rows a fifth is drawn: 2000 groups have 500 each, half of what is large, and one has the rest."""
+    rows = spark.range(2_000_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.expr("id div 2 % 2000")).alias("g"))
+    assert [r.g for r in association._large_groups(rows, ["g"], 2_000_000).collect()] == [-1]
