@@ -13,12 +13,18 @@ _WEIGHTS = _NODES * (1 + np.exp(-_STEPS)) / 16
 def _tail(start: Column, freedom: Column) -> Column:
     """Integral of sech(u) ** freedom from ``start`` on."""
     reach = 1 / (F.sqrt(freedom) + freedom * F.tanh(start))
+    given = F.struct(start.alias("start"), freedom.alias("freedom"), reach.alias("reach"))
 
-    def part(node: Column, weight: Column) -> Column:
-        half = F.sinh((start + reach * node) / 2)  # cosh(u) = 1 + 2 * half * half
-        return weight * F.exp(-freedom * F.log1p(2 * half * half))
+    def integral(row: Column) -> Column:
+        halves = F.transform(F.lit(_NODES), lambda node: F.sinh((row["start"] + row["reach"] * node) / 2))
 
-    return reach * F.aggregate(F.zip_with(F.lit(_NODES), F.lit(_WEIGHTS), part), F.lit(0.0), lambda total, x: total + x)
+        def part(half: Column, weight: Column) -> Column:
+            return weight * F.exp(-row["freedom"] * F.log1p(2 * half * half))  # cosh(u) = 1 + 2 * half * half
+
+        return row["reach"] * F.aggregate(F.zip_with(halves, F.lit(_WEIGHTS), part), F.lit(0.0), lambda total, x: total + x)
+
+    # As the elements of arrays, what belongs to the row and the half of a node are worked out once, not where they are named.
+    return F.get(F.transform(F.array(given), integral), 0)
 
 
 def correlation_p(rho: Column, n: Column) -> Column:
