@@ -76,16 +76,20 @@ def correlations_by(df: DataFrame, by: list[str], x: str, y: str, buckets: int |
     total = rows.count()
     keyless = reduce(or_, [F.col(c).isNull() for c in by], F.lit(False))
     with dealt(df.sparkSession, total):
-        large = F.broadcast(_large_groups(rows, by, total).withColumn("_large", F.lit(True)))
-        spread = rows.join(large, by, "left").filter(F.col("_large") | keyless)  # rows without a key may be many too
+        spread = rows
+        if by:  # else all rows are one group
+            large = F.broadcast(_large_groups(rows, by, total).withColumn("_large", F.lit(True)))
+            spread = rows.join(large, by, "left").filter(F.col("_large") | keyless)  # rows without a key may be many too
         pairs = written(spread.groupBy(*by, "x", "y").agg(F.count(F.lit(1)).alias("w")), "pairs")
     size = pairs.count()
     with dealt(df.sparkSession, max(total, 2 * size)):  # a rank per pair and column
         ranks = written(pair_ranks(pairs, by, ["x", "y"], size, buckets), "ranks")
         ranked = _with_rank(_with_rank(pairs, ranks, by, "x", size), ranks, by, "y", size)
-        # The sample is not drawn again: the groups that pairs holds are the large ones.
-        small = rows.filter(~keyless).join(F.broadcast(pairs.select(*by).distinct()), by, "left_anti")
-        sums = written(_sums(ranked, by).unionByName(_sums(_ranked_whole(small, by), by)), "correlation-sums")
+        sums = _sums(ranked, by)
+        if by:  # The sample is not drawn again: the groups that pairs holds are the large ones.
+            small = rows.filter(~keyless).join(F.broadcast(pairs.select(*by).distinct()), by, "left_anti")
+            sums = sums.unionByName(_sums(_ranked_whole(small, by), by))
+        sums = written(sums, "correlation-sums")
     discard(pairs, ranks)
     rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
     kept = sums.select(*by, "n", F.when(F.col("n") >= 3, rho).alias("rho"))

@@ -191,6 +191,16 @@ def test_correlations_do_not_depend_on_what_is_large(spark, monkeypatch, large):
     assert found == spearman_by_group(frame)
 
 
+def test_correlations_without_a_key(spark):
+    """All rows are one group if there is no key to group by; the rows of a null key are counted and have no rank."""
+    frame = grouped().dropna()
+    row = association.correlations_by(as_rows(spark, frame), [], "x", "y").first()
+    assert (row.n, row.rho) == (len(frame), pytest.approx(frame.x.rank().corr(frame.y.rank()), abs=1e-12))
+    keys = as_rows(spark, frame).withColumn("g", F.when(F.col("g") < 2, None).otherwise(F.col("g")))
+    found = {r.g: (r.n, r.rho) for r in association.correlations_by(keys, ["g"], "x", "y").collect()}
+    assert found == {**spearman_by_group(frame[frame.g > 1]), None: (int((frame.g < 2).sum()), None)}
+
+
 def test_a_sample_finds_the_large_groups(spark):
     """Of 2,000,000 rows a fifth is drawn: 2000 groups have 500 each, half of what is large, and one has the rest."""
     rows = spark.range(2_000_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.expr("id div 2 % 2000")).alias("g"))
